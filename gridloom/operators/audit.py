@@ -101,7 +101,7 @@ def log_rollup(lines: DataFrame, keep: int = 10, expected: DataFrame | None = No
         F.sum(is_error.cast("long")).alias("error_count"),
     )
     first = top_per_group(named.filter(is_error), keys, ["line_no"], keep)
-    listed = first.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("line_no", F.trim("line").alias("line")))).alias("_l"))
+    listed = first.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("line_no", F.btrim("line", F.lit(" \t\r\n\f\v")).alias("line")))).alias("_l"))
     joined = flags.join(listed, keys, "left")
     empty = F.array().cast("array<string>")
     return joined.withColumn("error_lines", F.coalesce(F.transform("_l", lambda s: s["line"]), empty)).drop("_l")

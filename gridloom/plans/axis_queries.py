@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.calendar import cf_time, encode_time, noleap_year_fraction
 from gridloom.operators import axes as ax
-from gridloom.plans.bindings import axes, read, static
+from gridloom.plans.bindings import axes, read
 from gridloom.plans.registry import query, view
 
 view("lat_axis", "SELECT axis_id, i, i * 3.5e0 - 88e0 + s % 3 AS v FROM axes", ("axes",))

@@ -1,6 +1,14 @@
 """All registered queries."""
 
-from gridloom.plans import axis_queries, derive_queries, regrid_queries, vertical_queries  # noqa: F401
+from gridloom.plans import (  # noqa: F401
+    audit_queries,
+    axis_queries,
+    catalog_queries,
+    derive_queries,
+    regrid_queries,
+    series_queries,
+    vertical_queries,
+)
 from gridloom.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
