@@ -3,6 +3,9 @@
 An axis has one row per point: ``axis_id``, a consecutive position ``i`` from 0, and values. Points only need their
 direct neighbours, so an axis is cut into blocks of positions and each block also receives the one point on either
 side. A window then never holds more than a block, however long one axis is or how many rows it holds.
+
+Joins between axis-sized tables carry no broadcast hint: adaptive execution picks the join from the sizes it sees at
+run time and splits an axis that holds too many rows.
 """
 
 from __future__ import annotations
@@ -82,7 +85,7 @@ def dateline_fix(bounds: DataFrame, keys: Sequence[str] = AXIS, index: str = "i"
     many = F.col("b0_before").isNotNull() | F.col("b0_after").isNotNull()
     first, last = F.col("b0_before").isNull(), F.col("b0_after").isNull()
     starts = bounds.filter(F.col(index) == 0).select(*keys, (F.col("b0") > 0).alias("_open"))
-    joined = near.join(small(starts), list(keys))
+    joined = near.join(starts, list(keys))
     lower = F.when(many & first & F.col("_open"), F.lit(0.0)).otherwise(F.col("b0"))
     upper = (
         F.when(many & first, F.col("b0_after"))
@@ -125,7 +128,7 @@ def make_strictly_monotonic(
     ends = ends.withColumn("_open", F.max("_end._t").over(so_far))
     carried = ends.withColumn("_carry", F.lag("_open").over(order)).select(*keys, "_blk", "_carry")
 
-    joined = rows.join(small(carried), [*keys, "_blk"])
+    joined = rows.join(carried, [*keys, "_blk"])
     limit = F.greatest(F.col("_prev"), F.when(F.col("_seg") == 0, F.col("_carry")))
     nudged = F.when(usable & (F.col("_t") <= limit - step * 0.5), (limit + F.col(index) * step) * sign)
     return joined.withColumn(value, F.coalesce(nudged, F.col(value))).drop("_blk", "_t", "_gap", "_seg", "_prev", "_carry")
@@ -170,7 +173,7 @@ def sigma_axis(mid: DataFrame, interfaces: DataFrame, keys: Sequence[str] = AXIS
     facts = on_mid.join(on_edge, list(keys), "left")
 
     near = with_neighbours(edges, ["hybi", "ilev"], keys, "k", block).select(*keys, "k", "hybi", "hybi_after", "ilev", "ilev_after")
-    joined = points.join(small(facts), list(keys)).join(near, [*keys, "k"], "left")
+    joined = points.join(facts, list(keys)).join(near, [*keys, "k"], "left")
     sigma = F.when(F.col("_n_hybm") > 0, F.col("hybm")).when(F.col("_lev_ok"), F.col("lev"))
     placed = with_neighbours(joined.withColumn("sigma", sigma), ["sigma"], keys, "k", block)
     synthetic0 = F.coalesce((F.col("sigma_before") + F.col("sigma")) * 0.5, F.lit(0.0))
@@ -189,7 +192,7 @@ def sigma_axis(mid: DataFrame, interfaces: DataFrame, keys: Sequence[str] = AXIS
     state = bounded.groupBy(*keys).agg(
         (F.bool_and(F.coalesce(size_ok & in_unit, F.lit(False))) & (F.bool_and(rising) | F.bool_and(falling))).alias("valid")
     )
-    out = bounded.select(*keys, "k", "sigma", "b0", "b1").join(small(state), list(keys))
+    out = bounded.select(*keys, "k", "sigma", "b0", "b1").join(state, list(keys))
     if check == "flag":
         return out
     wrong = F.raise_error(F.concat(F.lit("sigma axis is not strictly monotone within 0..1: "), F.col(keys[0]).cast("string")))
@@ -234,5 +237,5 @@ def index_axis(axis: DataFrame, order: str, keys: Sequence[str] = AXIS, bucket:
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     local = F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(order)) - 1
-    numbered = points.withColumn("_local", local).join(small(starts), [*keys, "_b"])
+    numbered = points.withColumn("_local", local).join(starts, [*keys, "_b"])
     return numbered.select(*keys, order, (F.col("_local") + F.col("_start")).cast("long").alias("i"))

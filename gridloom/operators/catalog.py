@@ -99,7 +99,7 @@ def normalize_catalog(catalog: DataFrame, freq: str | None = None) -> DataFrame:
 
 def required_inputs(catalog: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """(name, var): every native variable a target needs; names without an entry drop out."""
-    chosen = catalog if targets is None else catalog.join(small(targets.select("name").distinct()), "name", "left_semi")
+    chosen = catalog if targets is None else catalog.join(targets.select("name").distinct(), "name", "left_semi")
     level = F.lower(F.coalesce(F.col("levels.name"), F.lit("")))
     needed = F.concat(
         F.coalesce(F.transform("sources", lambda s: s["model_var"]), strings([])),
@@ -132,8 +132,8 @@ def select_files(files: DataFrame, variables: DataFrame, pattern: str | None = N
 def drop_targets_without_inputs(catalog: DataFrame, available: DataFrame) -> DataFrame:
     """Targets whose every explicit source is among the available variables (``var``)."""
     needs = catalog.select("name", F.explode(F.transform("sources", lambda s: s["model_var"])).alias("var"))
-    lacking = needs.join(small(available.select("var").distinct()), "var", "left_anti").select("name").distinct()
-    return catalog.join(small(lacking), "name", "left_anti")
+    lacking = needs.join(available.select("var").distinct(), "var", "left_anti").select("name").distinct()
+    return catalog.join(lacking, "name", "left_anti")
 
 
 # --- targets --------------------------------------------------------------------------------------------------------
@@ -275,7 +275,7 @@ def group_catalog_rows(rows: DataFrame, order: str = "ord") -> DataFrame:
     Only names whose first row is sea ice gather a list (one item per region); other duplicates reduce to a minimum.
     """
     first = first_by_name(rows, order)
-    ice = rows.join(small(first.filter(F.col("table") == "seaIce").select("name")), "name", "left_semi")
+    ice = rows.join(first.filter(F.col("table") == "seaIce").select("name"), "name", "left_semi")
     item = F.struct(F.col(order).alias("_o"), "long_name", "formula", "region")
     listed = ice.groupBy("name").agg(F.array_sort(F.collect_list(item)).alias("_all")).filter(F.size("_all") > 1)
     whole = first.join(listed, "name", "left").withColumn("variants", F.transform("_all", lambda v: v.dropFields("_o")))

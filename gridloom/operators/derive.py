@@ -255,14 +255,25 @@ def hemisphere_total(field: DataFrame, static: DataFrame, keys: Sequence[str] =
 # --- merging and attributes ----------------------------------------------------------------------------------------
 
 
-def merge_first_wins(datasets: Sequence[DataFrame]) -> DataFrame:
-    """One field table from several: a variable held by more than one is taken whole from the first that has it."""
-    stacked = None
-    for order, dataset in enumerate(datasets):
-        numbered = dataset.withColumn("_order", F.lit(order))
-        stacked = numbered if stacked is None else stacked.unionByName(numbered, allowMissingColumns=True)
-    winner = stacked.groupBy("var").agg(F.min("_order").alias("_order"))
-    return stacked.join(small(winner), ["var", "_order"], "left_semi").drop("_order")
+def variables_of(field: DataFrame) -> list[str]:
+    """Names of the variables a field holds; as many as a catalog has, so a short list. Reads the name column only."""
+    return sorted(row["var"] for row in field.select("var").distinct().collect())
+
+
+def merge_first_wins(datasets: Sequence[DataFrame], variables: Sequence[Sequence[str]] | None = None) -> DataFrame:
+    """One field table from several: a variable held by more than one is taken whole from the first that has it.
+
+    With the variables of each dataset known (from its folder names or the catalog) this is a filter and a union; no
+    row moves, and stored fields skip the folders of variables they lose.
+    """
+    taken: set[str] = set()
+    merged = None
+    for dataset, names in zip(datasets, variables or [variables_of(d) for d in datasets], strict=True):
+        won = [n for n in names if n not in taken]
+        taken.update(won)
+        part = dataset.filter(F.col("var").isin(won))
+        merged = part if merged is None else merged.unionByName(part, allowMissingColumns=True)
+    return merged
 
 
 def attach_attributes(df: DataFrame, catalog: DataFrame) -> DataFrame:

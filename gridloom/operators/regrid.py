@@ -57,7 +57,7 @@ def regrid_masked(
     without it the result stays weighted (ocean fields).
     """
     shares = fraction.select(F.col("cell").alias("src_cell"), F.coalesce("fraction", F.lit(0.0)).alias("_f"))
-    weighted = weights.join(small(shares), "src_cell")
+    weighted = weights.join(shares, "src_cell")
     value = F.coalesce(F.col("value"), F.lit(0.0)) * F.col("_f")
     out = _apply(field, weighted, keys, value, F.lit(True), require_all=True)
     if destination_fraction is None:
@@ -70,13 +70,14 @@ def regrid_masked(
 def regrid_dense(regridded: DataFrame, cells: int, keys: Sequence[str] = KEYS) -> DataFrame:
     """One row per destination cell 0..cells-1 for every slice present, NULL where nothing was regridded.
 
-    Each slice emits its own cells; slices are found from the regridded table, which is already summed.
+    A slice gathers its cells, at most one entry per destination cell, and adds the numbers it lacks. The field is
+    read once.
     """
-    slices = regridded.select(*keys).distinct()
-    grid = slices.withColumn("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long"))))
-    every = grid.withColumn("value", F.lit(None).cast("double"))
-    # A union and a sum need one shuffle and no join; NULL adds nothing.
-    return every.unionByName(regridded.select(*keys, "cell", "value")).groupBy(*keys, "cell").agg(F.max("value").alias("value"))
+    present = regridded.groupBy(*keys).agg(F.collect_list(F.struct("cell", "value")).alias("_have"))
+    every = F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long"))
+    absent = F.array_except(every, F.transform("_have", lambda e: e["cell"]))
+    filled = F.transform(absent, lambda c: F.struct(c.alias("cell"), F.lit(None).cast("double").alias("value")))
+    return present.select(*keys, F.inline(F.concat("_have", filled)))
 
 
 def pass_through_regular(field: DataFrame) -> DataFrame:
@@ -156,7 +157,7 @@ def fx_missing(wanted: DataFrame, stored: DataFrame, keys: Sequence[str] = ("map
 def fx_table(static: DataFrame, weights: DataFrame, keys: Sequence[str] = ("map_id",)) -> DataFrame:
     """Fixed fields of all maps in one pass; ``static`` may carry further keys such as its source."""
     land = land_percent(static).select("cell", F.coalesce("value", F.lit(0.0)).alias("value"))
-    joined = land.withColumnRenamed("cell", "src_cell").join(small(weights), "src_cell")
+    joined = land.withColumnRenamed("cell", "src_cell").join(weights, "src_cell")
     summed = joined.groupBy(*keys, F.col("dst_cell").alias("cell")).agg(
         F.sum(F.col("w") * F.col("value")).alias("_num"), F.sum("w").alias("_den")
     )
@@ -210,17 +211,20 @@ def attach_fixed_fields(out: DataFrame, fx: DataFrame, names: Sequence[str], on:
     return joined.drop(*[f"_fx_{n}" for n in take])
 
 
-def attach_time_bounds(out: DataFrame, time_axis: DataFrame, bounds: Sequence[str] = ("time_b0", "time_b1")) -> DataFrame:
-    """Add time bounds from the time axis. A time on one side only is an error, raised while the rows are read.
+def attach_time_bounds(
+    out: DataFrame, time_axis: DataFrame, bounds: Sequence[str] = ("time_b0", "time_b1"), out_times: DataFrame | None = None
+) -> DataFrame:
+    """Add time bounds from the source's time axis; axes that differ are an error.
 
-    Both axes are small (one row per time); the check marks the axis rows, so the field is joined once.
+    A row whose time has no bounds fails when it is read, so the output is not computed twice. The time dimension of
+    the output (``out_times``, one row per time) also finds bounds without a time, before any field row is read.
     """
-    present = out.select("time_idx").distinct().withColumn("_in_out", F.lit(True))
-    axis = time_axis.select("time_idx", *bounds).withColumn("_in_axis", F.lit(True))
-    checked = axis.join(present, "time_idx", "full")
-    agree = checked.agg(
-        F.coalesce(F.bool_and(F.col("_in_axis").isNotNull() & F.col("_in_out").isNotNull()), F.lit(True)).alias("ok")
-    )
-    if not agree.first()["ok"]:
-        raise ValueError("time bounds and time axis differ in length")
-    return out.join(small(axis.drop("_in_axis")), "time_idx")
+    if out_times is not None:
+        sides = time_axis.select("time_idx").distinct().withColumn("_s", F.lit(1))
+        sides = sides.unionByName(out_times.select("time_idx").distinct().withColumn("_s", F.lit(2)))
+        if not sides.groupBy("time_idx").agg(F.sum("_s").alias("_t")).filter(F.col("_t") != 3).isEmpty():
+            raise ValueError("time bounds and time axis differ in length")
+    axis = time_axis.select("time_idx", *bounds, F.lit(True).alias("_known"))
+    wrong = F.raise_error(F.concat(F.lit("no time bounds for time "), F.col("time_idx").cast("string")))
+    checked = {b: F.when(F.col("_known").isNotNull(), F.col(b)).otherwise(wrong.cast("double")) for b in bounds}
+    return out.join(small(axis), "time_idx", "left").withColumns(checked).drop("_known")

@@ -20,13 +20,18 @@ COLUMN_KEYS = ("var", "time_idx", "cell")
 def join_column_inputs(
     field: DataFrame, surface: DataFrame, coefficients: DataFrame, surface_keys: Sequence[str] = ("time_idx", "cell")
 ) -> DataFrame:
-    """Surface pressure (``ps``) by column and hybrid coefficients by level onto the field; absent names are an error."""
+    """Surface pressure (``ps``) by column and hybrid coefficients by level onto the field; absent names are an error.
+
+    Surface pressure that changes in time is as long as the field is over its levels, so it joins by shuffle on
+    (time, cell), a partitioning that the interpolation then reuses. Only a static one is tried for broadcasting.
+    """
     missing = [n for n in ("ps",) if n not in surface.columns]
     missing += [n for n in ("hyam", "hybm") if n not in coefficients.columns]
     if missing:
         raise KeyError(f"missing variables {missing}")
     levels = field.join(small(coefficients.select("lev", "hyam", "hybm")), "lev")
-    return levels.join(small(surface.select(*surface_keys, "ps")), list(surface_keys), "left")
+    columns = surface.select(*surface_keys, "ps")
+    return levels.join(columns if "time_idx" in surface_keys else small(columns), list(surface_keys), "left")
 
 
 def level_pressure(p0: float | Column = fixed.REFERENCE_PRESSURE_PA) -> Column:

@@ -18,8 +18,24 @@ NATIVE = ("PRICE", "QTY", "DISC", "TAX")
 AXIS_POINTS = 48
 
 
+# Declared, so no file is opened to find a schema.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+    "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 # --- field ---------------------------------------------------------------------------------------------------------
@@ -28,7 +44,7 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def native(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per month, level and cell with the four native variables; PRICE is missing for every seventh amount."""
     lines = read(spark, sf_dir, "lineitem")
-    cents = lambda c: F.sum(F.round(F.col(c) * 100))
+    cents = lambda c: F.sum(F.rint(F.col(c) * 100))
     summed = lines.groupBy(
         month_index(F.col("l_shipdate")).alias("time_idx"), F.col("l_linenumber").alias("lev"), F.col("l_suppkey").alias("cell")
     ).agg(cents("l_extendedprice").alias("_p"), F.sum("l_quantity").alias("QTY"), cents("l_discount").alias("DISC"), cents("l_tax").alias("TAX"))

@@ -154,7 +154,7 @@ def hemisphere_total(spark, d):
 def merge_first_wins(spark, d):
     first = field(spark, d, "PRICE", "QTY")
     second = field(spark, d, "QTY", "TAX").withColumn("value", F.col("value") + F.when(F.col("var") == "QTY", 1000.0).otherwise(0.0))
-    return dv.merge_first_wins([first, second])
+    return dv.merge_first_wins([first, second], [("PRICE", "QTY"), ("QTY", "TAX")])
 
 
 @query(

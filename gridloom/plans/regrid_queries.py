@@ -192,7 +192,7 @@ def attach_time_bounds(spark, d):
     out = regrid_renorm(spark, d)
     months = field(spark, d, "PRICE").select("time_idx").distinct()
     axis = months.select("time_idx", F.col("time_idx").cast("double").alias("time_b0"), (F.col("time_idx") + 1).cast("double").alias("time_b1"))
-    return rg.attach_time_bounds(out, axis)
+    return rg.attach_time_bounds(out, axis, out_times=months)
 
 
 @query(
