@@ -10,7 +10,7 @@ run time and splits an axis that holds too many rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -102,36 +102,40 @@ def make_strictly_monotonic(
     direction: str = "increasing",
     keys: Sequence[str] = AXIS,
     index: str = "i",
-    value: str = "v",
+    value: str | Sequence[str] = "v",
     block: int = BLOCK,
 ) -> DataFrame:
     """Nudge points by the smallest step so that the axis strictly rises or falls; missing points split it.
 
     With step e a nudged point is ``max over earlier points j of (v_j - j*e) + i*e``. That maximum is taken within
-    blocks first and then carried over the much shorter table of block maxima.
+    blocks first and then carried over the much shorter table of block maxima. Several columns go in one pass.
     """
+    names = [value] if isinstance(value, str) else list(value)
     sign = 1.0 if direction.lower().startswith("inc") else -1.0
     step = fixed.MONOTONE_STEP
-    usable = is_finite(F.col(value))
-    base = F.when(usable, F.col(value) * sign - F.col(index) * step)
-    rows = axis.withColumns({"_blk": _block(index, block), "_t": base, "_gap": (~usable).cast("long")})
-    within = Window.partitionBy(*keys, "_blk").orderBy(index)
-    rows = rows.withColumn("_seg", F.sum("_gap").over(within.rowsBetween(Window.unboundedPreceding, 0)))
-    earlier = Window.partitionBy(*keys, "_blk", "_seg").orderBy(index).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_prev", F.max("_t").over(earlier))
+    slanted = {f"_t_{n}": F.when(is_finite(F.col(n)), F.col(n) * sign - F.col(index) * step) for n in names}
+    rows = axis.withColumn("_blk", _block(index, block)).withColumns(slanted)
+    within = Window.partitionBy(*keys, "_blk").orderBy(index).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({f"_seg_{n}": F.sum(F.col(f"_t_{n}").isNull().cast("long")).over(within) for n in names})
+    for n in names:
+        earlier = Window.partitionBy(*keys, "_blk", f"_seg_{n}").orderBy(index).rowsBetween(Window.unboundedPreceding, -1)
+        rows = rows.withColumn(f"_prev_{n}", F.max(f"_t_{n}").over(earlier))
 
     # The open end of each block: the largest point after its last gap, as one struct maximum per block.
-    ends = rows.groupBy(*keys, "_blk").agg(F.max(F.struct("_seg", "_t")).alias("_end"))
+    ends = rows.groupBy(*keys, "_blk").agg(*[F.max(F.struct(f"_seg_{n}", f"_t_{n}")).alias(f"_end_{n}") for n in names])
     order = Window.partitionBy(*keys).orderBy("_blk")
-    ends = ends.withColumn("_run", F.sum((F.col("_end._seg") > 0).cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    so_far = Window.partitionBy(*keys, "_run").orderBy("_blk").rowsBetween(Window.unboundedPreceding, 0)
-    ends = ends.withColumn("_open", F.max("_end._t").over(so_far))
-    carried = ends.withColumn("_carry", F.lag("_open").over(order)).select(*keys, "_blk", "_carry")
+    for n in names:
+        gaps = F.sum((F.col(f"_end_{n}._seg_{n}") > 0).cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+        so_far = Window.partitionBy(*keys, f"_run_{n}").orderBy("_blk").rowsBetween(Window.unboundedPreceding, 0)
+        ends = ends.withColumn(f"_run_{n}", gaps).withColumn(f"_open_{n}", F.max(f"_end_{n}._t_{n}").over(so_far))
+    carried = ends.select(*keys, "_blk", *[F.lag(f"_open_{n}").over(order).alias(f"_carry_{n}") for n in names])
+
+    def corrected(n: str) -> Column:
+        limit = F.greatest(F.col(f"_prev_{n}"), F.when(F.col(f"_seg_{n}") == 0, F.col(f"_carry_{n}")))
+        return F.coalesce(F.when(F.col(f"_t_{n}") <= limit - step * 0.5, (limit + F.col(index) * step) * sign), F.col(n))
 
     joined = rows.join(carried, [*keys, "_blk"])
-    limit = F.greatest(F.col("_prev"), F.when(F.col("_seg") == 0, F.col("_carry")))
-    nudged = F.when(usable & (F.col("_t") <= limit - step * 0.5), (limit + F.col(index) * step) * sign)
-    return joined.withColumn(value, F.coalesce(nudged, F.col(value))).drop("_blk", "_t", "_gap", "_seg", "_prev", "_carry")
+    return joined.withColumns({n: corrected(n) for n in names}).select(*axis.columns)
 
 
 def is_strictly_monotonic(axis: DataFrame, keys: Sequence[str] = AXIS, index: str = "i", value: str = "v", block: int = BLOCK) -> DataFrame:
@@ -157,42 +161,64 @@ def sigma_axis(mid: DataFrame, interfaces: DataFrame, keys: Sequence[str] = AXIS
     strictly increasing, else ``ilev`` when all of it lies in 0..1, else 0, the midpoints between levels, 1. Columns
     may be absent or NULL for a whole axis. Values outside 0..1 or not strictly monotone are an error; with
     ``check="flag"`` they set the column ``valid`` to false instead.
+
+    Levels and interfaces share one table by ``k``, every choice is judged per axis in one grouping, and the choice is
+    then made per row.
     """
-    for name in ("hybm", "lev"):
-        mid = mid if name in mid.columns else mid.withColumn(name, F.lit(None).cast("double"))
-    for name in ("hybi", "ilev"):
-        interfaces = interfaces if name in interfaces.columns else interfaces.withColumn(name, F.lit(None).cast("double"))
-    unit = lambda c: F.coalesce((F.min(c) >= 0) & (F.max(c) <= 1), F.lit(False))
-
-    points = make_strictly_monotonic(mid.select(*keys, "k", "hybm", "lev"), "increasing", keys, "k", "hybm", block)
-    edges = make_strictly_monotonic(interfaces.select(*keys, "k", "hybi", "ilev"), "increasing", keys, "k", "hybi", block)
-    on_mid = points.groupBy(*keys).agg(F.count("hybm").alias("_n_hybm"), F.count(F.lit(1)).alias("_n"), unit("lev").alias("_lev_ok"))
-    on_edge = edges.groupBy(*keys).agg(
-        F.count("hybi").alias("_n_hybi"), F.count("ilev").alias("_n_ilev"), unit("ilev").alias("_ilev_ok")
+    double = lambda df, c: F.col(c).cast("double") if c in df.columns else F.lit(None).cast("double")
+    none = F.lit(None).cast("double")
+    levels = mid.select(*keys, "k", F.lit(True).alias("_mid"), double(mid, "hybm").alias("hybm"), double(mid, "lev").alias("lev"), none.alias("hybi"), none.alias("ilev"))
+    faces = interfaces.select(*keys, "k", F.lit(False).alias("_mid"), none.alias("hybm"), none.alias("lev"), double(interfaces, "hybi").alias("hybi"), double(interfaces, "ilev").alias("ilev"))
+    both = levels.unionByName(faces).groupBy(*keys, "k").agg(F.max("_mid").alias("_mid"), *[F.max(c).alias(c) for c in ("hybm", "lev", "hybi", "ilev")])
+    rising = make_strictly_monotonic(both, "increasing", keys, "k", ("hybm", "hybi"), block)
+    near = with_neighbours(rising, ["hybm", "lev", "hybi", "ilev", "_mid"], keys, "k", block)
+
+    def synthetic(name: str) -> tuple[Column, Column]:
+        return F.coalesce((F.col(f"{name}_before") + F.col(name)) * 0.5, F.lit(0.0)), F.coalesce((F.col(name) + F.col(f"{name}_after")) * 0.5, F.lit(1.0))
+
+    pairs = {"hybi": (F.col("hybi"), F.col("hybi_after")), "ilev": (F.col("ilev"), F.col("ilev_after"))}
+    made = {"hybm": synthetic("hybm"), "lev": synthetic("lev")}
+    sure = lambda c: F.coalesce(c, F.lit(False))
+    is_mid = F.col("_mid")
+    every = lambda condition: F.bool_and(~is_mid | condition)
+
+    def mid_ok(name: str) -> Column:
+        up, down = F.col(name) > F.col(f"{name}_before"), F.col(name) < F.col(f"{name}_before")
+        first = F.coalesce(~F.col("_mid_before"), F.lit(True))
+        return every(sure(F.col(name).between(0.0, 1.0))) & (every(first | sure(up)) | every(first | sure(down)))
+
+    def pair_ok(b0: Column, b1: Column) -> Column:
+        return every(sure((b0 < b1) & (b0 >= 0.0) & (b1 <= 1.0)))
+
+    unit = lambda c: sure((F.min(c) >= 0) & (F.max(c) <= 1))
+    facts = near.groupBy(*keys).agg(
+        F.sum(is_mid.cast("long")).alias("_n"),
+        *[F.count(c).alias(f"_n_{c}") for c in ("hybm", "hybi", "ilev")],
+        unit("lev").alias("_lev_unit"),
+        unit("ilev").alias("_ilev_unit"),
+        mid_ok("hybm").alias("_ok_hybm"),
+        mid_ok("lev").alias("_ok_lev"),
+        *[pair_ok(*pairs[c]).alias(f"_ok_{c}") for c in pairs],
+        *[pair_ok(*made[c]).alias(f"_ok_from_{c}") for c in made],
     )
-    facts = on_mid.join(on_edge, list(keys), "left")
-
-    near = with_neighbours(edges, ["hybi", "ilev"], keys, "k", block).select(*keys, "k", "hybi", "hybi_after", "ilev", "ilev_after")
-    joined = points.join(facts, list(keys)).join(near, [*keys, "k"], "left")
-    sigma = F.when(F.col("_n_hybm") > 0, F.col("hybm")).when(F.col("_lev_ok"), F.col("lev"))
-    placed = with_neighbours(joined.withColumn("sigma", sigma), ["sigma"], keys, "k", block)
-    synthetic0 = F.coalesce((F.col("sigma_before") + F.col("sigma")) * 0.5, F.lit(0.0))
-    synthetic1 = F.coalesce((F.col("sigma") + F.col("sigma_after")) * 0.5, F.lit(1.0))
-    by_hybi = F.coalesce(F.col("_n_hybi") > 0, F.lit(False))
-    by_ilev = F.coalesce(F.col("_ilev_ok") & (F.col("_n_ilev") == F.col("_n") + 1), F.lit(False))
-    lower = F.when(by_hybi, F.col("hybi")).when(by_ilev, F.col("ilev")).otherwise(synthetic0)
-    upper = F.when(by_hybi, F.col("hybi_after")).when(by_ilev, F.col("ilev_after")).otherwise(synthetic1)
-    bounded = placed.withColumns({"b0": lower, "b1": upper})
-
-    size_ok = ~by_hybi | (F.col("_n_hybi") == F.col("_n") + 1)
-    in_unit = F.col("sigma").between(0.0, 1.0) & F.col("b0").between(0.0, 1.0) & F.col("b1").between(0.0, 1.0)
-    rising = F.coalesce(F.col("sigma") > F.col("sigma_before"), F.lit(True)) & (F.col("b0") < F.col("b1"))
-    falling = F.coalesce(F.col("sigma") < F.col("sigma_before"), F.lit(True)) & (F.col("b0") < F.col("b1"))
-    # Edges rise by construction, so midpoints may rise or fall as a whole.
-    state = bounded.groupBy(*keys).agg(
-        (F.bool_and(F.coalesce(size_ok & in_unit, F.lit(False))) & (F.bool_and(rising) | F.bool_and(falling))).alias("valid")
+    def choose(way: tuple[Column, Column, Column], of_pair: Callable[[str], Column], of_made: Callable[[str], Column]) -> Column:
+        by_hybm, by_hybi, by_ilev = way
+        from_mid = F.when(by_hybm, of_made("hybm")).otherwise(of_made("lev"))
+        return F.when(by_hybi, of_pair("hybi")).when(by_ilev, of_pair("ilev")).otherwise(from_mid)
+
+    counted = (F.col("_n_hybm") > 0, F.col("_n_hybi") > 0, F.col("_ilev_unit") & (F.col("_n_ilev") == F.col("_n") + 1))
+    mids_valid = F.when(counted[0], F.col("_ok_hybm")).otherwise(F.col("_lev_unit") & F.col("_ok_lev"))
+    bounds_valid = choose(counted, lambda c: F.col(f"_ok_{c}"), lambda c: F.col(f"_ok_from_{c}"))
+    size_valid = ~counted[1] | (F.col("_n_hybi") == F.col("_n") + 1)
+    judged = facts.select(
+        *keys, *[c.alias(n) for n, c in zip(("_hybm", "_hybi", "_ilev"), counted)], (mids_valid & bounds_valid & size_valid).alias("valid")
     )
-    out = bounded.select(*keys, "k", "sigma", "b0", "b1").join(state, list(keys))
+    way = (F.col("_hybm"), F.col("_hybi"), F.col("_ilev"))
+    sigma = F.when(way[0], F.col("hybm")).otherwise(F.col("lev"))
+    lower = choose(way, lambda c: pairs[c][0], lambda c: made[c][0])
+    upper = choose(way, lambda c: pairs[c][1], lambda c: made[c][1])
+    joined = near.filter(is_mid).join(judged, list(keys))
+    out = joined.select(*keys, "k", sigma.alias("sigma"), lower.alias("b0"), upper.alias("b1"), "valid")
     if check == "flag":
         return out
     wrong = F.raise_error(F.concat(F.lit("sigma axis is not strictly monotone within 0..1: "), F.col(keys[0]).cast("string")))

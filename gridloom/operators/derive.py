@@ -6,6 +6,7 @@ import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field as dataclass_field
 
+from pyspark.errors import ParseException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -150,21 +151,29 @@ class Step:
 
 @dataclass(frozen=True)
 class Lowered:
-    """A formula as SQL arithmetic over plain names, and the steps that produce some of these names."""
+    """A formula as SQL arithmetic over plain names, the steps behind some of these names, and a regional sum."""
 
     sql: str
     steps: tuple[Step, ...] = dataclass_field(default_factory=tuple)
+    region: str | None = None  # nh or sh when the arithmetic is summed over that hemisphere
+
+    def names(self) -> set[str]:
+        """Plain names the arithmetic and the steps refer to."""
+        texts = [self.sql, *[s.expr for s in self.steps]]
+        return {n for t in texts for n in re.findall(r"\b[A-Za-z_]\w*", t)} - {s.name for s in self.steps}
 
 
 _VERTICAL = re.compile(r"verticalsum\(\s*([^(),]+?)\s*(?:,\s*capped_at\s*=\s*([\d.]+))?\s*(?:,\s*dim\s*=\s*['\"](\w+)['\"])?\s*\)")
 _INDEX_SUM = re.compile(r"sumoverpft\(\s*(\w+)\s*,\s*(?:pftlist\s*=\s*)?\[([\d,\s]*)\]\s*,\s*(?:dimname\s*=\s*)?['\"](\w+)['\"]\s*\)")
+_REGION = re.compile(r"^\((.+)\)\.where\(\w+\.coords\[['\"]TLAT['\"]\]\s*([<>])\s*0\)\.sum\(dim=\[[^\]]*\]\)$")
+_WHERE = re.compile(r"(\w+)\.where\(([^(),]+),\s*([\d.]+)\)")
 _SLICE = re.compile(r"(\w+)\[:,\s*(\d+)\s*,:,:\]")
 
 
 def lower_formula(formula: str) -> Lowered:
     """Take the helper calls out of a catalog formula; what is left is arithmetic that Spark parses itself.
 
-    The catalog writes its three helpers in one fixed way each, so plain pattern replacement finds them.
+    The catalog writes its few helpers in one fixed way each, so plain pattern replacement finds them.
     """
     steps: list[Step] = []
 
@@ -184,10 +193,27 @@ def lower_formula(formula: str) -> Lowered:
         return put(Step(f"_s{len(steps)}", "index_select", m.group(1), (int(m.group(2)),)))
 
     text = formula.split("#")[0].strip()
+    regional = _REGION.match(text)
+    if regional:
+        text = regional.group(1)
+    text = _WHERE.sub(r"CASE WHEN \2 THEN \1 ELSE \3 END", text)
     text = _VERTICAL.sub(vertical, text)
     text = _INDEX_SUM.sub(index_sum, text)
     text = _SLICE.sub(one, text)
-    return Lowered(text, tuple(steps))
+    return Lowered(text, tuple(steps), {">": "nh", "<": "sh"}[regional.group(2)] if regional else None)
+
+
+def formula_problem(lowered: Lowered) -> str | None:
+    """Why Spark cannot evaluate a formula, or None: text it cannot read, or a call of an unknown helper."""
+    for text in (lowered.sql, *[s.expr for s in lowered.steps]):
+        calls = [c for c in re.findall(r"\b([A-Za-z_]\w*)\s*\(", text) if c not in ("WHEN", "THEN", "ELSE", "AND", "OR", "NOT")]
+        if calls:
+            return f"formula calls unknown helper {calls[0]}"
+        try:
+            F.expr(guard_division(text))
+        except ParseException:
+            return "formula is not readable"
+    return None
 
 
 def realize_steps(
@@ -224,6 +250,19 @@ def realize_steps(
     return reduced.select(F.lit(target).alias("var"), *keys, F.expr(guard_division(lowered.sql)).cast("double").alias("value"))
 
 
+def realize_regional(
+    field: DataFrame, static: DataFrame, target: str, lowered: Lowered, names: Sequence[str], keys: Sequence[str] = ("time_idx",)
+) -> DataFrame:
+    """Sum the arithmetic of a formula over one hemisphere; ``static`` gives ``tlat`` and the static operands."""
+    wide = widen(field, names, (*keys, "cell"))
+    operands = [c for c in static.columns if c not in ("cell", *names)]
+    located = with_static(wide, static, operands)
+    inside = F.col("tlat") > 0 if lowered.region == "nh" else F.col("tlat") < 0
+    amount = F.expr(guard_division(lowered.sql)).cast("double")
+    total = missing_as_zero(F.sum(F.when(inside, amount)))
+    return located.groupBy(*keys).agg(total.alias("value")).select(F.lit(target).alias("var"), *keys, F.lit(lowered.region).alias("region"), "value")
+
+
 # --- regional sums -----------------------------------------------------------------------------------------------
 
 
