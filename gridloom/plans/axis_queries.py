@@ -202,7 +202,7 @@ def index_axis(spark, d):
 @query("index_axis_long", INDEX_SQL)
 def index_axis_long(spark, d):
     points = read(spark, d, "events").select(F.col("event_type").alias("axis_id"), "ts")
-    return ax.index_axis(points, "ts", bucket=F.to_date("ts"))
+    return ax.index_axis(points, "ts", bucket=F.substring(F.col("ts").cast("string"), 1, 16))  # by the minute
 
 
 SECONDS = "(hour(ts) * 3600 + minute(ts) * 60)::BIGINT * 1000000 + microsecond(ts)"

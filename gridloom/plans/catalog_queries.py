@@ -249,9 +249,10 @@ def canonical_realm(spark, d):
 
 
 SHEET_ROW = {
-    "name": "'n' || (o_custkey % 4000)",
+    # Up to three rows of a name, as an entry has a row per region.
+    "name": "'n' || cast(floor(o_orderkey / 3) AS bigint)",
     "ord": "o_orderkey",
-    "table": "CASE o_custkey % 2 WHEN 0 THEN 'seaIce' ELSE 'land' END",
+    "table": "CASE cast(floor(o_orderkey / 3) AS bigint) % 2 WHEN 0 THEN 'seaIce' ELSE 'land' END",
     "long_name": "o_orderpriority",
     "formula": "'f' || o_orderkey",
     "region": "CASE o_orderkey % 2 WHEN 0 THEN 'nh' ELSE 'sh' END",

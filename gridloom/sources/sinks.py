@@ -9,23 +9,32 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import fixed_values as fixed
 from gridloom.functions.values import fill_missing
+from gridloom.operators.regrid import fx_missing, fx_table
 from gridloom.operators.series import new_blocks
 
 
-def write_series(series: DataFrame, path: str, by: Sequence[str] = ("var", "freq"), files_per_variable: int = 8) -> None:
-    """Series files by variable. Rows spread by variable and time slot, so a large variable is not one task."""
-    slot = F.pmod(F.hash("time_idx"), F.lit(files_per_variable))
-    spread = series.repartition(*[F.col(c) for c in by], slot).sortWithinPartitions(*by, "time_idx")
+def gathered(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows of one output folder brought together, in pieces of the advisory partition size.
+
+    Adaptive execution joins small folders into one task and splits a folder that holds most of the rows, so the
+    number and size of files follow the data.
+    """
+    return df.hint("rebalance", *by)
+
+
+def write_series(series: DataFrame, path: str, by: Sequence[str] = ("var", "freq")) -> None:
+    """Series files by variable, each sorted in time."""
+    spread = gathered(series, by).sortWithinPartitions(*by, "time_idx")
     spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 def write_blocks(spark: SparkSession, series: DataFrame, path: str, *, overwrite: bool = False, keys: Sequence[str] = ("var", "block")) -> None:
     """Block files: replace the blocks at hand, or add only the blocks that are not stored yet."""
     if overwrite:
-        series.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+        gathered(series, keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
         return
     fresh = new_blocks(series, spark.read.parquet(path), keys) if _exists(spark, path) else series
-    fresh.write.mode("append").partitionBy(*keys).parquet(path)
+    gathered(fresh, keys).write.mode("append").partitionBy(*keys).parquet(path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -57,11 +66,23 @@ def with_facets(df: DataFrame, facets: Mapping[str, str], regridded: bool = True
     return named.withColumns(added)
 
 
-def write_tree(df: DataFrame, root: str, facets: Sequence[str] = fixed.TREE_FACETS, files_per_leaf: int = 8) -> None:
+def write_tree(df: DataFrame, root: str, facets: Sequence[str] = fixed.TREE_FACETS) -> None:
     """Parquet files under one folder level per facet."""
-    slot = F.pmod(F.hash("time_idx"), F.lit(files_per_leaf)) if "time_idx" in df.columns else F.lit(0)
-    spread = df.repartition(*[F.col(f) for f in facets], slot)
-    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*facets).parquet(root)
+    gathered(df, facets).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*facets).parquet(root)
+
+
+def ensure_fx(spark: SparkSession, path: str, static: DataFrame, weights: DataFrame, source_id: str) -> DataFrame:
+    """Stored fixed fields of all maps for one source; only maps that are not stored yet are computed and added.
+
+    Keyed by map and source, so another model's fractions on the same map are never reused.
+    """
+    wanted = weights.select("map_id", F.lit(source_id).alias("source_id")).distinct()
+    missing = fx_missing(wanted, spark.read.parquet(path)) if _exists(spark, path) else wanted
+    open_maps = sorted(row["map_id"] for row in missing.collect())  # a handful of maps
+    if open_maps:
+        made = fx_table(static, weights.filter(F.col("map_id").isin(open_maps)))
+        made.withColumn("source_id", F.lit(source_id)).write.mode("append").parquet(path)
+    return spark.read.parquet(path).filter(F.col("source_id") == source_id)
 
 
 def write_report(root: str, summary: DataFrame, tables: Mapping[str, DataFrame]) -> None:

@@ -80,6 +80,31 @@ def test_stored_fixed_fields_need_the_same_grid(spark, tmp_path):
     assert tables.load_existing_fx(spark, path, "orog", grid.limit(1)) is None
 
 
+def test_fixed_fields_are_computed_once_per_map_and_source(spark, tmp_path):
+    path = str(tmp_path / "fx")
+    static = spark.createDataFrame([(0, 0.5)], "cell bigint, landfrac double")
+    maps = lambda *m: spark.createDataFrame([(x, 0, 0, 1.0) for x in m], "map_id string, src_cell bigint, dst_cell bigint, w double")
+    assert sinks.ensure_fx(spark, path, static, maps("a"), "s1").count() == 1
+    other = static.withColumn("landfrac", F.lit(1.0))
+    rows = {r["map_id"]: r["sftlf"] for r in sinks.ensure_fx(spark, path, other, maps("a", "b"), "s1").collect()}
+    assert rows == {"a": 50.0, "b": 100.0}
+    assert [r["sftlf"] for r in sinks.ensure_fx(spark, path, other, maps("a"), "s2").collect()] == [100.0]
+
+
+def test_a_folder_with_most_rows_is_split(spark, tmp_path):
+    rows = spark.range(0, 400000).select(
+        F.when(F.col("id") % 10 < 9, "hot").otherwise(F.concat(F.lit("v"), F.col("id") % 7)).alias("var"),
+        F.lit("mon").alias("freq"), (F.col("id") % 997).cast("int").alias("time_idx"), F.rand(1).alias("value"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        sinks.write_series(rows, str(tmp_path / "s"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "s" / "var=hot" / "freq=mon").glob("*.parquet"))) > 3
+    assert spark.read.parquet(str(tmp_path / "s")).count() == 400000
+
+
 def test_report(spark, tmp_path):
     root = str(tmp_path / "report")
     counts = spark.createDataFrame([(3, 1)], "expected_variables int, missing_variables int")
