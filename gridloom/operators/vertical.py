@@ -153,6 +153,15 @@ def attach_vertical_meta(levels: DataFrame, interfaces: DataFrame, p0: Column |
     return joined if p0 is None else joined.withColumn("P0", p0)
 
 
+def hybrid_output(
+    field: DataFrame, surface: DataFrame, coefficients: DataFrame, p0: float = fixed.REFERENCE_PRESSURE_PA, surface_keys: Sequence[str] = ("time_idx", "cell")
+) -> DataFrame:
+    """A field on hybrid levels with what its levels mean: surface pressure ``ps``, coefficients ``a, b`` and ``p0``."""
+    table = coefficients.select("lev", F.col("hyam").alias("a"), F.col("hybm").alias("b"))
+    with_ps = field.join(surface.select(*surface_keys, "ps"), list(surface_keys))
+    return with_ps.join(small(table), "lev").withColumn("p0", F.lit(float(p0)))
+
+
 def truncate_bounds(levels: DataFrame, bounds: DataFrame, on: str = "k") -> DataFrame:
     """Reference bounds for the levels that exist, cut to their number."""
     return levels.join(small(bounds), on)

@@ -7,6 +7,7 @@ from gridloom.operators import audit as au
 from gridloom.plans.bindings import field, read
 from gridloom.plans.catalog_queries import catalog, request
 from gridloom.plans.registry import query, view
+from gridloom.sources.sinks import flat_table
 
 
 @query("spatial_mean_series", "SELECT var, time_idx, sum(value) / nullif(count(value), 0) AS value FROM field GROUP BY 1, 2", ["field"])
@@ -96,6 +97,16 @@ def log_variable(spark, d):
     return log_lines(spark, d).groupBy("file").agg(F.count(F.lit(1)).alias("lines")).withColumn("variable", tx.log_variable(F.col("file")))
 
 
+@query(
+    "report_rows",
+    "SELECT variable, '[' || string_agg(DISTINCT '\"' || grid || '\"', ',' ORDER BY '\"' || grid || '\"') || ']' AS grids, min(path) AS sample_path FROM inventory GROUP BY 1",
+    ["inventory"],
+)
+def report_rows(spark, d):
+    summary = inventory(spark, d).groupBy("variable").agg(F.array_sort(F.collect_set("grid")).alias("grids"), F.min("path").alias("sample_path"))
+    return flat_table(summary)
+
+
 LINE = """CASE conv_id % 4 WHEN 0 THEN 'WARN No mapping for ' || role || turn || ' in catalog ' || text WHEN 1 THEN 'Variable ' || role || turn || ' processed with status: ERROR m3 input variable not found. ' || text
    WHEN 2 THEN 'Source variable(s) not found for x' || turn || ', skipping ' || text ELSE text END"""
 view("line", f"SELECT conv_id, turn, {LINE} AS line FROM conversations")

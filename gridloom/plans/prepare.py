@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.functions import fixed_values as fixed
+from gridloom.functions.text import canonical_realm
 from gridloom.operators import catalog as ct
 from gridloom.operators import derive as dv
 from gridloom.operators import regrid as rg
@@ -35,6 +37,7 @@ class Target:
     region: str | None
     level: str | None
     map_id: str | None
+    surface: str = "all"  # land and ocean fields are weighted by the fraction of their surface
 
 
 def plan_targets(
@@ -45,9 +48,16 @@ def plan_targets(
     spread = ct.normalize_catalog(ct.expand_variants(usable), freq)
     routed = spread.withColumn("route", ct.route(F.element_at("dims", 1), F.col("table"), model, F.col("levels.name")))
     mapped = routed.withColumn("map_id", F.lit(None).cast("string")) if maps is None else rg.pick_map(routed, maps, model, resolution)
-    rows = mapped.select("name", "route", "source", "source_aliases", "formula", "region", F.col("levels.name").alias("level"), "map_id").collect()
+    realm = canonical_realm(F.col("table"))
+    surface = F.when(realm.isin("land", "landIce"), "land").when(realm.isin("ocean", "seaIce"), "ocean").otherwise("all")
+    rows = mapped.select(
+        "name", "route", "source", "source_aliases", "formula", "region", F.col("levels.name").alias("level"), "map_id", surface.alias("surface")
+    ).collect()
     return [
-        Target(r["name"], r["route"], r["source"], r["source_aliases"] or {}, r["formula"] or None, r["region"], r["level"], r["map_id"]) for r in rows
+        Target(
+            r["name"], r["route"], r["source"], r["source_aliases"] or {}, r["formula"] or None, r["region"], r["level"], r["map_id"], r["surface"]
+        )
+        for r in rows
     ]
 
 
@@ -119,11 +129,14 @@ def prepare(
     lon_cells: int = 360,
     available: Sequence[str] | None = None,
     dim_first: int = 0,
+    surface_map: str | None = None,
 ) -> tuple[dict[str, DataFrame], list[tuple[str, str]]]:
     """Output fields by route, and the status of every target.
 
-    Native routes keep their cells. General targets go to pressure first when they ask for it and are then regridded;
-    zonal ones are regridded level by level together with surface pressure (``PS``), interpolated and averaged.
+    Native routes keep their cells. General targets go to pressure first when they ask for it and are then regridded,
+    land and ocean ones weighted by their surface. Targets on hybrid levels (output ``hybrid``) come with surface
+    pressure and coefficients. Zonal ones are regridded level by level with ``PS``, interpolated and averaged.
+    ``surface_map`` is the map for ``PS``, by default that of the first target.
     """
     outputs: dict[str, DataFrame] = {}
     status: list[tuple[str, str]] = []
@@ -136,9 +149,14 @@ def prepare(
         if route in ("ocean_native", "seaice_native"):
             outputs[route] = rows
         elif route == "zonal_pressure":
-            outputs[route] = _zonal(rows, field, weights, chosen, coefficients, levels["plev39"], lon_cells)
+            outputs[route] = _zonal(spark, rows, field, weights, chosen, coefficients, levels["plev39"], lon_cells, surface_map)
         else:
-            outputs[route] = _general(spark, rows, field, weights, chosen, coefficients, levels or {})
+            on_hybrid = [t for t in chosen if (t.level or "").lower() in fixed.SIGMA_LEVELS]
+            others = [t for t in chosen if t not in on_hybrid]
+            if on_hybrid:
+                outputs["hybrid"] = _hybrid(spark, rows, field, weights, on_hybrid, coefficients, surface_map)
+            if others:
+                outputs[route] = _general(spark, rows, field, weights, static, others, coefficients, levels or {})
     return outputs, status
 
 
@@ -150,30 +168,62 @@ def _map_names(spark: SparkSession, targets: Sequence[Target]) -> DataFrame:
     return spark.createDataFrame([(t.name, t.map_id) for t in targets], "var string, map_id string").distinct()
 
 
-def _general(spark, rows, field, weights, targets, coefficients, levels) -> DataFrame:
+def _named(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    return rows.filter(F.col("var").isin(sorted(names)))
+
+
+def _general(spark, rows, field, weights, static, targets, coefficients, levels) -> DataFrame:
     pieces = []
-    on_pressure = {t.level for t in targets if t.level in levels}
-    for level in sorted(on_pressure):
-        names = [t.name for t in targets if t.level == level]
-        inputs = vt.join_column_inputs(rows.filter(F.col("var").isin(names)), _surface(field), coefficients)
+    for level in sorted({t.level for t in targets if t.level in levels}):
+        inputs = vt.join_column_inputs(_named(rows, [t.name for t in targets if t.level == level]), _surface(field), coefficients)
         pieces.append(vt.to_pressure(inputs, levels[level]))
     others = [t.name for t in targets if t.level not in levels]
     if others:
-        pieces.append(rows.filter(F.col("var").isin(others)))
+        pieces.append(_named(rows, others))
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pieces)
     keys = [c for c in ("var", "time_idx", "lev", "plev") if c in stacked.columns]
-    named = stacked.join(F.broadcast(_map_names(spark, targets)), "var")  # one row per target
-    return rg.regrid_by_map(named, weights, keys)
-
-
-def _zonal(rows, field, weights, targets, coefficients, levels, lon_cells) -> DataFrame:
-    surface = field.filter("var = 'PS'").select(*FIELD)
-    entries = rg.weights_of(weights, targets[0].map_id)
-    on_grid = rg.regrid(rows.select(*FIELD).unionByName(surface), entries)
+    outputs = []
+    plain = [t for t in targets if t.surface == "all"]
+    if plain:
+        named = _named(stacked, [t.name for t in plain]).join(F.broadcast(_map_names(spark, plain)), "var")  # one row per target
+        outputs.append(rg.regrid_by_map(named, weights, keys))
+    for surface, map_id in sorted({(t.surface, t.map_id) for t in targets if t.surface != "all"}):
+        mine = _named(stacked, [t.name for t in targets if (t.surface, t.map_id) == (surface, map_id)])
+        outputs.append(_masked(mine, rg.weights_of(weights, map_id), static, surface, keys))
+    return reduce(DataFrame.unionByName, outputs)
+
+
+def _masked(rows: DataFrame, entries: DataFrame, static: DataFrame, surface: str, keys: Sequence[str]) -> DataFrame:
+    """Land fields by land fraction and divided back; ocean fields by sea fraction where the grid has one."""
+    if surface == "land":
+        land = rg.land_percent(static).select("cell", (F.col("value") / 100.0).alias("fraction"))
+        on_target = rg.fx_fractions(static, entries).select("cell", (F.col("sftlf") / 100.0).alias("fraction"))
+        return rg.regrid_masked(rows, entries, land, keys, on_target)
+    if not set(fixed.SEA_FRACTION_NAMES) & set(static.columns):
+        return rg.regrid(rows, entries, keys)
+    sea = rg.sea_percent(static).select("cell", (F.col("value") / 100.0).alias("fraction"))
+    return rg.regrid_masked(rows, entries, sea, keys)
+
+
+def _with_surface(spark, rows, field, weights, targets, surface_map) -> DataFrame:
+    """Targets and ``PS`` on the destination grid, from one pass over the weights."""
+    names = [(t.name, t.map_id) for t in targets] + [("PS", surface_map or targets[0].map_id)]
+    maps = spark.createDataFrame(sorted(set(names)), "var string, map_id string")
+    both = _named(rows, [t.name for t in targets]).select(*FIELD).unionByName(field.filter("var = 'PS'").select(*FIELD))
+    return rg.regrid_by_map(both.join(F.broadcast(maps), "var"), weights)  # one row per target
+
+
+def _zonal(spark, rows, field, weights, targets, coefficients, levels, lon_cells, surface_map) -> DataFrame:
+    on_grid = _with_surface(spark, rows, field, weights, targets, surface_map)
     inputs = vt.join_column_inputs(on_grid.filter("var != 'PS'"), _surface(on_grid), coefficients)
     return vt.zonal_mean(vt.to_pressure(inputs, levels), lon_cells)
 
 
+def _hybrid(spark, rows, field, weights, targets, coefficients, surface_map) -> DataFrame:
+    on_grid = _with_surface(spark, rows, field, weights, targets, surface_map)
+    return vt.hybrid_output(on_grid.filter("var != 'PS'"), _surface(on_grid), coefficients)
+
+
 def write_outputs(outputs: Mapping[str, DataFrame], root: str, facets: Mapping[str, str]) -> None:
     """Every route into the output tree, missing values filled, grid label by whether it was regridded."""
     for route, rows in outputs.items():

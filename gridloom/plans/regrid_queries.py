@@ -2,11 +2,13 @@
 
 from pyspark.sql import functions as F
 
+from gridloom.functions import fixed_values as fixed
 from gridloom.functions.values import wrap_longitude
 from gridloom.operators import regrid as rg
 from gridloom.plans.bindings import CELLS, field, read, static, weights
 from gridloom.plans.registry import query, view
 
+view("conc_all", "SELECT time_idx, cell, QTY AS value FROM native WHERE lev = 1", ("native",))
 view(
     "regridded",
     """SELECT var, time_idx, lev, dst_cell AS cell,
@@ -166,10 +168,22 @@ def wrap(spark, d):
     ["price", "static"],
 )
 def attach_static(spark, d):
-    out = rg.attach_missing(field(spark, d, "PRICE"), static(spark, d), ("landfrac", "area", "landmask", "wet", "TLAT"))
+    out = rg.attach_missing(field(spark, d, "PRICE"), static(spark, d), fixed.STATIC_CARRIED)
     return out.select("var", "time_idx", "lev", "cell", "value", "landfrac", "area", "wet")
 
 
+@query(
+    "attach_ice_grid",
+    "SELECT time_idx, cell, value, tlat AS TLAT, lon AS TLON, lon - 1e0 AS lont_bounds FROM conc_all JOIN static USING (cell)",
+    ["conc_all", "static"],
+)
+def attach_ice_grid(spark, d):
+    """A field kept on its native ice grid carries the cell centres and bounds of that grid."""
+    conc = field(spark, d, "QTY").filter("lev = 1").select("time_idx", "cell", "value")
+    grid = static(spark, d).select("cell", F.col("tlat").alias("TLAT"), F.col("lon").alias("TLON"), (F.col("lon") - 1.0).alias("lont_bounds"))
+    return rg.attach_missing(conc, grid, fixed.ICE_GRID_CARRIED)
+
+
 @query(
     "attach_fixed_fields",
     """SELECT cell, coalesce(CASE WHEN cell % 4 = 0 THEN -1e0 END, sftlf) AS sftlf,

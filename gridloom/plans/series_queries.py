@@ -8,7 +8,7 @@ from gridloom.operators import series as sr
 from gridloom.plans.bindings import field, read, static
 from gridloom.plans.registry import query, view
 from gridloom.sources.sinks import prepare_output, with_facets
-from gridloom.sources.tables import facet_path, same_grid
+from gridloom.sources.tables import facet_path, same_grid, split_series
 
 MONTH = "(year(l_shipdate) * 12 + month(l_shipdate) - 1)::INTEGER"
 DIMS = ("time_idx", "lev", "cell", "l_orderkey")
@@ -109,12 +109,19 @@ def ocean_static(spark, d):
 
 @query(
     "scan_series",
-    "SELECT var, time_idx, lev, cell, value FROM field WHERE var IN ('PRICE', 'TAX') AND value IS NOT NULL",
+    """SELECT var, time_idx, lev, cell, value FROM field WHERE var IN ('PRICE', 'TAX')
+       UNION ALL SELECT DISTINCT 'area', NULL::INTEGER, NULL::INTEGER, l_suppkey, (l_suppkey % 13)::DOUBLE FROM lineitem""",
     ["field"],
 )
 def scan_series(spark, d):
-    # Rows as a scan returns them; reading stored series files is covered by the tests.
-    return field(spark, d, "PRICE", "TAX").filter(F.col("value").isNotNull())
+    """Series with NaN for missing and an area that every slice repeats."""
+    nan = F.coalesce("value", F.lit(float("nan")))
+    repeated = read(spark, d, "lineitem").select(
+        F.lit("area").alias("var"), month_index(F.col("l_shipdate")).alias("time_idx"), F.col("l_linenumber").alias("lev"),
+        F.col("l_suppkey").alias("cell"), (F.col("l_suppkey") % 13).cast("double").alias("value"),
+    )
+    moving, fixed_once = split_series(field(spark, d).withColumn("value", nan).unionByName(repeated), ("PRICE", "TAX", "area"))
+    return moving.unionByName(fixed_once, allowMissingColumns=True)
 
 
 @query(

@@ -152,9 +152,7 @@ def hybrid_output(spark, d):
     both = target.unionByName(surface.select(F.lit("PS").alias("var"), "time_idx", F.lit(0).alias("lev"), "cell", "value"))
     on_grid = rg.regrid(both, cons(spark, d))
     ps = on_grid.filter("var = 'PS'").select("time_idx", "cell", F.col("value").alias("ps"))
-    out = on_grid.filter("var != 'PS'").join(ps, ["time_idx", "cell"])
-    table = coefficients(spark).withColumnsRenamed({"hyam": "a", "hybm": "b"}).withColumn("p0", F.lit(100000.0))
-    return out.join(F.broadcast(table), "lev").select("var", "time_idx", "lev", "cell", "value", "ps", "a", "b", "p0")
+    return vt.hybrid_output(on_grid.filter("var != 'PS'"), ps, coefficients(spark))
 
 
 @query("rescale_levels", "SELECT axis_id, i, s / 1000e0 AS lev, (s + i) / 1000e0 AS ilev FROM axes", ["axes"])

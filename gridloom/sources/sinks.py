@@ -85,14 +85,13 @@ def ensure_fx(spark: SparkSession, path: str, static: DataFrame, weights: DataFr
     return spark.read.parquet(path).filter(F.col("source_id") == source_id)
 
 
+def flat_table(table: DataFrame) -> DataFrame:
+    """Nested columns as JSON text, for files that hold plain cells only."""
+    return table.select(*[F.to_json(c).alias(c) if t.startswith(("array", "map", "struct")) else F.col(c) for c, t in table.dtypes])
+
+
 def write_report(root: str, summary: DataFrame, tables: Mapping[str, DataFrame]) -> None:
     """Audit results: the summary as JSON, each table as CSV with a header, lists as JSON text."""
     summary.write.mode("overwrite").json(f"{root}/validation_summary")
     for name, table in tables.items():
-        flat = table.select(
-            *[
-                F.to_json(c).alias(c) if t.startswith(("array", "map", "struct")) else F.col(c)
-                for c, t in table.dtypes
-            ]
-        )
-        flat.write.mode("overwrite").option("header", True).csv(f"{root}/{name}")
+        flat_table(table).write.mode("overwrite").option("header", True).csv(f"{root}/{name}")

@@ -21,7 +21,13 @@ def scan_series(
 
     Files partitioned by ``var=`` are pruned by the variable list before anything is opened. NaN becomes NULL here.
     """
-    every = spark.read.parquet(*paths)
+    return split_series(spark.read.parquet(*paths), variables, static)
+
+
+def split_series(
+    every: DataFrame, variables: Sequence[str] | None = None, static: Sequence[str] = fixed.STATIC_CARRIED
+) -> tuple[DataFrame, DataFrame]:
+    """Series rows of the wanted variables, and each static value once however many files repeat it."""
     wanted = every if variables is None else every.filter(F.col("var").isin(list(variables)))
     clean = wanted.withColumn("value", null_if_nan(F.col("value").cast("double")))
     moving = clean.filter(~F.col("var").isin(*static))

@@ -27,6 +27,7 @@ def setup(spark):
               [("N", "(ice * tarea / 100.).where(ice.coords['TLAT'] > 0).sum(dim=['nj', 'ni'])", "nh"),
                ("S", "(ice * tarea / 100.).where(ice.coords['TLAT'] < 0).sum(dim=['nj', 'ni'])", "sh")]),
         entry("sos_x", "ocean", ["SO"], ["time", "latitude", "longitude"]),
+        entry("ua_x", "atmos", ["T"], ["time", "lev", "lat", "lon"], level="standard_hybrid_sigma"),
         entry("lost_x", "atmos", ["NOPE"], latlon),
         entry("both_x", "atmos", ["A", "B"], latlon),
         entry("odd_x", "atmos", ["A"], latlon, "mystery(A)"),
@@ -40,7 +41,7 @@ def setup(spark):
     field = spark.createDataFrame(values, "var string, time_idx int, lev int, cell bigint, value double")
     maps = spark.createDataFrame([("cesm", "r", "conservative", "c"), ("cesm", "r", "bilinear", "b")], "model string, resolution string, method string, map_id string")
     weights = spark.createDataFrame([(m, c, c // 2, 1.0) for m in "cb" for c in range(CELLS)], "map_id string, src_cell bigint, dst_cell bigint, w double")
-    static = spark.createDataFrame([(c, c - 1.5, 1e3) for c in range(CELLS)], "cell bigint, tlat double, tarea double")
+    static = spark.createDataFrame([(c, c - 1.5, 1e3, [0.5, 1.0, 0.0, 1.0][c]) for c in range(CELLS)], "cell bigint, tlat double, tarea double, landfrac double")
     coefficients = spark.createDataFrame([(k, 0.0, (k + 1) / LEVELS) for k in range(LEVELS)], "lev int, hyam double, hybm double")
     targets = pp.plan_targets(catalog, "cesm", "mon", maps, "r")
     outputs, status = pp.prepare(
@@ -55,7 +56,7 @@ def rows(df, name):
 
 def test_status_of_every_target(setup):
     _, status = setup
-    assert {n for n, s in status.items() if s == "ok"} == {"tas_x", "pr_x", "mrso_x", "ta_x", "tz_x", "siarea_x", "sos_x"}
+    assert {n for n, s in status.items() if s == "ok"} == {"tas_x", "pr_x", "mrso_x", "ta_x", "tz_x", "siarea_x", "sos_x", "ua_x"}
     assert "NOPE" in status["lost_x"] and "incomplete" in status["both_x"] and "mystery" in status["odd_x"]
 
 
@@ -64,6 +65,7 @@ def test_direct_and_formula_targets_are_regridded(setup):
     assert {r["cell"]: r["value"] for r in rows(out, "tas_x")} == {0: 5.0, 1: 25.0}
     # cell 0 divides by zero and is missing, so destination 0 rests on cell 1 alone
     assert {r["cell"]: r["value"] for r in rows(out, "pr_x")} == {0: 5.0, 1: pytest.approx((3.0 + 1 + 4 / 3) / 2)}
+    # weighted by land fraction and divided back: the value over land
     assert {r["value"] for r in rows(out, "mrso_x")} == {2.5}
 
 
@@ -75,6 +77,11 @@ def test_pressure_targets(setup):
     assert zonal == {(0, 100000.0): pytest.approx(220.0), (1, 100000.0): pytest.approx(220.0)}
 
 
+def test_hybrid_targets_carry_their_levels(setup):
+    got = {(r["cell"], r["lev"]): (r["value"], r["ps"], r["a"], r["b"], r["p0"]) for r in setup[0]["hybrid"].collect()}
+    assert got == {(c, k): (200.0 + 10 * k, 100000.0, 0.0, (k + 1) / LEVELS, 100000.0) for c in (0, 1) for k in range(LEVELS)}
+
+
 def test_native_targets_stay_on_their_cells(setup):
     ice = {r["region"]: r["value"] for r in setup[0]["seaice_native"].collect()}
     assert ice == {"nh": 1000.0, "sh": 1000.0}
