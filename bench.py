@@ -8,9 +8,8 @@ import statistics
 import sys
 import time
 
-from pyspark.sql import SparkSession
-
 from gridloom.plans import workload
+from gridloom.session import session
 
 HEADLINE = (
     "regrid_renorm", "regrid_all_variables", "regrid_dense_grid", "regrid_land_fraction", "regrid_ocean_fraction", "fx_by_map",
@@ -26,15 +25,13 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName("bench")
-        .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "6g"))
-        .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
+    spark = session(
+        "bench",
+        f"local[{cpus}]",
+        spark__driver__memory=os.environ.get("BENCH_MEMORY", "6g"),
+        spark__sql__shuffle__partitions=cpus,
+        spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("OFF")
     only = sys.argv[1:]

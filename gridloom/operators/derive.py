@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field as dataclass_field
+from functools import reduce
 
 from pyspark.errors import ParseException
 from pyspark.sql import Column, DataFrame
@@ -28,25 +29,31 @@ def require_variables(available: Sequence[str], needed: Sequence[str], context:
         raise KeyError(f"{context}: missing variables {missing}")
 
 
+def _pivot(field: DataFrame, label: Mapping[str, str], keys: Sequence[str]) -> DataFrame:
+    """One column per variable under its label, and ``_has_<label>`` where the variable has a row at the point."""
+    columns = []
+    for native, name in label.items():
+        columns.append(F.max(F.when(F.col("var") == native, F.col("value"))).alias(name))
+        columns.append(F.max(F.col("var") == native).alias(f"_has_{name}"))
+    return field.filter(F.col("var").isin(*label)).groupBy(*keys).agg(*columns)
+
+
+def _all_present(names: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"_has_{n}") for n in names], F.lit(True))
+
+
+def _used(text: str, names: Sequence[str]) -> list[str]:
+    return [n for n in names if re.search(rf"\b{re.escape(n)}\b", text)]
+
+
 def widen(field: DataFrame, names: Sequence[str], keys: Sequence[str] = POINT, aliases: Mapping[str, str] | None = None) -> DataFrame:
     """One column per variable, one row per point that all of them share.
 
-    A single grouped pass serves every formula built on it. Points missing from one of the variables are dropped, as
-    labelled arrays are aligned on common coordinates; a point that is present with a NULL value stays.
+    Points missing from one of the variables are dropped, as labelled arrays are aligned on common coordinates; a
+    point that is present with a NULL value stays.
     """
     label = {n: n for n in names} if aliases is None else {native: alias for alias, native in aliases.items()}
-    wide = (
-        field.filter(F.col("var").isin(*label))
-        .groupBy(*keys)
-        .agg(
-            *[F.max(F.when(F.col("var") == n, F.col("value"))).alias(a) for n, a in label.items()],
-            *[F.max(F.col("var") == n).alias(f"_has_{i}") for i, n in enumerate(label)],
-        )
-    )
-    every = F.lit(True)
-    for i in range(len(label)):
-        every = every & F.col(f"_has_{i}")
-    return wide.filter(every).drop(*[f"_has_{i}" for i in range(len(label))])
+    return _pivot(field, label, keys).filter(_all_present(list(label.values()))).select(*keys, *label.values())
 
 
 def guard_division(formula: str) -> str:
@@ -70,10 +77,18 @@ def realize_formula(
 
 
 def realize_formulas(field: DataFrame, formulas: Mapping[str, str], names: Sequence[str], keys: Sequence[str] = POINT) -> DataFrame:
-    """Many targets from one pass over the field: pivot once, project every formula, unpivot once."""
-    wide = widen(field, names, keys)
-    outputs = [F.expr(guard_division(text)).cast("double").alias(target) for target, text in formulas.items()]
-    return wide.select(*keys, *outputs).unpivot(list(keys), list(formulas), "var", "value")
+    """Many targets from one pass over the field: one pivot, then each point emits the formulas whose inputs it has."""
+    wide = _pivot(field, {n: n for n in names}, keys)
+    outputs = [
+        F.struct(
+            _all_present(_used(text, names)).alias("here"),
+            F.lit(target).alias("var"),
+            F.expr(guard_division(text)).cast("double").alias("value"),
+        )
+        for target, text in formulas.items()
+    ]
+    emitted = F.filter(F.array(*outputs), lambda o: o["here"])
+    return wide.select(*keys, F.explode(emitted).alias("_o")).select("_o.var", *keys, "_o.value")
 
 
 def with_static(field: DataFrame, static: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -227,10 +242,10 @@ def realize_steps(
 ) -> DataFrame:
     """Evaluate a formula with helper steps: widen once, reduce all steps in one grouping, then the arithmetic.
 
-    ``names`` are the native variables; those without rows in ``dim`` (fractions, areas) carry NULL there and join
-    the result by their single value per point.
+    ``names`` are the native variables; those without a level dimension (fractions, areas) have one row per point,
+    with any or no position in ``dim``, and enter the arithmetic by that value.
     """
-    wide = widen(field, names, (*keys, dim))
+    wide = _pivot(field, {n: n for n in names}, (*keys, dim))
     reductions = []
     for step in lowered.steps:
         value = F.expr(guard_division(step.expr))
@@ -244,9 +259,9 @@ def realize_steps(
         else:
             total = F.max(F.when(F.col(dim) == step.indices[0] + first, value))
         reductions.append(total.alias(step.name))
-    plain = [n for n in names if re.search(rf"\b{re.escape(n)}\b", lowered.sql)]
-    carried = [F.max(n).alias(n) for n in plain]
-    reduced = wide.groupBy(*keys).agg(*reductions, *carried)
+    carried = [F.max(n).alias(n) for n in _used(lowered.sql, names)]
+    present = [F.max(f"_has_{n}").alias(f"_has_{n}") for n in names]
+    reduced = wide.groupBy(*keys).agg(*reductions, *carried, *present).filter(_all_present(names))
     return reduced.select(F.lit(target).alias("var"), *keys, F.expr(guard_division(lowered.sql)).cast("double").alias("value"))
 
 

@@ -70,6 +70,20 @@ def test_steps(spark):
     assert dv.realize_steps(field, "t", low, ["Y", "F"]).first()["value"] == pytest.approx(3.5)
 
 
+def test_steps_with_an_operand_without_levels(spark):
+    rows = [("Y", 0, k, c, float(k)) for k in (1, 2, 3) for c in (0, 1)] + [("F", 0, None, 0, 0.5)]
+    field = spark.createDataFrame(rows, FIELD)
+    low = dv.lower_formula("sumoverpft(Y, pftlist=[1, 3], dimname='lev') * F")
+    out = dv.realize_steps(field, "t", low, ["Y", "F"], first=1).collect()
+    assert [(r["cell"], r["value"]) for r in out] == [(0, 2.0)]  # cell 1 has no fraction
+
+
+def test_each_formula_needs_only_its_own_inputs(spark):
+    field = field_of(spark, A=[1.0, 2.0], B=[3.0], C=[4.0, None])
+    out = dv.realize_formulas(field, {"ab": "A + B", "ac": "A * C"}, ["A", "B", "C"])
+    assert sorted(((r["var"], r["lev"], r["value"]) for r in out.collect()), key=str) == [("ab", 0, 4.0), ("ac", 0, 4.0), ("ac", 1, None)]
+
+
 def sea_ice(spark):
     """4 x 4 grid with latitudes -30, -10, 10, 30, concentration 50 percent at two times."""
     static = spark.createDataFrame([(c, [-30.0, -10.0, 10.0, 30.0][c // 4], 1e10) for c in range(16)], "cell bigint, tlat double, tarea double")
