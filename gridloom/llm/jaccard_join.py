@@ -12,8 +12,8 @@ A set goes into its own band, and into each lower band whose smaller sets it may
 
 Copies in one part of a batch write their keys once, and sets that are equal (by a 256-bit digest) are one node. Where
 several nodes share a key, each is verified against one hub, the one that shares most keys overall; then the hub has done
-its part, and what is still in other components goes on with the next hub. After a few rounds the rest is compared across
-components only. So a group of n near copies costs some n verifications, not n*n, and every pair of nodes with a common key
+its part, and what is still in other components goes on with the next hub. After two rounds the rest is compared across
+components only, block by block, by histograms whose differences bound those of the sets; only what they leave is verified. So a group of n near copies costs some n verifications, not n*n, and every pair of nodes with a common key
 is verified or already joined by verified links. Verification is exact: it builds both sets from the texts.
 
 Cases: a null text or one without words has the empty set and no link; with fewer than n words the whole sequence is the
@@ -31,16 +31,16 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import Recent, cut, no_cycles, raw_text, slices
+from gridloom.llm.common import cut, raw_text, slices
 from gridloom.llm.components import components
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-#: Distinct words whose hash a worker remembers in each of two generations.
-WORDS = 250_000
+BLANK = np.zeros(256, bool)
+BLANK[[9, 10, 11, 12, 13, 32]] = True
+BYTE = np.random.default_rng(20).integers(1, 1 << 63, 256, np.uint64)
 #: Keys in one bucket of the index, about.
 PER_BUCKET = 1_000_000
 #: Up to so many ids are broadcast (8 bytes each).
@@ -147,35 +147,72 @@ def elements(raw: bytes, n: int) -> set[tuple[bytes, ...]]:
     return {tuple(words)} if 0 < len(words) < n else set(zip(*(words[i:] for i in range(n)), strict=False))
 
 
-class Hashes:
-    """Sets of 64-bit element hashes of texts. They only find candidates and count the distinct elements of one text."""
-
-    def __init__(self):
-        self.words = Recent(WORDS)
+@cache
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number modulo 2**64, and of its inverse."""
+    odd = 0x9E3779B97F4A7C15
+    with np.errstate(over="ignore"):
+        return tuple(np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, x, np.uint64)]), dtype=np.uint64) for x in (odd, pow(odd, -1, 1 << 64)))
 
-    def sets(self, raws: list[bytes], n: int) -> list[np.ndarray]:
-        with no_cycles():
-            words = [words_of(raw) for raw in raws]
-            for word in self.words.lacking(set().union(*words)):
-                self.words.young[word] = xxhash.xxh3_64_intdigest(word)
-            known = self.words.young.__getitem__
-            return [self.combined(np.fromiter(map(known, some), np.uint64, len(some)), n) for some in words]
 
-    @staticmethod
-    def combined(codes: np.ndarray, n: int) -> np.ndarray:
-        if not len(codes):
-            return codes
-        n = min(n, len(codes))
+def word_hashes(text: bytes) -> np.ndarray:
+    """64-bit hashes of the words of a text: sums of a random number for each byte times a power of its place."""
+    codes = np.frombuffer(text, np.uint8)
+    inner = np.concatenate([[False], ~BLANK[codes], [False]])
+    edges = np.flatnonzero(inner[1:] != inner[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    up, down = powers(1 << max(20, len(text).bit_length()))
+    with np.errstate(over="ignore"):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE[codes] * up[: len(codes)])])
+        return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def element_sets(raws: list[bytes], n: int) -> list[np.ndarray]:
+    """Sets of 64-bit element hashes of texts, in order. They only find candidates and count one text's elements."""
+    lows = [raw.translate(LOWER) for raw in raws]
+    out, start = [], 0
+    while start < len(lows):
+        stop, held = start, 0
+        while stop < len(lows) and (stop == start or held + len(lows[stop]) < 1 << 20):
+            held += len(lows[stop]) + 1
+            stop += 1
+        some = lows[start:stop]
+        found = word_hashes(b" ".join(some))
+        counts = [len(x.split()) for x in some] if len(some) > 1 else [len(found)]
         with np.errstate(over="ignore"):
-            total = np.full(len(codes) - n + 1, n, np.uint64)
+            total = np.full(max(0, len(found) - n + 1), n, np.uint64)
             for i in range(n):
-                total = mix(total * np.uint64(0x9E3779B97F4A7C15) + codes[i : len(codes) - n + 1 + i])
-        return np.unique(total)
+                total = mix(total * np.uint64(0x9E3779B97F4A7C15) + found[i : len(found) - n + 1 + i]) if len(total) else total
+        at = 0
+        for count in counts:
+            if count >= n:
+                mine = np.sort(total[at : at + count - n + 1])
+                out.append(mine[np.concatenate([[True], mine[1:] != mine[:-1]])])
+            else:
+                out.append(short(found[at : at + count]))
+            at += count
+        start = stop
+    return out
 
 
-@cache
-def hashes() -> Hashes:
-    return Hashes()
+def short(found: np.ndarray) -> np.ndarray:
+    """The one element of a text with fewer than n words."""
+    if not len(found):
+        return found
+    total = np.full(1, len(found), np.uint64)
+    with np.errstate(over="ignore"):
+        for code in found:
+            total = mix(total * np.uint64(0x9E3779B97F4A7C15) + code)
+    return total
+
+
+def histogram(found: np.ndarray) -> bytes:
+    """How many elements fall into each cell of a hash, 255 at most; cells: a power of two, about the size of the set.
+    Half as many cells are the sums of neighbours; the sum of differences of two histograms is never above the number
+    of elements in which the sets differ."""
+    cells = 1 << max(4, (len(found) - 1).bit_length() if len(found) else 0)
+    place = (found >> np.uint64(65 - cells.bit_length())).astype(np.int64)
+    return np.minimum(np.bincount(place, minlength=cells), 255).astype(np.uint8).tobytes()
 
 
 def keys_of(found: np.ndarray, scheme: Scheme) -> np.ndarray:
@@ -208,7 +245,7 @@ def described(docs: DataFrame, scheme: Scheme, id_col: str, text_col: str) -> Da
     def run(batches):
         for batch in batches:
             for some in slices(batch, "text"):
-                sets = hashes().sets(some.column(1).to_pylist(), scheme.n)
+                sets = element_sets(some.column(1).to_pylist(), scheme.n)
                 digest = [hashlib.sha256(x.tobytes()).digest() if len(x) else None for x in sets]
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(digest, pa.binary())], schema=kinds)
 
@@ -236,7 +273,7 @@ def indexed(texts: DataFrame, scheme: Scheme, buckets: int) -> DataFrame:
         held = 0
         for batch in batches:
             for some in slices(batch, "text"):
-                for node, elements_of in zip(some.column(0).to_pylist(), hashes().sets(some.column(1).to_pylist(), scheme.n), strict=True):
+                for node, elements_of in zip(some.column(0).to_pylist(), element_sets(some.column(1).to_pylist(), scheme.n), strict=True):
                     if len(elements_of) and (digest := hashlib.sha256(elements_of.tobytes()).digest()) not in found:
                         found[digest] = node, keys_of(elements_of, scheme)
                         held += len(found[digest][1])
@@ -331,7 +368,83 @@ def texts_of(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> D
     return chosen.join(F.broadcast(nodes) if nodes.count() <= BROADCAST_IDS else nodes.hint("merge"), "node", "left_semi")
 
 
-def near_groups(docs: DataFrame, scheme: Scheme = Scheme(), id_col: str = "doc_id", text_col: str = "text", stars: int = 4) -> DataFrame:
+def sketched(texts: DataFrame, scheme: Scheme) -> DataFrame:
+    """node, size, cells (a histogram) of node, text."""
+    kinds = pa.schema([("node", pa.int64()), ("size", pa.int64()), ("cells", pa.binary())])
+
+    def run(batches):
+        for batch in batches:
+            for some in slices(batch, "text"):
+                sets = element_sets(some.column(1).to_pylist(), scheme.n)
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([histogram(x) for x in sets], pa.binary())], schema=kinds)
+
+    return texts.mapInArrow(run, "node bigint, size bigint, cells binary")
+
+
+def folded(cells: list[bytes], n: int) -> np.ndarray:
+    return np.stack([np.minimum(np.frombuffer(x, np.uint8).reshape(n, -1).sum(1, dtype=np.int64), 255) for x in cells]).astype(np.int16)
+
+
+def close_pairs(one: tuple, two: tuple | None, scheme: Scheme) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of nodes of two blocks (or of one) in different components whose sizes and histograms leave room for a link.
+    A block: nodes, labels, sizes, histograms."""
+    two = two or one
+    n = min(min(map(len, one[3])), min(map(len, two[3])))
+    left, right = folded(one[3], n), folded(two[3], n)
+    found_a, found_b = [], []
+    for i in range(len(left)):
+        total = one[2][i] + two[2]
+        may = (one[1][i] != two[1]) & (one[0][i] != two[0])
+        may &= 100 * np.minimum(one[2][i], two[2]) >= scheme.percent * np.maximum(one[2][i], two[2])
+        at = np.flatnonzero(may)
+        if len(at):
+            differ = np.abs(right[at] - left[i]).sum(1, dtype=np.int64)
+            at = at[(100 + scheme.percent) * differ <= (100 - scheme.percent) * total[at]]
+            found_a.append(np.full(len(at), one[0][i]))
+            found_b.append(two[0][at])
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *found_a]), np.concatenate([none, *found_b])
+
+
+def across(members: DataFrame, sketches: DataFrame, scheme: Scheme, block: int = 1000) -> DataFrame:
+    """a, b: nodes with a common key in different components that may link by their histograms. A key's nodes are dealt
+    into blocks of some ``block``, and each pair of blocks is compared where it lies; only what may link comes out."""
+    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    dealt = members.join(sizes, "key").withColumn("mine", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = dealt.select("key", "node", "label", "mine", other)
+    pair = dealt.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "label").join(sketches, "node")
+    parts = pair.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "mine").select("key", "i", "j", "mine", "node", "label", "size", "cells")
+    kinds = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def block_of(rows: list[tuple]) -> tuple:
+        return (*(np.array([r[k] for r in rows], np.int64) for k in (4, 5, 6)), [r[7] for r in rows])
+
+    def compared(rows: list[tuple]):
+        first = [r for r in rows if r[3] == r[1]]
+        second = [r for r in rows if r[3] != r[1]] if rows[0][1] != rows[0][2] else None
+        if not first or second == []:
+            return None
+        a, b = close_pairs(block_of(first), block_of(second) if second else None, scheme)
+        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=kinds) if len(pairs) else None
+
+    def run(batches):
+        rows: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if rows and row[:3] != rows[0][:3]:
+                    if (out := compared(rows)) is not None:
+                        yield out
+                    rows = []
+                rows.append(row)
+        if rows and (out := compared(rows)) is not None:
+            yield out
+
+    return parts.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def near_groups(docs: DataFrame, scheme: Scheme = Scheme(), id_col: str = "doc_id", text_col: str = "text", stars: int = 2) -> DataFrame:
     """Every row: doc_id, n_shingles, component_id."""
     rows = cut(described(docs, scheme, id_col, text_col))
     known = rows.filter("digest IS NOT NULL AND doc_id IS NOT NULL")
@@ -357,11 +470,11 @@ def near_groups(docs: DataFrame, scheme: Scheme = Scheme(), id_col: str = "doc_i
         if members.isEmpty():
             break
         if star < stars:
-            ends = members.filter("label <> hub.label").select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
+            ends = members.filter("label <> hub.label").select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
         else:
-            other = members.select("key", F.col("node").alias("b"), F.col("label").alias("other"))
-            ends = members.select("key", F.col("node").alias("a"), "label").join(other, "key").filter("a < b AND label <> other").select("a", "b")
-        pairs = cut(ends.distinct().join(tried, ["a", "b"], "left_anti"))
+            left = members.select("node").distinct()
+            ends = across(members.select("key", "node", "label"), sketched(some.join(left, "node", "left_semi"), scheme), scheme)
+        pairs = cut(ends.join(tried, ["a", "b"], "left_anti"))
         links, tried = cut(links.union(verified(pairs, some, scheme)).distinct()), cut(tried.union(pairs))
         members = members.filter("node <> hub.node").select("key", "node", "weight")
     named = labelled(sets, links, "node").select("digest", "label")
