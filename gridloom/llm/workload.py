@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import byte_bpe, exact_dedup, jaccard_join, packing, sharding
+from gridloom.llm import byte_bpe, cover_tree, exact_dedup, html_extract, jaccard_join, language_id, lm_score, packing, sharding, toxicity
 from gridloom.llm.common import raw_text, table
 
 SHARDS = 40
@@ -42,12 +42,47 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_vectors(table(spark, sf_dir, "embeddings"), 0.9)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels, ~toxicity.held_out())
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_clauses")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs, ~language_id.held_out())
+    return language_id.predict(docs, model).select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.fit(pages))
+
+
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target model counts the documents of quality 1. Its labels are joined by id, one for each id."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    good = labels.filter("quality = 1").select(F.col("doc_id").alias("_good")).distinct()
+    marked = docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("_good"), "left")
+    return lm_score.score(marked, F.col("_good").isNotNull())
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_sharding": op2_sharding,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_cover_tree": op5_cover_tree,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_toxicity": op7_toxicity,
+    "op8_language_id": op8_language_id,
+    "op9_html_extraction": op9_html_extraction,
+    "op10_lm_score": op10_lm_score,
 }
 
 ORACLES = {
