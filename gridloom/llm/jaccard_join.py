@@ -12,7 +12,7 @@ A set goes into its own band, and into each lower band whose smaller sets it may
 
 Copies in one part of a batch write their keys once, and sets that are equal (by a 256-bit digest) are one node. Where
 several nodes share a key, each is verified against one hub, the one that shares most keys overall; then the hub has done
-its part, and what is still in other components goes on with the next hub. After two rounds the rest is compared across
+its part, and what is still in other components goes on without it. After ``stars`` hubs the rest is compared across
 components only, block by block, by histograms whose differences bound those of the sets; only what they leave is verified. So a group of n near copies costs some n verifications, not n*n, and every pair of nodes with a common key
 is verified or already joined by verified links. Verification is exact: it builds both sets from the texts.
 
@@ -444,7 +444,7 @@ def across(members: DataFrame, sketches: DataFrame, scheme: Scheme, block: int =
     return parts.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def near_groups(docs: DataFrame, scheme: Scheme = Scheme(), id_col: str = "doc_id", text_col: str = "text", stars: int = 2) -> DataFrame:
+def near_groups(docs: DataFrame, scheme: Scheme = Scheme(), id_col: str = "doc_id", text_col: str = "text", stars: int = 1) -> DataFrame:
     """Every row: doc_id, n_shingles, component_id."""
     rows = cut(described(docs, scheme, id_col, text_col))
     known = rows.filter("digest IS NOT NULL AND doc_id IS NOT NULL")
@@ -464,7 +464,8 @@ def near_groups(docs: DataFrame, scheme: Scheme = Scheme(), id_col: str = "doc_i
     links = members.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     tried = links
     for star in range(stars + 1):
-        members = cut(labelled(members, links, "node").select("key", "node", "weight", "label"))
+        # Before the first hub there is no link yet.
+        members = cut(labelled(members, links, "node").select("key", "node", "weight", "label")) if star else members.withColumn("label", F.col("node"))
         open_ = members.groupBy("key").agg(F.max(F.struct("weight", "node", "label")).alias("hub"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("key", "hub")
         members = cut(members.join(open_, "key"))
         if members.isEmpty():
@@ -480,7 +481,7 @@ def near_groups(docs: DataFrame, scheme: Scheme = Scheme(), id_col: str = "doc_i
     named = labelled(sets, links, "node").select("digest", "label")
     # Rows that share an id share a component.
     grouped = known.join(named, "digest").select("doc_id", "n_shingles", "label")
-    twice = grouped.groupBy("doc_id").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select(F.col("low").alias("a"), F.col("high").alias("b"))
-    joined = labelled(grouped.withColumnRenamed("label", "part"), cut(twice), "part")
+    twice = cut(grouped.groupBy("doc_id").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select(F.col("low").alias("a"), F.col("high").alias("b")))
+    joined = grouped if twice.isEmpty() else labelled(grouped.withColumnRenamed("label", "part"), twice, "part")
     alone = rows.filter("digest IS NULL OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return joined.select("doc_id", "n_shingles", F.col("label").alias("component_id")).unionByName(alone)
