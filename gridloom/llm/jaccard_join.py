@@ -38,6 +38,8 @@ from gridloom.llm.common import cut, raw_text, slices
 from gridloom.llm.components import components
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+#: Bytes of text that are hashed at once, about.
+LONG = 1 << 21
 BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
 BYTE = np.random.default_rng(20).integers(1, 1 << 63, 256, np.uint64)
@@ -158,6 +160,15 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 def word_hashes(text: bytes) -> np.ndarray:
     """64-bit hashes of the words of a text: sums of a random number for each byte times a power of its place."""
     codes = np.frombuffer(text, np.uint8)
+    if len(text) > LONG:
+        # A long text in parts that end between words; only a longer word makes a longer part.
+        blank = np.flatnonzero(BLANK[codes])
+        cuts = np.unique(blank[np.unique(np.searchsorted(blank, np.arange(LONG // 2, len(text), LONG // 2), "right")) - 1]) if len(blank) else blank
+        if len(cuts):
+            ends = [0, *cuts.tolist(), len(text)]
+            parts = [text[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+            if max(map(len, parts)) < len(text):
+                return np.concatenate([word_hashes(part) for part in parts])
     inner = np.concatenate([[False], ~BLANK[codes], [False]])
     edges = np.flatnonzero(inner[1:] != inner[:-1])
     starts, ends = edges[::2], edges[1::2]

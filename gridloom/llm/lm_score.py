@@ -189,14 +189,27 @@ def frequent(rows: DataFrame, models: Models, all_n: int) -> DataFrame:
     kinds = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("target", pa.int64())])
 
     def often(batches):
+        def found():
+            key, sums = totals(keys, counts)
+            often = (sums * VOCABULARY >= tokens) & (sums > 1)
+            return pa.RecordBatch.from_arrays([pa.array(key[often].view(np.int64)), pa.array(sums[often]), pa.array(sums[often])], schema=kinds)
+
+        keys, counts, tokens, held = [], [], 0, 0
         for batch in batches:
-            words, sizes = hashed(batch.column(1).to_pylist())
-            key, n = np.unique(bigrams(words_kept(words, models.vocabulary), sizes), return_counts=True)
-            found = n * VOCABULARY >= len(words)
-            found &= n > 1
-            yield pa.RecordBatch.from_arrays([pa.array(key[found].view(np.int64)), pa.array(n[found]), pa.array(n[found])], schema=kinds)
+            for some in pieces(batch, "text"):
+                words, sizes = hashed(some.column(1).to_pylist())
+                key, n = np.unique(bigrams(words_kept(words, models.vocabulary), sizes), return_counts=True)
+                keys.append(key)
+                counts.append(n)
+                tokens += len(words)
+                held += len(key)
+                if held > 1_500_000:
+                    yield found()
+                    keys, counts, tokens, held = [], [], 0, 0
+        if held:
+            yield found()
 
-    # A batch's candidates have 1/VOCABULARY of its tokens; what batches without it as a candidate add stays below that of all.
+    # A candidate has 1/VOCABULARY of the tokens of some stretch; what stretches without it add stays below that of all.
     seen = rows.mapInArrow(often, "key bigint, n bigint, target bigint").groupBy("key").agg(F.sum("n").alias("n"), F.sum("target").alias("target"))
     candidates = as_arrays(seen.filter(F.col("n") * VOCABULARY >= all_n))[0]
 
