@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import exact_dedup, jaccard_join, language_id, toxicity
-from gridloom.llm.common import cut, ship, table
+from gridloom.llm.common import cut, free_name, ship, table
 from gridloom.llm.workload import packed
 
 
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """docs but those whose id is in ``dropped`` (id named _id)."""
-    return docs.join(dropped.distinct(), F.col("doc_id") == F.col("_id"), "left_anti")
+    """docs but those whose id is in ``dropped``, a table of one column."""
+    name = free_name(docs, "_dropped")
+    return docs.join(dropped.toDF(name).distinct(), F.col("doc_id") == F.col(name), "left_anti")
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

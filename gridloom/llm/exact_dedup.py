@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import cut, raw_text
+from gridloom.llm.common import cut, free_name, raw_text
 
 #: Counters in a summary: a digest with more than 2/COUNTERS of all rows is split off.
 COUNTERS = 1000
@@ -87,14 +87,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = COUNTERS) -> DataFrame:
     """The rows of docs that stay, with all their columns. Rows of one id and one text are one document here: one stays."""
-    kept = exact_groups(docs, id_col, text_col, k).filter("kept").select(F.col("doc_id").alias("_kept_id"), "digest")
-    repeats = docs.groupBy(id_col).agg(F.count("*").alias("_times")).filter("_times > 1").select(F.col(id_col).alias("_id"))
-    same = F.col(id_col).eqNullSafe(F.col("_id"))
-    once = docs.join(repeats, same, "left_anti").join(kept, F.col(id_col) == F.col("_kept_id"), "left_semi")
-    twice = docs.join(repeats, same, "left_semi")
-    # The few ids that come more than once, with their texts' digests; a null id is one of them or stands alone above.
-    hashed = twice.withColumn("_digest", F.sha2(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"[\x20\x09-\x0D]", "").cast("binary"), 256))
-    match = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_digest") == F.lower(F.hex("digest")))
-    some = hashed.join(kept, match, "left_semi").dropDuplicates([id_col, "_digest"]).drop("_digest")
-    alone = docs.filter(F.col(id_col).isNull()).join(repeats, same, "left_anti").join(kept.filter("_kept_id IS NULL").limit(1).select(F.lit(True).alias("_any")), F.lit(True), "left_semi")
-    return once.unionByName(some).unionByName(alone)
+    other, mark, times = (free_name(docs, n) for n in ("_other_id", "_digest", "_times"))
+    kept = exact_groups(docs, id_col, text_col, k).filter("kept").select(F.col("doc_id").alias(other), "digest")
+    kept = kept.withColumnRenamed("digest", f"{mark}_kept")
+    repeats = docs.groupBy(id_col).agg(F.count("*").alias(times)).filter(F.col(times) > 1).select(F.col(id_col).alias(other))
+    same = F.col(id_col).eqNullSafe(F.col(other))
+    once = docs.filter(F.col(id_col).isNotNull()).join(repeats, same, "left_anti").join(kept, F.col(id_col) == F.col(other), "left_semi")
+    # Ids that come more than once, and rows without one, are told apart by their texts' digests, too.
+    twice = docs.join(repeats, same, "left_semi").unionByName(docs.filter(F.col(id_col).isNull()).join(repeats, same, "left_anti"))
+    plain = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"[\x20\x09-\x0D]", "").cast("binary")
+    hashed = twice.withColumn(mark, F.unhex(F.sha2(plain, 256)))
+    some = hashed.join(kept, same & (F.col(mark) == F.col(f"{mark}_kept")), "left_semi").dropDuplicates([id_col, mark]).drop(mark)
+    return once.unionByName(some)

@@ -28,7 +28,7 @@ def counts(text: str) -> np.ndarray:
     plain = codes < 128
     letter = np.where(plain, (codes >= 97) & (codes <= 122), codes >= 192)
     codes = np.where(letter, codes, np.uint64(32))
-    keep = np.concatenate([[True], (codes[1:] != 32) | (codes[:-1] != 32)])
+    keep = np.concatenate([[True], (codes[1:] != 32) | (codes[:-1] != 32)])[: len(codes)]
     codes = np.concatenate([[32], codes[keep], [32]]).astype(np.uint64)
     out = np.zeros(DIMENSIONS)
     total = np.zeros(len(codes), np.uint64)

@@ -154,7 +154,8 @@ def fit(docs: DataFrame, labels: DataFrame, training, id_col: str = "doc_id", te
     share = F.when(F.col("toxic") == 1, F.lit(1e6 * min(1.0, 0.95 * PER_LABEL / sizes.get(1, 1)))).otherwise(1e6 * min(1.0, 0.95 * PER_LABEL / sizes.get(0, 1)))
     # The drawn ids are 2 * PER_LABEL at most, about, so they can be broadcast.
     drawn = F.broadcast(known.filter(F.col("draw") < share).select("_id", "toxic"))
-    rows = docs.join(drawn, F.col(id_col) == F.col("_id")).select("toxic", F.coalesce(F.col(text_col), F.lit("")).alias("text")).collect()
+    own = docs.select(F.col(id_col).alias("own_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = own.join(drawn, F.col("own_id") == F.col("_id")).select("toxic", "text").collect()
     texts = sorted({(r.text, r.toxic) for r in rows})
     toxic, clean = [t for t, y in texts if y], [t for t, y in texts if not y]
     found = learn_marks(toxic, clean)

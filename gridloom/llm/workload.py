@@ -65,9 +65,11 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The target model counts the documents of quality 1. Its labels are joined by id, one for each id."""
+    """The target model counts the documents of quality 1. Their ids are broadcast if they are counted to be few; else
+    both sides are dealt out by id."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     good = labels.filter("quality = 1").select(F.col("doc_id").alias("_good")).distinct()
+    good = F.broadcast(good) if good.count() <= jaccard_join.BROADCAST_IDS else good.hint("merge")
     marked = docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("_good"), "left")
     return lm_score.score(marked, F.col("_good").isNotNull())
 
