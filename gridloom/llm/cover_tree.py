@@ -67,7 +67,7 @@ def top_centres(x: np.ndarray, wanted: int) -> np.ndarray:
     return x[chosen]
 
 
-def tree(x: np.ndarray) -> tuple[np.ndarray, list[dict]]:
+def tree(x: np.ndarray, narrow: float) -> tuple[np.ndarray, list[dict]]:
     """An order of the points and the levels of a cover tree. Each node is a range of the order: centre (a point), covering
     radius, start, stop, and its parent's number in the level above."""
     order = np.arange(len(x))
@@ -76,12 +76,14 @@ def tree(x: np.ndarray) -> tuple[np.ndarray, list[dict]]:
     while True:
         level["radius"] = np.array([distances(x[order[a:b]], x[c : c + 1]).max() for c, a, b in zip(level["centre"], level["start"], level["stop"], strict=True)])
         levels.append(level)
-        if radius < 1e-3 or (level["stop"] - level["start"]).max() <= NODE:
+        # A node far narrower than the distance asked for prunes as well as its children would.
+        split = (level["stop"] - level["start"] > NODE) & (level["radius"] > narrow)
+        if radius < 1e-6 or not split.any():
             return order, levels
         radius /= 2
         rows = []
         for number, (c, a, b) in enumerate(zip(level["centre"], level["start"], level["stop"], strict=True)):
-            if b - a <= NODE:
+            if not split[number]:
                 rows.append((c, a, b, number))
                 continue
             own = order[a:b].copy()
@@ -97,9 +99,9 @@ def tree(x: np.ndarray) -> tuple[np.ndarray, list[dict]]:
         level = {k: np.array(v) for k, v in zip(("centre", "start", "stop", "parent"), zip(*rows, strict=True), strict=True)}
 
 
-def pack_block(ids: list[int], copies: list[int], raw: list[bytes]) -> bytes:
+def pack_block(ids: list[int], copies: list[int], raw: list[bytes], narrow: float) -> bytes:
     x = np.stack([np.frombuffer(r, "<f8") for r in raw])
-    order, levels = tree(unit(x))
+    order, levels = tree(unit(x), narrow)
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     for level in levels:
@@ -120,8 +122,12 @@ def linked_pairs(one: tuple, two: tuple, reach: float, least: float) -> tuple[np
         a, b = levels_x[min(k, len(levels_x) - 1)], levels_y[min(k, len(levels_y) - 1)]
         if k:
             allowed = allowed[a["parent"] if k < len(levels_x) else slice(None)][:, b["parent"] if k < len(levels_y) else slice(None)]
-        bound = a["radius"][:, None] + b["radius"][None, :] + reach + SLACK
-        allowed = allowed & (distances(x[a["centre"]], y[b["centre"]]) <= bound)
+        # Distance <= bound, as a product of unit vectors; in single precision, with more slack than that needs.
+        bound = a["radius"].astype("f4")[:, None] + (b["radius"] + reach + 1e-3).astype("f4")[None, :]
+        bound *= bound
+        bound *= -0.5
+        bound += 1.0
+        allowed = allowed & (x[a["centre"]].astype("f4") @ y[b["centre"]].astype("f4").T >= bound)
         if not allowed.any():
             break
     found_i, found_j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -232,7 +238,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, id_col: str = "vec_id",
     dealt = placed.join(F.broadcast(sizes), "leaf").withColumn("block", F.pmod(F.xxhash64("node", "raw"), "blocks"))
 
     def build(key, table):
-        data = pack_block(table["node"].to_pylist(), table["copies"].to_pylist(), table["raw"].to_pylist())
+        data = pack_block(table["node"].to_pylist(), table["copies"].to_pylist(), table["raw"].to_pylist(), reach / 4)
         return pa.table({"leaf": [key[0].as_py()], "block": [key[1].as_py()], "data": [data]}, schema=pa.schema([("leaf", pa.int64()), ("block", pa.int64()), ("data", pa.binary())]))
 
     blocks = cut(dealt.select("leaf", "block", "node", "copies", "raw").groupBy("leaf", "block").applyInArrow(build, "leaf bigint, block bigint, data binary"))
