@@ -29,8 +29,8 @@ from gridloom.llm.components import components
 
 #: Vectors at most that the top of the tree is chosen from, and leaves of it at most.
 SAMPLE, LEAVES = 4096, 1024
-#: Vectors in a block, about, and in a node that is not split further.
-BLOCK, NODE = 2000, 16
+#: Vectors in a block, about.
+BLOCK = 2000
 #: Rounding of distances between unit vectors, far above what double precision needs.
 SLACK = 1e-9
 
@@ -75,9 +75,12 @@ def tree(x: np.ndarray, narrow: float) -> tuple[np.ndarray, list[dict]]:
     level = {"centre": np.array([0]), "start": np.array([0]), "stop": np.array([len(x)]), "parent": np.array([0])}
     while True:
         level["radius"] = np.array([distances(x[order[a:b]], x[c : c + 1]).max() for c, a, b in zip(level["centre"], level["start"], level["stop"], strict=True)])
+        if len(levels) > 1 and len(level["centre"]) < 1.2 * len(levels[-1]["centre"]):
+            # Hardly finer than the level above: it takes that one's place.
+            level["parent"] = levels.pop()["parent"][level["parent"]]
         levels.append(level)
         # A node far narrower than the distance asked for prunes as well as its children would.
-        split = (level["stop"] - level["start"] > NODE) & (level["radius"] > narrow)
+        split = (level["stop"] - level["start"] > 1) & (level["radius"] > narrow)
         if radius < 1e-6 or not split.any():
             return order, levels
         radius /= 2
