@@ -19,25 +19,6 @@ INTENSIVE_VARIABLES = (
 LAND_FRACTION_NAMES = ("LANDFRAC", "landfrac", "landmask", "frac_lnd")
 SEA_FRACTION_NAMES = ("sftof", "ocnfrac", "wet")
 
-# --- fixed fields: name and units ------------------------------------------------------------------------------
-FIXED_FIELDS = (
-    ("sftlf_ti-u-hxy-u", "%"),
-    ("areacella_ti-u-hxy-u", "m2"),
-    ("sftof_ti-u-hxy-u", "%"),
-    ("wet", "%"),
-    ("areacello_ti-u-hxy-u", "m2"),
-    ("mrsofc", "m3 s-1"),
-    ("orog", "m"),
-    ("thkcello", "m"),
-    ("slthick", "m"),
-    ("basin", "m2"),
-    ("deptho", "m"),
-    ("hfgeou", "m"),
-    ("masscello", "m3"),
-    ("rootd", "m"),
-    ("sftgif", "%"),
-    ("sftif", "%"),
-)
 
 # --- native inputs -----------------------------------------------------------------------------------------------
 PRESSURE_INPUTS = ("PS", "hyam", "hybm", "P0")

@@ -10,8 +10,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def _row_bytes(schema: T.StructType) -> Column:
-    """Estimated bytes of one row: 16 per field, plus the real length of everything of open length."""
-    size = F.lit(16 * (len(schema.fields) + 1)).cast("long")
+    """Bytes of one row in a broadcast table: 8 per field, 32 for the row, and the length of what has an open one."""
+    size = F.lit(8 * len(schema.fields) + 32).cast("long")
     for field in schema.fields:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):

@@ -52,10 +52,11 @@ def produced_inventory(
     return named if expected is None else named.join(small(expected.select("name").distinct()), "name", "left_semi")
 
 
-def dimension_inventory(inventory: DataFrame, samples: int = 3) -> DataFrame:
-    """Per variable the sorted distinct dims, brandings, grids and data variables, the first sizes and the first path.
+def dimension_inventory(inventory: DataFrame, samples: int | None = None) -> DataFrame:
+    """Per variable the sorted distinct dims, brandings, grids and data variables, the sizes by path and the first path.
 
-    Distinct texts per variable are few (grids, dimension sets). The samples are cut per task before the shuffle.
+    Distinct texts per variable are few (grids, dimension sets). With ``samples`` only the sizes of so many paths are
+    listed, cut per task before the shuffle; otherwise all.
     """
     sets = inventory.groupBy("variable").agg(
         F.array_sort(F.collect_set("dims")).alias("dims"),
@@ -64,7 +65,8 @@ def dimension_inventory(inventory: DataFrame, samples: int = 3) -> DataFrame:
         F.array_sort(F.collect_set("data_var")).alias("data_vars"),
         F.min("path").alias("sample_path"),
     )
-    first = top_per_group(inventory.select("variable", "path", "sizes"), ["variable"], ["path"], samples)
+    listed = inventory.select("variable", "path", "sizes")
+    first = listed if samples is None else top_per_group(listed, ["variable"], ["path"], samples)
     sizes = first.groupBy("variable").agg(F.array_sort(F.collect_list(F.struct("path", "sizes"))).alias("_s"))
     return sets.join(sizes.select("variable", F.transform("_s", lambda s: s["sizes"]).alias("sample_sizes")), "variable")
 
@@ -85,26 +87,33 @@ def split_lines(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
     return texts.select(key, F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
 
 
-def log_rollup(lines: DataFrame, keep: int = 10, expected: DataFrame | None = None) -> DataFrame:
-    """Per log file and variable: any error, any success word, number of error lines and the first of them.
+def _named_lines(lines: DataFrame, expected: DataFrame | None) -> DataFrame:
+    """Lines of files with a log name, with their ``variable``."""
+    named = lines.withColumn("variable", tx.log_variable(F.col("file"))).filter(F.col("variable").isNotNull())
+    return named if expected is None else named.join(small(expected.select(F.col("name").alias("variable")).distinct()), "variable", "left_semi")
+
+
+def _error_line() -> Column:
+    return F.col("line").rlike(fixed.LOG_ERROR_PATTERN)
+
 
-    ``lines`` has ``file, line_no, line``. Only files with a log name count.
+def log_rollup(lines: DataFrame, expected: DataFrame | None = None) -> DataFrame:
+    """Per log file and variable: any error, any success word and the number of error lines, from one pass.
+
+    ``lines`` has ``file, line_no, line``. Only files with a log name count. The lines: :func:`log_errors`.
     """
-    named = lines.withColumn("variable", tx.log_variable(F.col("file"))).filter(F.col("variable").isNotNull())
-    if expected is not None:
-        named = named.join(small(expected.select(F.col("name").alias("variable")).distinct()), "variable", "left_semi")
-    keys = ["variable", "file"]
-    is_error = F.col("line").rlike(fixed.LOG_ERROR_PATTERN)
-    flags = named.groupBy(*keys).agg(
-        F.bool_or(is_error).alias("has_error"),
+    return _named_lines(lines, expected).groupBy("variable", "file").agg(
+        F.bool_or(_error_line()).alias("has_error"),
         F.bool_or(F.col("line").rlike(fixed.LOG_SUCCESS_PATTERN)).alias("has_success"),
-        F.sum(is_error.cast("long")).alias("error_count"),
+        F.sum(_error_line().cast("long")).alias("error_count"),
     )
-    first = top_per_group(named.filter(is_error), keys, ["line_no"], keep)
-    listed = first.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("line_no", F.btrim("line", F.lit(" \t\r\n\f\v")).alias("line")))).alias("_l"))
-    joined = flags.join(listed, keys, "left")
-    empty = F.array().cast("array<string>")
-    return joined.withColumn("error_lines", F.coalesce(F.transform("_l", lambda s: s["line"]), empty)).drop("_l")
+
+
+def log_errors(lines: DataFrame, expected: DataFrame | None = None, first: int | None = None) -> DataFrame:
+    """All error lines (variable, file, line_no, line) as rows, so a file may have any number; or the ``first`` of each."""
+    errors = _named_lines(lines, expected).filter(_error_line())
+    chosen = errors if first is None else top_per_group(errors, ["variable", "file"], ["line_no"], first)
+    return chosen.select("variable", "file", "line_no", F.btrim("line", F.lit(" \t\r\n\f\v")).alias("line"))
 
 
 def audit_counts(

@@ -139,11 +139,13 @@ def drop_targets_without_inputs(catalog: DataFrame, available: DataFrame) -> Dat
 # --- targets --------------------------------------------------------------------------------------------------------
 
 
-def request_filter(request: DataFrame, realm: str, frequency: str, experiment: str | None = None) -> DataFrame:
-    """Request rows of a realm, frequency and experiment, without the one region that is not produced."""
+def request_filter(
+    request: DataFrame, realm: str, frequency: str, experiment: str | None = None, skipped: Sequence[str] = (fixed.SKIPPED_REGION,)
+) -> DataFrame:
+    """Request rows of a realm, frequency and experiment, without the ``skipped`` regions, which are not produced."""
     wanted = (F.col("realm") == realm) & (F.col("frequency") == frequency)
     wanted = wanted if experiment is None else wanted & (F.col("experiment") == experiment)
-    return request.filter(wanted & (F.coalesce("region", F.lit("")) != fixed.SKIPPED_REGION))
+    return request.filter(wanted & ~F.coalesce("region", F.lit("")).isin(*skipped))
 
 
 def first_by_name(rows: DataFrame, order: str = "ord", name: str = "name") -> DataFrame:

@@ -7,8 +7,8 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field as dataclass_field
 from functools import reduce
 
-from pyspark.errors import ParseException
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions import fixed_values as fixed
@@ -56,9 +56,26 @@ def widen(field: DataFrame, names: Sequence[str], keys: Sequence[str] = POINT, a
     return _pivot(field, label, keys).filter(_all_present(list(label.values()))).select(*keys, *label.values())
 
 
+def _closing(text: str, start: int) -> int:
+    """Position behind the parenthesis that closes the one at ``start``, or the end of an unbalanced text."""
+    depth = 0
+    for at in range(start, len(text)):
+        depth += {"(": 1, ")": -1}.get(text[at], 0)
+        if depth == 0:
+            return at + 1
+    return len(text)
+
+
 def guard_division(formula: str) -> str:
-    """A zero divisor gives NULL, which the output stage fills, instead of an error."""
-    return re.sub(r"/\s*([A-Za-z_]\w*)\b(?!\s*[(.])", r"/ nullif(\1, 0)", formula)
+    """A zero divisor (a name, a call or a parenthesis) gives NULL, which the output stage fills, instead of an error."""
+    head, slash, rest = formula.partition("/")
+    if not slash:
+        return formula
+    found = re.match(r"\s*([A-Za-z_]\w*\b(?!\s*[(.])|(?:[A-Za-z_]\w*\s*)?\()", rest)
+    if not found:
+        return f"{head}/{guard_division(rest)}"
+    end = _closing(rest, found.end() - 1) if found.group(1).endswith("(") else found.end()
+    return f"{head}/ nullif({guard_division(rest[found.start(1) : end])}, 0){guard_division(rest[end:])}"
 
 
 def realize_formula(
@@ -76,19 +93,52 @@ def realize_formula(
     return wide.select(F.lit(target).alias("var"), *keys, F.expr(guard_division(formula)).cast("double").alias("value"))
 
 
-def realize_formulas(field: DataFrame, formulas: Mapping[str, str], names: Sequence[str], keys: Sequence[str] = POINT) -> DataFrame:
-    """Many targets from one pass over the field: one pivot, then each point emits the formulas whose inputs it has."""
-    wide = _pivot(field, {n: n for n in names}, keys)
-    outputs = [
-        F.struct(
-            _all_present(_used(text, names)).alias("here"),
-            F.lit(target).alias("var"),
-            F.expr(guard_division(text)).cast("double").alias("value"),
-        )
-        for target, text in formulas.items()
-    ]
-    emitted = F.filter(F.array(*outputs), lambda o: o["here"])
-    return wide.select(*keys, F.explode(emitted).alias("_o")).select("_o.var", *keys, "_o.value")
+def _emit(rows: DataFrame, keys: Sequence[str], outputs: Sequence[tuple[Column, str, Column]]) -> DataFrame:
+    """From one row per point, one row for each (condition, target, value) whose condition holds."""
+    structs = [F.struct(here.alias("here"), F.lit(target).alias("var"), value.cast("double").alias("value")) for here, target, value in outputs]
+    emitted = F.filter(F.array(*structs), lambda o: o["here"])
+    return rows.select(*keys, F.explode(emitted).alias("_o")).select("_o.var", *keys, "_o.value")
+
+
+def realize_formulas(
+    field: DataFrame,
+    formulas: Mapping[str, str],
+    names: Sequence[str],
+    keys: Sequence[str] = POINT,
+    level_free: Sequence[str] = (),
+    static: DataFrame | None = None,
+    static_names: Sequence[str] = (),
+) -> DataFrame:
+    """Many targets from one pass over the field: one pivot, then each point emits the formulas whose inputs it has.
+
+    Variables in ``level_free`` have one value per column. Beside operands with levels that value holds on every
+    level; formulas of such variables alone stay level-free. ``static_names`` are columns of ``static``, by cell.
+    """
+    used = {target: _used(text, names) for target, text in formulas.items()}
+    mixed = {t for t, own in used.items() if set(own) & set(level_free) and set(own) - set(level_free)}
+    spread = sorted({n for t in mixed for n in used[t] if n in level_free})
+    column = [k for k in keys if k != "lev"]
+    # One exchange by column serves the pivot and the window over it.
+    wide = _pivot(field.repartition(*column) if spread else field, {n: n for n in names}, keys)
+    over = Window.partitionBy(*column)
+    wide = wide.withColumns({f"_all_{n}": F.max(n).over(over) for n in spread} | {f"_has__all_{n}": F.max(f"_has_{n}").over(over) for n in spread})
+    if static_names:
+        wide = with_static(wide, static, static_names)
+    outputs = []
+    for target, text in formulas.items():
+        own = used[target]
+        if target in mixed:
+            text = re.sub(rf"\b({'|'.join(map(re.escape, spread))})\b", r"_all_\1", text)
+            own = [f"_all_{n}" if n in spread else n for n in own]
+        outputs.append((_all_present(own), target, F.expr(guard_division(text))))
+    return _emit(wide, keys, outputs)
+
+
+def realize_static(static: DataFrame, formulas: Mapping[str, str]) -> DataFrame:
+    """Targets made of static columns only: one value per cell, without time and level."""
+    rows = _emit(static, ["cell"], [(F.lit(True), target, F.expr(guard_division(text))) for target, text in formulas.items()])
+    none = F.lit(None).cast("int")
+    return rows.select("var", none.alias("time_idx"), none.alias("lev"), "cell", "value")
 
 
 def with_static(field: DataFrame, static: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -211,24 +261,49 @@ def lower_formula(formula: str) -> Lowered:
     regional = _REGION.match(text)
     if regional:
         text = regional.group(1)
-    text = _WHERE.sub(r"CASE WHEN \2 THEN \1 ELSE \3 END", text)
+    text = _WHERE.sub(r"(CASE WHEN \2 THEN \1 ELSE \3 END)", text)
     text = _VERTICAL.sub(vertical, text)
     text = _INDEX_SUM.sub(index_sum, text)
     text = _SLICE.sub(one, text)
     return Lowered(text, tuple(steps), {">": "nh", "<": "sh"}[regional.group(2)] if regional else None)
 
 
-def formula_problem(lowered: Lowered) -> str | None:
-    """Why Spark cannot evaluate a formula, or None: text it cannot read, or a call of an unknown helper."""
+_SQL_WORDS = ("CASE", "WHEN", "THEN", "ELSE", "END", "AND", "OR", "NOT", "IS", "NULL")
+
+
+def formula_problem(lowered: Lowered, bound: Sequence[str] | None = None) -> str | None:
+    """Why Spark cannot evaluate a formula, or None: unreadable text, an unknown helper, or a name not ``bound``.
+
+    Each text is analysed on an empty table that has its names, which starts no job.
+    """
+    steps = [s.name for s in lowered.steps]
+    operands = SparkSession.active().range(0).select(*[F.lit(0.0).alias(n) for n in sorted({*lowered.names(), *steps} - set(_SQL_WORDS))])
     for text in (lowered.sql, *[s.expr for s in lowered.steps]):
-        calls = [c for c in re.findall(r"\b([A-Za-z_]\w*)\s*\(", text) if c not in ("WHEN", "THEN", "ELSE", "AND", "OR", "NOT")]
+        calls = [c for c in re.findall(r"\b([A-Za-z_]\w*)\s*\(", text) if c not in _SQL_WORDS]
         if calls:
             return f"formula calls unknown helper {calls[0]}"
         try:
-            F.expr(guard_division(text))
-        except ParseException:
+            operands.select(F.expr(guard_division(text)).cast("double"))
+        except AnalysisException:  # parse errors are among them
             return "formula is not readable"
-    return None
+    if any(s.op == "index_sum" and not s.indices for s in lowered.steps):
+        return "formula has an empty index list"
+    unbound = [] if bound is None else sorted(lowered.names() - set(bound) - set(_SQL_WORDS))
+    return f"formula names what no source gives: {', '.join(unbound)}" if unbound else None
+
+
+def _reduced(step: Step, target: str, dim: str, first: int, over: Window | None = None) -> Column:
+    """The reduction of a step, per group or over a window."""
+    value = F.expr(guard_division(step.expr))
+    put = (lambda c: c) if over is None else (lambda c: c.over(over))
+    if step.op == "vertical_sum":
+        total = missing_as_zero(put(F.sum(value)))
+        return total if step.cap is None else F.least(F.lit(step.cap), total)
+    if step.op == "index_sum":
+        if not step.indices:
+            raise ValueError(f"index list in the formula of {target} is empty")
+        return missing_as_zero(put(F.sum(F.when(F.col(dim).isin([i - 1 + first for i in step.indices]), value))))
+    return put(F.max(F.when(F.col(dim) == step.indices[0] + first, value)))
 
 
 def realize_steps(
@@ -239,30 +314,58 @@ def realize_steps(
     dim: str = "lev",
     first: int = 0,
     keys: Sequence[str] = ("time_idx", "cell"),
+    levelled: Sequence[str] = (),
+    static: DataFrame | None = None,
+    static_names: Sequence[str] = (),
 ) -> DataFrame:
     """Evaluate a formula with helper steps: widen once, reduce all steps in one grouping, then the arithmetic.
 
-    ``names`` are the native variables; those without a level dimension (fractions, areas) have one row per point,
-    with any or no position in ``dim``, and enter the arithmetic by that value.
+    ``names`` are the native variables. Those without a level dimension (fractions, areas) have one row per point,
+    with any or no position in ``dim``, and enter the arithmetic by that value. A plain operand in ``levelled`` keeps
+    its levels: the sums then stand beside each of them, and the result has ``dim``.
     """
-    wide = _pivot(field, {n: n for n in names}, (*keys, dim))
-    reductions = []
-    for step in lowered.steps:
-        value = F.expr(guard_division(step.expr))
-        if step.op == "vertical_sum":
-            total = missing_as_zero(F.sum(value))
-            total = total if step.cap is None else F.least(F.lit(step.cap), total)
-        elif step.op == "index_sum":
-            if not step.indices:
-                raise ValueError(f"index list in the formula of {target} is empty")
-            total = missing_as_zero(F.sum(F.when(F.col(dim).isin([i - 1 + first for i in step.indices]), value)))
-        else:
-            total = F.max(F.when(F.col(dim) == step.indices[0] + first, value))
-        reductions.append(total.alias(step.name))
-    carried = [F.max(n).alias(n) for n in _used(lowered.sql, names)]
-    present = [F.max(f"_has_{n}").alias(f"_has_{n}") for n in names]
-    reduced = wide.groupBy(*keys).agg(*reductions, *carried, *present).filter(_all_present(names))
-    return reduced.select(F.lit(target).alias("var"), *keys, F.expr(guard_division(lowered.sql)).cast("double").alias("value"))
+    kept = _used(lowered.sql, [n for n in names if n in levelled])
+    if not kept:
+        return realize_step_targets(field, {target: lowered}, {target: names}, dim, first, keys, static, static_names)
+    over = Window.partitionBy(*keys)
+    wide = _pivot(field.repartition(*keys), {n: n for n in names}, (*keys, dim))
+    if static_names:
+        wide = with_static(wide, static, static_names)
+    sums = {s.name: _reduced(s, target, dim, first, over) for s in lowered.steps}
+    present = {f"_has_{n}": F.max(f"_has_{n}").over(over) for n in names if n not in kept}
+    free = {n: F.max(n).over(over) for n in _used(lowered.sql, names) if n not in kept}
+    located = wide.select(*keys, dim, *kept, *static_names, *[F.col(f"_has_{n}") for n in kept], *[c.alias(n) for n, c in (sums | present | free).items()])
+    rows = located.filter(_all_present(names))
+    return rows.select(F.lit(target).alias("var"), *keys, dim, F.expr(guard_division(lowered.sql)).cast("double").alias("value"))
+
+
+def realize_step_targets(
+    field: DataFrame,
+    lowered: Mapping[str, Lowered],
+    names: Mapping[str, Sequence[str]],
+    dim: str = "lev",
+    first: int = 0,
+    keys: Sequence[str] = ("time_idx", "cell"),
+    static: DataFrame | None = None,
+    static_names: Sequence[str] = (),
+) -> DataFrame:
+    """All formulas with helper steps that keep no levels: one pivot and one grouping, however many they are."""
+    every = sorted({n for own in names.values() for n in own})
+    wide = _pivot(field, {n: n for n in every}, (*keys, dim))
+    if static_names:
+        wide = with_static(wide, static, static_names)
+    sums, outputs, plain = [], [], set()
+    for number, (target, low) in enumerate(lowered.items()):
+        sql = low.sql
+        for step in low.steps:
+            label = f"_t{number}{step.name}"
+            sums.append(_reduced(step, target, dim, first).alias(label))
+            sql = re.sub(rf"\b{step.name}\b", label, sql)
+        plain |= set(_used(low.sql, [*names[target], *static_names]))
+        outputs.append((_all_present(names[target]), target, F.expr(guard_division(sql))))
+    carried = [F.max(n).alias(n) for n in sorted(plain)]
+    present = [F.max(f"_has_{n}").alias(f"_has_{n}") for n in every]
+    return _emit(wide.groupBy(*keys).agg(*sums, *carried, *present), keys, outputs)
 
 
 def realize_regional(
@@ -314,6 +417,12 @@ def variables_of(field: DataFrame) -> list[str]:
     return sorted(row["var"] for row in field.select("var").distinct().collect())
 
 
+def shapes_of(field: DataFrame) -> dict[str, bool]:
+    """Variables of a field, and whether they have levels: one grouped minimum and maximum, as short as a catalog."""
+    ends = field.groupBy("var").agg((F.min("lev") < F.max("lev")).alias("levelled"))
+    return {row["var"]: bool(row["levelled"]) for row in ends.collect()}
+
+
 def merge_first_wins(datasets: Sequence[DataFrame], variables: Sequence[Sequence[str]] | None = None) -> DataFrame:
     """One field table from several: a variable held by more than one is taken whole from the first that has it.
 

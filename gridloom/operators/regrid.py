@@ -77,15 +77,23 @@ def regrid_masked(
     return out.join(small(divisor), "cell", "left").select(*keys, "cell", divided.alias("value"))
 
 
-def regrid_dense(regridded: DataFrame, cells: int, keys: Sequence[str] = KEYS) -> DataFrame:
+def regrid_dense(regridded: DataFrame, cells: int, keys: Sequence[str] = KEYS, block: int = 65536) -> DataFrame:
     """One row per destination cell 0..cells-1 for every slice present, NULL where nothing was regridded.
 
-    A slice gathers its cells, at most one entry per destination cell, and adds the numbers it lacks. The field is
-    read once.
+    A slice gathers its cells in blocks of numbers, so no list is longer than ``block``, and each block adds the
+    numbers it lacks. Blocks without any cell come from the list of slices; grids of one block have none.
     """
-    present = regridded.groupBy(*keys).agg(F.collect_list(F.struct("cell", "value")).alias("_have"))
-    every = F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long"))
-    absent = F.array_except(every, F.transform("_have", lambda e: e["cell"]))
+    number = F.floor(F.col("cell") / F.lit(block)).cast("long")
+    present = regridded.groupBy(*keys, number.alias("_b")).agg(F.collect_list(F.struct("cell", "value")).alias("_have"))
+    last = (cells - 1) // block
+    if last > 0:
+        nothing = F.array().cast(present.schema["_have"].dataType)
+        blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long")))
+        every = regridded.select(*keys).distinct().select(*keys, blocks.alias("_b"), nothing.alias("_have"))
+        present = present.unionByName(every).groupBy(*keys, "_b").agg(F.flatten(F.collect_list("_have")).alias("_have"))
+    start = F.col("_b") * block
+    wanted = F.sequence(start, F.least(start + (block - 1), F.lit(cells - 1).cast("long")))
+    absent = F.array_except(wanted, F.transform("_have", lambda e: e["cell"]))
     filled = F.transform(absent, lambda c: F.struct(c.alias("cell"), F.lit(None).cast("double").alias("value")))
     return present.select(*keys, F.inline(F.concat("_have", filled)))
 

@@ -47,19 +47,21 @@ def produced_inventory(spark, d):
 @query(
     "dimension_inventory",
     """SELECT variable, string_agg(DISTINCT dims, ';' ORDER BY dims) AS dims, string_agg(DISTINCT grid, ',' ORDER BY grid) AS grids, min(path) AS sample_path,
-       string_agg(sizes, ';' ORDER BY path) FILTER (rn <= 3) AS sample_sizes FROM (
+       string_agg(DISTINCT branding, ',' ORDER BY branding) AS brandings, string_agg(DISTINCT data_var, ',' ORDER BY data_var) AS data_vars,
+       string_agg(sizes, ';' ORDER BY path) AS sample_sizes FROM (
        SELECT *, CASE WHEN o_orderkey % 2 = 0 THEN 'time, lat, lon' ELSE 'time, plev, lat' END AS dims, 'n' || o_orderkey AS sizes,
-              row_number() OVER (PARTITION BY variable ORDER BY path) AS rn FROM inventory) GROUP BY 1""",
+              'tavg-u-hxy-u' AS branding, variable || CASE WHEN o_orderkey % 3 = 0 THEN '_bnds' ELSE '' END AS data_var FROM inventory) GROUP BY 1""",
     ["inventory"],
 )
 def dimension_inventory(spark, d):
     even = F.col("o_orderkey") % 2 == 0
     opened = inventory(spark, d).withColumns(
-        {"dims": F.when(even, "time, lat, lon").otherwise("time, plev, lat"), "data_var": F.col("variable"), "sizes": F.concat(F.lit("n"), "o_orderkey")}
+        {"dims": F.when(even, "time, lat, lon").otherwise("time, plev, lat"), "data_var": F.concat("variable", F.when(F.col("o_orderkey") % 3 == 0, "_bnds").otherwise("")), "sizes": F.concat(F.lit("n"), "o_orderkey")}
     )
     out = au.dimension_inventory(opened)
     return out.select(
-        "variable", F.array_join("dims", ";").alias("dims"), F.array_join("grids", ",").alias("grids"), "sample_path", F.array_join("sample_sizes", ";").alias("sample_sizes")
+        "variable", F.array_join("dims", ";").alias("dims"), F.array_join("grids", ",").alias("grids"), "sample_path",
+        F.array_join("brandings", ",").alias("brandings"), F.array_join("data_vars", ",").alias("data_vars"), F.array_join("sample_sizes", ";").alias("sample_sizes")
     )
 
 
@@ -74,9 +76,8 @@ view(
 view(
     "log_summary",
     r"""SELECT file[23:-5] AS variable, file, bool_or(is_error) AS has_error, bool_or(regexp_matches(line, '(?i)\b(success|completed?|finished)\b')) AS has_success,
-        sum(is_error::INTEGER)::BIGINT AS error_count, coalesce(string_agg(trim(line, ' ' || chr(9) || chr(13) || chr(10) || chr(12) || chr(11)), '|' ORDER BY line_no) FILTER (is_error AND rn <= 10), '') AS error_lines FROM (
-        SELECT *, row_number() OVER (PARTITION BY file, is_error ORDER BY line_no) AS rn FROM (
-        SELECT *, regexp_matches(line, '(?i)Error: ') AS is_error FROM log_line WHERE file LIKE 'cmor%')) GROUP BY 1, 2""",
+        sum(is_error::INTEGER)::BIGINT AS error_count FROM (
+        SELECT *, regexp_matches(line, '(?i)Error: ') AS is_error FROM log_line WHERE file LIKE 'cmor%') GROUP BY 1, 2""",
     ("log_line",),
 )
 
@@ -89,7 +90,17 @@ def log_lines(spark, d):
 
 @query("log_rollup", "SELECT * FROM log_summary", ["log_summary"])
 def log_rollup(spark, d):
-    return au.log_rollup(log_lines(spark, d)).withColumn("error_lines", F.array_join("error_lines", "|"))
+    return au.log_rollup(log_lines(spark, d))
+
+
+@query(
+    "log_errors",
+    """SELECT file[23:-5] AS variable, file, line_no, trim(line, ' ' || chr(9) || chr(13) || chr(10) || chr(12) || chr(11)) AS line
+       FROM log_line WHERE file LIKE 'cmor%' AND regexp_matches(line, '(?i)Error: ')""",
+    ["log_line"],
+)
+def log_errors(spark, d):
+    return au.log_errors(log_lines(spark, d))
 
 
 @query("log_variable", "SELECT file, CASE WHEN file LIKE 'cmor%' THEN file[23:-5] END AS variable, count(*) AS lines FROM log_line GROUP BY 1, 2", ["log_line"])

@@ -107,13 +107,24 @@ def index_select(spark, d):
 
 @query(
     "formula_steps",
-    """SELECT 'mrso' AS var, time_idx, cell,
-       (least(900e0, coalesce(sum(QTY + TAX), 0e0)) + coalesce(sum(CASE WHEN lev IN (1, 3) THEN DISC END), 0e0)
-        - max(CASE WHEN lev = 2 THEN TAX END)) * max(TAX) AS value FROM native GROUP BY 2, 3""",
+    """SELECT 'mrso' AS var, time_idx, cell, lev,
+       (least(900e0, coalesce(sum(QTY + TAX) OVER w, 0)) + coalesce(sum(CASE WHEN lev IN (1, 3) THEN DISC END) OVER w, 0e0)
+        - max(CASE WHEN lev = 2 THEN TAX END) OVER w) * TAX AS value FROM native WINDOW w AS (PARTITION BY time_idx, cell)""",
     ["native"],
 )
 def formula_steps(spark, d):
     text = "(verticalsum(QTY + TAX, capped_at=900) + sumoverpft(DISC, pftlist=[1, 3], dimname='lev') - TAX[:,1,:,:]) * TAX  #note"
+    return dv.realize_steps(field(spark, d), "mrso", dv.lower_formula(text), ("QTY", "TAX", "DISC"), "lev", first=1, levelled=("TAX",))
+
+
+@query(
+    "formula_steps_reduced",
+    """SELECT 'mrso' AS var, time_idx, cell, least(900e0, coalesce(sum(QTY + TAX), 0)) + coalesce(sum(CASE WHEN lev IN (1, 3) THEN DISC END), 0e0)
+       - max(CASE WHEN lev = 2 THEN TAX END) AS value FROM native GROUP BY 2, 3""",
+    ["native"],
+)
+def formula_steps_reduced(spark, d):
+    text = "verticalsum(QTY + TAX, capped_at=900) + sumoverpft(DISC, pftlist=[1, 3], dimname='lev') - TAX[:,1,:,:]"
     return dv.realize_steps(field(spark, d), "mrso", dv.lower_formula(text), ("QTY", "TAX", "DISC"), "lev", first=1)
 
 

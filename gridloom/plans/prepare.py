@@ -1,7 +1,8 @@
 """From native fields and a catalog to output fields: derive, interpolate, regrid, all targets of a kind in one plan.
 
-The catalog is read first and decides what is built. Targets of one route share one scan of the field: direct ones
-are a lookup, plain formulas share one pivot, and everything that is regridded goes through one weights join.
+The catalog is read first and decides what is built. Targets that travel alike (route, levels, surface, map) are derived
+together: direct ones are a lookup, plain formulas share one pivot, those with helper sums one grouping. A target that
+cannot be made is reported and stops no other.
 """
 
 from __future__ import annotations
@@ -39,26 +40,35 @@ class Target:
     map_id: str | None
     surface: str = "all"  # land and ocean fields are weighted by the fraction of their surface
 
+    @property
+    def key(self) -> str:
+        """Name of its rows while they travel: variants of one name differ by region."""
+        return self.name if self.region is None else f"{self.name}@{self.region}"
+
 
 def plan_targets(
     catalog: DataFrame, model: str, freq: str | None = None, maps: DataFrame | None = None, resolution: str | None = None
 ) -> list[Target]:
-    """Targets of a catalog, one per variant. A catalog has at most some thousand entries, so the list is short."""
+    """Targets of a catalog, one per variant and output grid. A catalog has some thousand entries, so the list is short.
+
+    Output grids that go the same way (they differ in the names of dimensions only) are one target.
+    """
     usable = catalog.filter(ct.supports_freq(F.col("sources"), freq))
-    spread = ct.normalize_catalog(ct.expand_variants(usable), freq)
-    routed = spread.withColumn("route", ct.route(F.element_at("dims", 1), F.col("table"), model, F.col("levels.name")))
+    spread = ct.split_targets(ct.normalize_catalog(ct.expand_variants(usable), freq))
+    routed = spread.withColumn("route", ct.route(F.col("dims"), F.col("table"), model, F.col("levels.name")))
     mapped = routed.withColumn("map_id", F.lit(None).cast("string")) if maps is None else rg.pick_map(routed, maps, model, resolution)
     realm = canonical_realm(F.col("table"))
     surface = F.when(realm.isin("land", "landIce"), "land").when(realm.isin("ocean", "seaIce"), "ocean").otherwise("all")
     rows = mapped.select(
         "name", "route", "source", "source_aliases", "formula", "region", F.col("levels.name").alias("level"), "map_id", surface.alias("surface")
     ).collect()
-    return [
+    found = [
         Target(
             r["name"], r["route"], r["source"], r["source_aliases"] or {}, r["formula"] or None, r["region"], r["level"], r["map_id"], r["surface"]
         )
         for r in rows
     ]
+    return [t for i, t in enumerate(found) if t not in found[:i]]
 
 
 def plain_sql(formula: str, aliases: Mapping[str, str]) -> str:
@@ -71,52 +81,125 @@ def realize_targets(
     field: DataFrame,
     targets: Sequence[Target],
     static: DataFrame | None = None,
-    available: Sequence[str] | None = None,
+    available: Mapping[str, bool] | Sequence[str] | None = None,
     dim_first: int = 0,
 ) -> tuple[DataFrame | None, list[tuple[str, str]]]:
-    """Field rows of all targets, and (name, status) of each; targets that lack inputs or a formula are reported."""
-    have = set(available if available is not None else dv.variables_of(field))
-    fixed_names = set(static.columns) if static is not None else set()
+    """Field rows of all targets by their keys, and (name, status) of each; what cannot be made is reported.
+
+    ``available`` tells of each variable of the field whether it has levels; otherwise this is measured, in one pass.
+    """
+    shapes = available if isinstance(available, Mapping) else dv.shapes_of(field)
+    static_columns = set(static.columns) - {"cell"} if static is not None else set()
     status: list[tuple[str, str]] = []
     direct: list[tuple[str, str]] = []
     formulas: dict[str, str] = {}
+    from_static: dict[str, str] = {}
+    summed: dict[str, dv.Lowered] = {}
+    summed_names: dict[str, list[str]] = {}
     pieces: list[DataFrame] = []
     inputs: set[str] = set()
+    plain_static: set[str] = set()
+    summed_static: set[str] = set()
     for target in targets:
         needed = {target.source} if target.source else set(target.aliases.values())
-        missing = sorted(needed - have - fixed_names)
+        missing = sorted(needed - set(shapes) - static_columns)
         if missing:
             status.append((target.name, f"missing inputs: {', '.join(missing)}"))
             continue
         if target.source:
-            direct.append((target.source, target.name))
+            if target.source in shapes:
+                direct.append((target.source, target.key))
+            else:
+                from_static[target.key] = f"`{target.source}`"
         elif not target.formula:
             status.append((target.name, "incomplete mapping: several sources without a formula"))
             continue
         else:
             lowered = dv.lower_formula(plain_sql(target.formula, target.aliases))
-            problem = dv.formula_problem(lowered)
+            problem = dv.formula_problem(lowered, sorted(needed))
+            if problem is None and lowered.region and "tlat" not in static_columns:
+                problem = "missing inputs: tlat"
             if problem:
                 status.append((target.name, problem))
                 continue
-            used = sorted(needed & have & lowered.names())
-            if lowered.region:
-                pieces.append(dv.realize_regional(field, static, target.name, lowered, used))
+            used = sorted(needed & set(shapes) & lowered.names())
+            by_cell = sorted((needed & lowered.names()) - set(shapes))
+            levelled = [n for n in used if shapes[n]]
+            if not used and not lowered.region and not lowered.steps:
+                from_static[target.key] = lowered.sql
+            elif lowered.region:
+                pieces.append(dv.realize_regional(field, static, target.key, lowered, used))
+            elif lowered.steps and set(levelled) & set(re.findall(r"\w+", lowered.sql)):
+                pieces.append(dv.realize_steps(field, target.key, lowered, used, "lev", dim_first, levelled=levelled, static=static, static_names=by_cell))
             elif lowered.steps:
-                pieces.append(dv.realize_steps(field, target.name, lowered, used, first=dim_first))
+                summed[target.key], summed_names[target.key] = lowered, used
+                summed_static |= set(by_cell)
             else:
-                formulas[target.name] = lowered.sql
+                formulas[target.key] = lowered.sql
                 inputs |= set(used)
+                plain_static |= set(by_cell)
         status.append((target.name, "ok"))
     if direct:
         names = spark.createDataFrame(direct, "var string, target string")  # as long as the catalog
-        pieces.append(field.join(F.broadcast(names), "var").withColumn("var", F.col("target")).drop("target"))
+        native = field.filter(F.col("var").isin(sorted({source for source, _ in direct})))
+        pieces.append(native.join(F.broadcast(names), "var").withColumn("var", F.col("target")).drop("target"))
     if formulas:
-        pieces.append(dv.realize_formulas(field, formulas, sorted(inputs)))
+        free = [n for n in sorted(inputs) if not shapes[n]]
+        pieces.append(dv.realize_formulas(field, formulas, sorted(inputs), level_free=free, static=static, static_names=sorted(plain_static)))
+    if summed:
+        pieces.append(dv.realize_step_targets(field, summed, summed_names, "lev", dim_first, static=static, static_names=sorted(summed_static)))
+    if from_static:
+        pieces.append(dv.realize_static(static, from_static))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pieces) if pieces else None
     return rows, status
 
 
+NATIVE_ROUTES = ("ocean_native", "seaice_native")
+
+
+def _on_hybrid(target: Target) -> bool:
+    return (target.level or "").lower() in fixed.SIGMA_LEVELS
+
+
+def _has_levels(target: Target, shapes: Mapping[str, bool]) -> bool:
+    """Whether the result of a target has levels; unknown names and formulas are judged elsewhere."""
+    if target.source or not target.formula:
+        return shapes.get(target.source, True)
+    lowered = dv.lower_formula(plain_sql(target.formula, target.aliases))
+    words = set(re.findall(r"[A-Za-z_]\w*", lowered.sql))
+    return lowered.region is None and (any(shapes.get(w, False) for w in words) or not words & set(shapes))
+
+
+def _problem(target: Target, shapes: Mapping[str, bool], coefficients: DataFrame | None, levels: Mapping[str, Sequence[float]]) -> str | None:
+    """What the way of a target lacks, beside its own inputs."""
+    if target.route in NATIVE_ROUTES:
+        return None
+    if target.map_id is None:
+        return "no weight map"
+    level = "plev39" if target.route == "zonal_pressure" else target.level
+    on_pressure = (level or "").lower().startswith("plev")
+    if on_pressure and level not in levels:
+        return f"no levels given for {level}"
+    if on_pressure or level in levels or _on_hybrid(target):
+        if not _has_levels(target, shapes):
+            return "levels are asked of variables without levels"
+        lacking = [] if "PS" in shapes else ["PS"]
+        lacking += [n for n in ("hyam", "hybm") if coefficients is None or n not in coefficients.columns]
+        return f"missing inputs: {', '.join(lacking)}" if lacking else None
+    if target.formula and dv.lower_formula(target.formula).region:
+        return "a regional sum has no cells to regrid"
+    return None
+
+
+def _named_apart(rows: DataFrame, targets: Sequence[Target]) -> DataFrame:
+    """Keys back to names, and the region of each variant where there are any."""
+    if all(t.region is None for t in targets):
+        return rows
+    region = F.nullif(F.regexp_extract("var", "@(.*)$", 1), F.lit(""))
+    known = F.coalesce(F.col("region"), region) if "region" in rows.columns else region
+    return rows.withColumn("region", known).withColumn("var", F.substring_index("var", "@", 1))
+
+
 def prepare(
     spark: SparkSession,
     field: DataFrame,
@@ -127,37 +210,55 @@ def prepare(
     coefficients: DataFrame | None = None,
     levels: Mapping[str, Sequence[float]] | None = None,
     lon_cells: int = 360,
-    available: Sequence[str] | None = None,
+    available: Mapping[str, bool] | Sequence[str] | None = None,
     dim_first: int = 0,
     surface_map: str | None = None,
+    p0: float = fixed.REFERENCE_PRESSURE_PA,
 ) -> tuple[dict[str, DataFrame], list[tuple[str, str]]]:
     """Output fields by route, and the status of every target.
 
     Native routes keep their cells. General targets go to pressure first when they ask for it and are then regridded,
     land and ocean ones weighted by their surface. Targets on hybrid levels (output ``hybrid``) come with surface
     pressure and coefficients. Zonal ones are regridded level by level with ``PS``, interpolated and averaged.
-    ``surface_map`` is the map for ``PS``, by default that of the first target.
+    ``surface_map`` is the map for ``PS``, by default that of the first target; ``p0`` the reference pressure as stored.
+    A target without map, levels, coefficients or ``PS`` that it needs is reported and left out.
     """
-    outputs: dict[str, DataFrame] = {}
+    levels = levels or {}
+    in_use = sorted({t.map_id for t in targets if t.map_id} | ({surface_map} if surface_map else set()))
+    weights = weights.filter(F.col("map_id").isin(in_use))  # so that only these are measured and sent
+    shapes = available if isinstance(available, Mapping) else dv.shapes_of(field)
     status: list[tuple[str, str]] = []
-    for route in sorted({t.route for t in targets}):
-        chosen = [t for t in targets if t.route == route]
-        rows, report = realize_targets(spark, field, chosen, static, available, dim_first)
+    groups: dict[tuple, list[Target]] = {}
+    for target in targets:
+        problem = _problem(target, shapes, coefficients, levels)
+        if problem:
+            status.append((target.name, problem))
+            continue
+        route = "hybrid" if target.route == "general" and _on_hybrid(target) else target.route
+        level = (target.level or "") if route == "general" and target.level in levels else ""
+        alike = (target.surface, "" if target.surface == "all" else target.map_id) if route == "general" else ("", "")
+        groups.setdefault((route, level, *alike), []).append(target)
+    made: dict[str, list[DataFrame]] = {}
+    for (route, level, surface, map_id), chosen in sorted(groups.items()):
+        rows, report = realize_targets(spark, field, chosen, static, shapes, dim_first)
         status += report
         if rows is None:
             continue
-        if route in ("ocean_native", "seaice_native"):
-            outputs[route] = rows
-        elif route == "zonal_pressure":
-            outputs[route] = _zonal(spark, rows, field, weights, chosen, coefficients, levels["plev39"], lon_cells, surface_map)
-        else:
-            on_hybrid = [t for t in chosen if (t.level or "").lower() in fixed.SIGMA_LEVELS]
-            others = [t for t in chosen if t not in on_hybrid]
-            if on_hybrid:
-                outputs["hybrid"] = _hybrid(spark, rows, field, weights, on_hybrid, coefficients, surface_map)
-            if others:
-                outputs[route] = _general(spark, rows, field, weights, static, others, coefficients, levels or {})
-    return outputs, status
+        if route == "zonal_pressure":
+            rows = _zonal(spark, rows, field, weights, chosen, coefficients, levels["plev39"], lon_cells, surface_map, p0)
+        elif route == "hybrid":
+            rows = _hybrid(spark, rows, field, weights, chosen, coefficients, surface_map, p0)
+        elif route == "general":
+            if level:
+                rows = vt.to_pressure(vt.join_column_inputs(rows, _surface(field), coefficients), levels[level], p0)
+            keys = [c for c in ("var", "time_idx", "lev", "plev") if c in rows.columns]
+            if surface == "all":
+                rows = rg.regrid_by_map(rows.join(F.broadcast(_map_names(spark, chosen)), "var"), weights, keys)  # one row per target
+            else:
+                rows = _masked(rows, rg.weights_of(weights, map_id), static, surface, keys)
+        made.setdefault(route, []).append(_named_apart(rows, chosen))
+    stacked = lambda parts: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return {route: stacked(parts) for route, parts in made.items()}, status
 
 
 def _surface(field: DataFrame) -> DataFrame:
@@ -165,32 +266,7 @@ def _surface(field: DataFrame) -> DataFrame:
 
 
 def _map_names(spark: SparkSession, targets: Sequence[Target]) -> DataFrame:
-    return spark.createDataFrame([(t.name, t.map_id) for t in targets], "var string, map_id string").distinct()
-
-
-def _named(rows: DataFrame, names: Sequence[str]) -> DataFrame:
-    return rows.filter(F.col("var").isin(sorted(names)))
-
-
-def _general(spark, rows, field, weights, static, targets, coefficients, levels) -> DataFrame:
-    pieces = []
-    for level in sorted({t.level for t in targets if t.level in levels}):
-        inputs = vt.join_column_inputs(_named(rows, [t.name for t in targets if t.level == level]), _surface(field), coefficients)
-        pieces.append(vt.to_pressure(inputs, levels[level]))
-    others = [t.name for t in targets if t.level not in levels]
-    if others:
-        pieces.append(_named(rows, others))
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pieces)
-    keys = [c for c in ("var", "time_idx", "lev", "plev") if c in stacked.columns]
-    outputs = []
-    plain = [t for t in targets if t.surface == "all"]
-    if plain:
-        named = _named(stacked, [t.name for t in plain]).join(F.broadcast(_map_names(spark, plain)), "var")  # one row per target
-        outputs.append(rg.regrid_by_map(named, weights, keys))
-    for surface, map_id in sorted({(t.surface, t.map_id) for t in targets if t.surface != "all"}):
-        mine = _named(stacked, [t.name for t in targets if (t.surface, t.map_id) == (surface, map_id)])
-        outputs.append(_masked(mine, rg.weights_of(weights, map_id), static, surface, keys))
-    return reduce(DataFrame.unionByName, outputs)
+    return spark.createDataFrame([(t.key, t.map_id) for t in targets], "var string, map_id string").distinct()
 
 
 def _masked(rows: DataFrame, entries: DataFrame, static: DataFrame, surface: str, keys: Sequence[str]) -> DataFrame:
@@ -207,25 +283,25 @@ def _masked(rows: DataFrame, entries: DataFrame, static: DataFrame, surface: str
 
 def _with_surface(spark, rows, field, weights, targets, surface_map) -> DataFrame:
     """Targets and ``PS`` on the destination grid, from one pass over the weights."""
-    names = [(t.name, t.map_id) for t in targets] + [("PS", surface_map or targets[0].map_id)]
+    names = [(t.key, t.map_id) for t in targets] + [("PS", surface_map or targets[0].map_id)]
     maps = spark.createDataFrame(sorted(set(names)), "var string, map_id string")
-    both = _named(rows, [t.name for t in targets]).select(*FIELD).unionByName(field.filter("var = 'PS'").select(*FIELD))
+    both = rows.select(*FIELD).unionByName(field.filter("var = 'PS'").select(*FIELD))
     return rg.regrid_by_map(both.join(F.broadcast(maps), "var"), weights)  # one row per target
 
 
-def _zonal(spark, rows, field, weights, targets, coefficients, levels, lon_cells, surface_map) -> DataFrame:
+def _zonal(spark, rows, field, weights, targets, coefficients, levels, lon_cells, surface_map, p0) -> DataFrame:
     on_grid = _with_surface(spark, rows, field, weights, targets, surface_map)
     inputs = vt.join_column_inputs(on_grid.filter("var != 'PS'"), _surface(on_grid), coefficients)
-    return vt.zonal_mean(vt.to_pressure(inputs, levels), lon_cells)
+    return vt.zonal_mean(vt.to_pressure(inputs, levels, p0), lon_cells)
 
 
-def _hybrid(spark, rows, field, weights, targets, coefficients, surface_map) -> DataFrame:
+def _hybrid(spark, rows, field, weights, targets, coefficients, surface_map, p0) -> DataFrame:
     on_grid = _with_surface(spark, rows, field, weights, targets, surface_map)
-    return vt.hybrid_output(on_grid.filter("var != 'PS'"), _surface(on_grid), coefficients)
+    return vt.hybrid_output(on_grid.filter("var != 'PS'"), _surface(on_grid), coefficients, p0)
 
 
 def write_outputs(outputs: Mapping[str, DataFrame], root: str, facets: Mapping[str, str]) -> None:
     """Every route into the output tree, missing values filled, grid label by whether it was regridded."""
     for route, rows in outputs.items():
-        regridded = route not in ("ocean_native", "seaice_native")
+        regridded = route not in NATIVE_ROUTES
         write_tree(with_facets(prepare_output(rows), facets, regridded), root)

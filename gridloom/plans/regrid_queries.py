@@ -8,7 +8,7 @@ from gridloom.operators import regrid as rg
 from gridloom.plans.bindings import CELLS, field, read, static, weights
 from gridloom.plans.registry import query, view
 
-view("conc_all", "SELECT time_idx, cell, QTY AS value FROM native WHERE lev = 1", ("native",))
+view("conc_all", "SELECT time_idx, lev, cell, QTY AS value FROM native", ("native",))
 view(
     "regridded",
     """SELECT var, time_idx, lev, dst_cell AS cell,
@@ -174,12 +174,12 @@ def attach_static(spark, d):
 
 @query(
     "attach_ice_grid",
-    "SELECT time_idx, cell, value, tlat AS TLAT, lon AS TLON, lon - 1e0 AS lont_bounds FROM conc_all JOIN static USING (cell)",
+    "SELECT time_idx, lev, cell, value, tlat AS TLAT, lon AS TLON, lon - 1e0 AS lont_bounds FROM conc_all JOIN static USING (cell)",
     ["conc_all", "static"],
 )
 def attach_ice_grid(spark, d):
     """A field kept on its native ice grid carries the cell centres and bounds of that grid."""
-    conc = field(spark, d, "QTY").filter("lev = 1").select("time_idx", "cell", "value")
+    conc = field(spark, d, "QTY").select("time_idx", "lev", "cell", "value")
     grid = static(spark, d).select("cell", F.col("tlat").alias("TLAT"), F.col("lon").alias("TLON"), (F.col("lon") - 1.0).alias("lont_bounds"))
     return rg.attach_missing(conc, grid, fixed.ICE_GRID_CARRIED)
 

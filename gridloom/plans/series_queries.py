@@ -143,8 +143,8 @@ def output_tree(spark, d):
     ["static"],
 )
 def existing_fx(spark, d):
-    """A stored field is reused only on the same grid: the moved one is refused."""
+    """A stored field is reused only on the same grid: the moved one, with other values, is refused."""
     stored = static(spark, d)
-    moved = stored.withColumn("lat", F.col("lat") + F.when(F.col("cell") == 0, 1.0).otherwise(0.0))
+    moved = stored.withColumns({"lat": F.col("lat") + 1.0, "landfrac": F.lit(-1.0)})
     usable = [s for s in (moved, stored) if same_grid(s, static(spark, d))]
     return usable[0].select("cell", F.col("landfrac").alias("value"))

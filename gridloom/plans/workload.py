@@ -5,6 +5,7 @@ from gridloom.plans import (  # noqa: F401
     axis_queries,
     catalog_queries,
     derive_queries,
+    prepare_queries,
     regrid_queries,
     series_queries,
     vertical_queries,

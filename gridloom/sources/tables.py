@@ -27,11 +27,13 @@ def scan_series(
 def split_series(
     every: DataFrame, variables: Sequence[str] | None = None, static: Sequence[str] = fixed.STATIC_CARRIED
 ) -> tuple[DataFrame, DataFrame]:
-    """Series rows of the wanted variables, and each static value once however many files repeat it."""
+    """Series rows of the wanted variables, and each static value once however many files repeat it: the earliest that is not missing."""
     wanted = every if variables is None else every.filter(F.col("var").isin(list(variables)))
     clean = wanted.withColumn("value", null_if_nan(F.col("value").cast("double")))
     moving = clean.filter(~F.col("var").isin(*static))
-    fixed_rows = clean.filter(F.col("var").isin(*static)).groupBy("var", "cell").agg(F.first("value", ignorenulls=True).alias("value"))
+    fixed_rows = clean.filter(F.col("var").isin(*static)).groupBy("var", "cell").agg(
+        F.min_by("value", F.when(F.col("value").isNotNull(), F.struct(*[c for c in ("time_idx", "lev") if c in clean.columns], "value"))).alias("value")
+    )
     return moving, fixed_rows
 
 

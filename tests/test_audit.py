@@ -12,8 +12,9 @@ def test_logs(spark):
     got = {r["variable"]: r for r in au.log_rollup(lines).collect()}
     assert set(got) == {"tas", "pr", "x"}
     assert got["tas"]["has_error"] and got["tas"]["has_success"] and got["tas"]["error_count"] == 12
-    assert got["tas"]["error_lines"] == [f"Error: number {i}" for i in range(10)]
-    assert not got["pr"]["has_error"] and got["pr"]["error_lines"] == [] and not got["x"]["has_success"]
+    assert not got["pr"]["has_error"] and got["pr"]["error_count"] == 0 and not got["x"]["has_success"]
+    assert sorted((r["line_no"], r["line"]) for r in au.log_errors(lines).collect()) == [(i, f"Error: number {i}") for i in range(12)]
+    assert sorted(r["line_no"] for r in au.log_errors(lines, first=10).collect()) == list(range(10))
     expected = spark.createDataFrame([("pr",)], "name string")
     assert [r["variable"] for r in au.log_rollup(lines, expected=expected).collect()] == ["pr"]
 
@@ -42,7 +43,7 @@ def test_inventory(spark):
 def test_dimension_inventory(spark):
     rows = [("tas", f"/p/{i}", "time, lat, lon", "b1", "gr", "tas", i) for i in (3, 1, 2, 0)]
     out = au.dimension_inventory(spark.createDataFrame(rows, "variable string, path string, dims string, branding string, grid string, data_var string, sizes int")).first()
-    assert out["dims"] == ["time, lat, lon"] and out["sample_sizes"] == [0, 1, 2] and out["sample_path"] == "/p/0"
+    assert out["dims"] == ["time, lat, lon"] and out["sample_sizes"] == [0, 1, 2, 3] and out["sample_path"] == "/p/0"
 
 
 def test_expected_missing_and_counts(spark):

@@ -50,6 +50,55 @@ def setup(spark):
     return outputs, dict(status)
 
 
+@pytest.fixture(scope="module")
+def small_field(spark):
+    values = [("A", 0, k, c, float(k + 1)) for k in range(LEVELS) for c in range(CELLS)] + [("S", 0, None, c, 2.0) for c in range(CELLS)]
+    return spark.createDataFrame(values, "var string, time_idx int, lev int, cell bigint, value double")
+
+
+def native_target(name, formula=None, source=None, region=None, **aliases):
+    return pp.Target(name, "ocean_native", source, aliases, formula, region, None, None)
+
+
+def native(spark, field, targets):
+    static = spark.createDataFrame([(c, 10.0 * c) for c in range(CELLS)], "cell bigint, landfrac double")
+    weights = spark.createDataFrame([], "map_id string, src_cell bigint, dst_cell bigint, w double")
+    outputs, status = pp.prepare(spark, field, targets, weights=weights, static=static)
+    return outputs["ocean_native"], status
+
+
+def test_operands_of_both_grains(spark, small_field):
+    out, status = native(spark, small_field, [
+        native_target("mixed", "A * S", A="A", S="S"), native_target("land", "A + f", A="A", f="landfrac"),
+        native_target("flat", "S + f", S="S", f="landfrac"), native_target("beside", "verticalsum(A) - A * S", A="A", S="S"),
+        native_target("still", source="landfrac"), native_target("zero", "A / (A - A)", A="A"),
+    ])
+    assert {s for _, s in status} == {"ok"}
+    got = {(r["var"], r["lev"], r["cell"]): r["value"] for r in out.collect()}
+    assert {k[1:]: v for k, v in got.items() if k[0] == "mixed"} == {(k, c): 2.0 * (k + 1) for k in range(LEVELS) for c in range(CELLS)}
+    assert {k[1:]: v for k, v in got.items() if k[0] == "beside"} == {(k, c): 6.0 - 2.0 * (k + 1) for k in range(LEVELS) for c in range(CELLS)}
+    assert got["land", 1, 3] == 32.0 and got["still", None, 2] == 20.0 and got["zero", 0, 0] is None
+    assert {k[1:]: v for k, v in got.items() if k[0] == "flat"} == {(None, c): 2.0 + 10 * c for c in range(CELLS)}
+
+
+def test_bad_targets_are_reported_and_variants_stay_apart(spark, small_field):
+    lost = [pp.Target("no_map", "general", "A", {}, None, None, None, None), pp.Target("no_levels", "general", "A", {}, None, None, "plev19", "m"),
+            pp.Target("no_ps", "general", "A", {}, None, None, "alevel", "m"), native_target("unbound", "A + QQ", A="A"), native_target("star", "A + * S", A="A", S="S")]
+    good = [native_target("v", "A + S", region="n", A="A", S="S"), native_target("v", "A - S", region="s", A="A", S="S")]
+    out, status = native(spark, small_field, lost + good)
+    told = dict(status)
+    assert told["no_map"] == "no weight map" and "plev19" in told["no_levels"] and "PS" in told["no_ps"]
+    assert "QQ" in told["unbound"] and "readable" in told["star"] and told["v"] == "ok"
+    assert {(r["region"], r["value"]) for r in out.filter("lev = 0").collect()} == {("n", 3.0), ("s", -1.0)}
+
+
+def test_every_output_grid_is_planned(spark):
+    both = entry("sos_x", "ocean", ["SO"], ["time", "latitude", "longitude"])
+    both = (*both[:10], [["time", "latitude", "longitude"], ["time", "lat", "lon"]], *both[11:])
+    planned = pp.plan_targets(spark.createDataFrame([both], CATALOG_SCHEMA), "cesm")
+    assert {t.route for t in planned} == {"ocean_native", "general"} and {t.name for t in planned} == {"sos_x"}
+
+
 def rows(df, name):
     return df.filter(F.col("var") == name).collect()
 

@@ -130,3 +130,10 @@ def test_hot_cell_without_broadcast_gives_the_same(spark, monkeypatch):
 def test_constant_field_stays_constant(spark, value, entries):
     got = by_cell(rg.regrid(field_of(spark, [value] * 6), weights_of(spark, entries)))
     assert got and all(v == pytest.approx(value, rel=1e-9, abs=1e-6) for v in got.values())
+
+
+def test_dense_grid_in_blocks(spark):
+    rows = spark.createDataFrame([("a", 0, 0, 1, 5.0), ("a", 0, 0, 9, 7.0)], "var string, time_idx int, lev int, cell bigint, value double")
+    for block in (2, 3, 100):
+        out = {r["cell"]: r["value"] for r in rg.regrid_dense(rows, 11, block=block).collect()}
+        assert out == {c: {1: 5.0, 9: 7.0}.get(c) for c in range(11)}
