@@ -18,6 +18,7 @@ HEADLINE = (
     "sigma_axis", "corner_bounds", "cf_time_noleap", "index_axis_long", "slices_to_series", "year_blocks", "merge_first_wins",
     "spatial_mean_series", "time_mean_map", "assemble_targets", "required_inputs", "catalog_gap", "produced_inventory",
     "dimension_inventory", "log_rollup", "unmapped_from_log", "expected_minus_produced",
+    "prepare_general", "prepare_zonal", "prepare_hybrid", "prepare_native",
 )
 
 

@@ -81,6 +81,16 @@ def test_operands_of_both_grains(spark, small_field):
     assert {k[1:]: v for k, v in got.items() if k[0] == "flat"} == {(None, c): 2.0 + 10 * c for c in range(CELLS)}
 
 
+def test_targets_that_travel_alike_share_their_scans(spark, small_field, tmp_path):
+    small_field.write.parquet(str(tmp_path / "field"))
+    stored = spark.read.parquet(str(tmp_path / "field"))
+    ways = [("d1", None, "A"), ("d2", None, "S"), ("p1", "A * S", None), ("p2", "A + S", None), ("h1", "verticalsum(A) + S", None), ("h2", "verticalsum(A + S)", None), ("h3", "S * verticalsum(A)", None)]
+    out, _ = native(spark, stored, [native_target(n, f, src, A="A", S="S") if f else native_target(n, source=src) for n, f, src in ways])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 3  # direct, plain formulas, helper sums
+    assert {r["var"] for r in out.select("var").distinct().collect()} == {n for n, _, _ in ways}
+
+
 def test_bad_targets_are_reported_and_variants_stay_apart(spark, small_field):
     lost = [pp.Target("no_map", "general", "A", {}, None, None, None, None), pp.Target("no_levels", "general", "A", {}, None, None, "plev19", "m"),
             pp.Target("no_ps", "general", "A", {}, None, None, "alevel", "m"), native_target("unbound", "A + QQ", A="A"), native_target("star", "A + * S", A="A", S="S")]
