@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -119,19 +120,25 @@ def log_errors(lines: DataFrame, expected: DataFrame | None = None, first: int |
 def audit_counts(
     expected: DataFrame, produced: DataFrame, logs: DataFrame, inspection_errors: DataFrame
 ) -> DataFrame:
-    """One row of counts: expected, produced, with log errors, missing, inspection errors."""
-    tagged = [
-        expected.select("name").distinct().withColumn("kind", F.lit("expected_variables")),
-        produced.select("name").distinct().withColumn("kind", F.lit("produced_variables")),
-        logs.filter("has_error").select(F.col("variable").alias("name")).distinct().withColumn("kind", F.lit("variables_with_log_errors")),
-        missing_variables(expected, produced).withColumn("kind", F.lit("missing_variables")),
-        inspection_errors.select("name").withColumn("kind", F.lit("inspection_errors")),
-    ]
-    rows = tagged[0]
-    for more in tagged[1:]:
-        rows = rows.unionByName(more)
-    kinds = ("expected_variables", "produced_variables", "variables_with_log_errors", "missing_variables", "inspection_errors")
-    return rows.agg(*[F.coalesce(F.sum((F.col("kind") == k).cast("long")), F.lit(0)).alias(k) for k in kinds])
+    """One row of counts: expected, produced, with log errors, missing, inspection errors. Each input is read once."""
+    flags = ("_expected", "_produced", "_logged", "_broken")
+
+    def tagged(names: DataFrame, kind: str) -> DataFrame:
+        return names.select("name", *[F.lit(int(f == kind)).cast("long").alias(f) for f in flags])
+
+    sources = (expected, produced, logs.filter("has_error").select(F.col("variable").alias("name")), inspection_errors)
+    rows = reduce(DataFrame.unionByName, [tagged(df, f) for df, f in zip(sources, flags, strict=True)])
+    # One grouping by name; inspection errors count as often as they come.
+    by_name = rows.groupBy("name").agg(*[F.max(f).alias(f) for f in flags[:3]], F.sum("_broken").alias("_broken"))
+    absent = F.col("name").isNull() | (F.col("_produced") == 0)
+    counted = {
+        "expected_variables": F.col("_expected"),
+        "produced_variables": F.col("_produced"),
+        "variables_with_log_errors": F.col("_logged"),
+        "missing_variables": F.when(absent, F.col("_expected")),
+        "inspection_errors": F.col("_broken"),
+    }
+    return by_name.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(k) for k, c in counted.items()])
 
 
 def unmapped_from_log(lines: DataFrame, line: str = "line") -> DataFrame:

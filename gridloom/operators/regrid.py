@@ -234,7 +234,8 @@ def attach_time_bounds(
 ) -> DataFrame:
     """Add time bounds from the source's time axis; axes that differ are an error.
 
-    A row whose time has no bounds fails when it is read, so the output is not computed twice. The time dimension of
+    A row whose time has no bounds fails when it is read, so the output is not computed twice; a row without a time
+    (a fixed field) has no bounds either. The time dimension of
     the output (``out_times``, one row per time) also finds bounds without a time, before any field row is read.
     """
     if out_times is not None:
@@ -244,5 +245,6 @@ def attach_time_bounds(
             raise ValueError("time bounds and time axis differ in length")
     axis = time_axis.select("time_idx", *bounds, F.lit(True).alias("_known"))
     wrong = F.raise_error(F.concat(F.lit("no time bounds for time "), F.col("time_idx").cast("string")))
-    checked = {b: F.when(F.col("_known").isNotNull(), F.col(b)).otherwise(wrong.cast("double")) for b in bounds}
+    timeless = F.col("time_idx").isNull()
+    checked = {b: F.when(F.col("_known").isNotNull() | timeless, F.col(b)).otherwise(wrong.cast("double")) for b in bounds}
     return out.join(small(axis), "time_idx", "left").withColumns(checked).drop("_known")

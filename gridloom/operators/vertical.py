@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import fixed_values as fixed
 from gridloom.functions.sizing import small
+from gridloom.functions.values import reference_pressure
 
 COLUMN_KEYS = ("var", "time_idx", "cell")
 
@@ -24,16 +25,23 @@ def join_column_inputs(
 
     Surface pressure that changes in time is as long as the field is over its levels, so it joins by shuffle on
     (time, cell), a partitioning that the interpolation then reuses. Only a static one is tried for broadcasting.
+    A stored reference pressure (``P0`` beside the coefficients) comes along.
     """
     missing = [n for n in ("ps",) if n not in surface.columns]
     missing += [n for n in ("hyam", "hybm") if n not in coefficients.columns]
     if missing:
         raise KeyError(f"missing variables {missing}")
-    levels = field.join(small(coefficients.select("lev", "hyam", "hybm")), "lev")
+    stored = [c for c in ("P0",) if c in coefficients.columns]
+    levels = field.join(small(coefficients.select("lev", "hyam", "hybm", *stored)), "lev")
     columns = surface.select(*surface_keys, "ps")
     return levels.join(columns if "time_idx" in surface_keys else small(columns), list(surface_keys), "left")
 
 
+def stored_p0(table: DataFrame, attribute: float | None = None) -> Column:
+    """Reference pressure for rows of ``table``: its ``P0`` where stored, else the attribute, else 100000 Pa."""
+    return reference_pressure(F.col("P0") if "P0" in table.columns else None, None if attribute is None else F.lit(float(attribute)))
+
+
 def level_pressure(p0: float | Column = fixed.REFERENCE_PRESSURE_PA) -> Column:
     """Pressure of a hybrid level from ``hyam, hybm, ps``."""
     reference = p0 if isinstance(p0, Column) else F.lit(float(p0))
@@ -153,13 +161,28 @@ def attach_vertical_meta(levels: DataFrame, interfaces: DataFrame, p0: Column |
     return joined if p0 is None else joined.withColumn("P0", p0)
 
 
+def hybrid_levels(coefficients: DataFrame, interfaces: DataFrame | None = None, p0: float | None = None) -> DataFrame:
+    """What hybrid levels mean, one row per ``lev``: ``a, b, p0``, and as bounds the interface values on both sides.
+
+    ``interfaces`` (``lev, hyai, hybi``) has one row more than there are levels: level n lies between n and n+1. A level
+    that lacks an interface has NULL on that side.
+    """
+    table = coefficients.select("lev", F.col("hyam").alias("a"), F.col("hybm").alias("b"), stored_p0(coefficients, p0).alias("p0"))
+    if interfaces is None:
+        return table
+    side = lambda lev, n: interfaces.select(lev.alias("lev"), F.col("hyai").alias(f"a_b{n}"), F.col("hybi").alias(f"b_b{n}"))
+    return table.join(side(F.col("lev"), 0), "lev", "left").join(side(F.col("lev") - 1, 1), "lev", "left")
+
+
 def hybrid_output(
-    field: DataFrame, surface: DataFrame, coefficients: DataFrame, p0: float = fixed.REFERENCE_PRESSURE_PA, surface_keys: Sequence[str] = ("time_idx", "cell")
+    field: DataFrame, surface: DataFrame, coefficients: DataFrame, p0: float | None = None, surface_keys: Sequence[str] = ("time_idx", "cell")
 ) -> DataFrame:
-    """A field on hybrid levels with what its levels mean: surface pressure ``ps``, coefficients ``a, b`` and ``p0``."""
-    table = coefficients.select("lev", F.col("hyam").alias("a"), F.col("hybm").alias("b"))
+    """For readers: a field on hybrid levels beside its surface pressure ``ps``, coefficients ``a, b`` and ``p0``.
+
+    Stored outputs keep the three apart, as surface pressure repeats on every level and coefficients in every cell.
+    """
     with_ps = field.join(surface.select(*surface_keys, "ps"), list(surface_keys))
-    return with_ps.join(small(table), "lev").withColumn("p0", F.lit(float(p0)))
+    return with_ps.join(small(hybrid_levels(coefficients, None, p0)), "lev")
 
 
 def truncate_bounds(levels: DataFrame, bounds: DataFrame, on: str = "k") -> DataFrame:

@@ -213,14 +213,17 @@ def prepare(
     available: Mapping[str, bool] | Sequence[str] | None = None,
     dim_first: int = 0,
     surface_map: str | None = None,
-    p0: float = fixed.REFERENCE_PRESSURE_PA,
+    p0: float | None = None,
+    interfaces: DataFrame | None = None,
 ) -> tuple[dict[str, DataFrame], list[tuple[str, str]]]:
     """Output fields by route, and the status of every target.
 
     Native routes keep their cells. General targets go to pressure first when they ask for it and are then regridded,
     land and ocean ones weighted by their surface. Targets on hybrid levels (output ``hybrid``) come with surface
-    pressure and coefficients. Zonal ones are regridded level by level with ``PS``, interpolated and averaged.
-    ``surface_map`` is the map for ``PS``, by default that of the first target; ``p0`` the reference pressure as stored.
+    pressure once per time and cell (``hybrid_ps``) and coefficients once per level (``hybrid_levels``, with bounds if
+    ``interfaces`` are given). Zonal ones are regridded level by level with ``PS``, interpolated and averaged.
+    ``surface_map`` is the map for ``PS``, by default that of the first target. The reference pressure is the ``P0``
+    stored beside the coefficients, else ``p0``, else 100000 Pa.
     A target without map, levels, coefficients or ``PS`` that it needs is reported and left out.
     """
     levels = levels or {}
@@ -247,13 +250,16 @@ def prepare(
         if route == "zonal_pressure":
             rows = _zonal(spark, rows, field, weights, chosen, coefficients, levels["plev39"], lon_cells, surface_map, p0)
         elif route == "hybrid":
-            rows = _hybrid(spark, rows, field, weights, chosen, coefficients, surface_map, p0)
+            rows = _by_map(spark, rows, weights, chosen)
+            made["hybrid_ps"] = [_surface_rows(field, rg.weights_of(weights, surface_map or chosen[0].map_id))]
+            made["hybrid_levels"] = [vt.hybrid_levels(coefficients, interfaces, p0)]
         elif route == "general":
             if level:
-                rows = vt.to_pressure(vt.join_column_inputs(rows, _surface(field), coefficients), levels[level], p0)
+                inputs = vt.join_column_inputs(rows, _surface(field), coefficients)
+                rows = vt.to_pressure(inputs, levels[level], vt.stored_p0(inputs, p0))
             keys = [c for c in ("var", "time_idx", "lev", "plev") if c in rows.columns]
             if surface == "all":
-                rows = rg.regrid_by_map(rows.join(F.broadcast(_map_names(spark, chosen)), "var"), weights, keys)  # one row per target
+                rows = _by_map(spark, rows, weights, chosen, keys)
             else:
                 rows = _masked(rows, rg.weights_of(weights, map_id), static, surface, keys)
         made.setdefault(route, []).append(_named_apart(rows, chosen))
@@ -265,8 +271,16 @@ def _surface(field: DataFrame) -> DataFrame:
     return field.filter("var = 'PS'").select("time_idx", "cell", F.col("value").alias("ps"))
 
 
-def _map_names(spark: SparkSession, targets: Sequence[Target]) -> DataFrame:
-    return spark.createDataFrame([(t.key, t.map_id) for t in targets], "var string, map_id string").distinct()
+def _by_map(spark: SparkSession, rows: DataFrame, weights: DataFrame, targets: Sequence[Target], keys: Sequence[str] = rg.KEYS) -> DataFrame:
+    maps = spark.createDataFrame(sorted({(t.key, t.map_id) for t in targets}), "var string, map_id string")
+    return rg.regrid_by_map(rows.join(F.broadcast(maps), "var"), weights, keys)  # one row per target
+
+
+def _surface_rows(field: DataFrame, entries: DataFrame) -> DataFrame:
+    """Surface pressure on the destination grid as the variable ``ps``, which has no levels."""
+    surface = field.filter("var = 'PS'").select("time_idx", "cell", "value")
+    flat = rg.regrid(surface, entries, ("time_idx",))
+    return flat.select(F.lit("ps").alias("var"), "time_idx", F.lit(None).cast("int").alias("lev"), "cell", "value")
 
 
 def _masked(rows: DataFrame, entries: DataFrame, static: DataFrame, surface: str, keys: Sequence[str]) -> DataFrame:
@@ -292,16 +306,38 @@ def _with_surface(spark, rows, field, weights, targets, surface_map) -> DataFram
 def _zonal(spark, rows, field, weights, targets, coefficients, levels, lon_cells, surface_map, p0) -> DataFrame:
     on_grid = _with_surface(spark, rows, field, weights, targets, surface_map)
     inputs = vt.join_column_inputs(on_grid.filter("var != 'PS'"), _surface(on_grid), coefficients)
-    return vt.zonal_mean(vt.to_pressure(inputs, levels, p0), lon_cells)
+    return vt.zonal_mean(vt.to_pressure(inputs, levels, vt.stored_p0(inputs, p0)), lon_cells)
 
 
-def _hybrid(spark, rows, field, weights, targets, coefficients, surface_map, p0) -> DataFrame:
-    on_grid = _with_surface(spark, rows, field, weights, targets, surface_map)
-    return vt.hybrid_output(on_grid.filter("var != 'PS'"), _surface(on_grid), coefficients, p0)
+def described(outputs: Mapping[str, DataFrame], catalog: DataFrame, time_axis: DataFrame, fx: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Outputs as they are stored, with what their numbers mean.
+
+    Every field row has units and names from the catalog (``name, units, long_name, standard_name``), and its time with
+    bounds from ``time_axis`` (``time_idx, time, time_b0, time_b1``); a time without an entry fails, rows without a time
+    have none. Level dimensions get their archive names. Fixed fields (``fx``, one row per cell) become an output of their
+    own, once per cell instead of beside every row.
+    """
+    out = {}
+    for route, rows in outputs.items():
+        if route != "hybrid_levels":
+            rows = rg.attach_time_bounds(dv.attach_attributes(rows, catalog), time_axis, ("time", "time_b0", "time_b1"))
+            rows = dv.rename_dimensions(rows)
+        out[route] = rows
+    if fx is not None:
+        names = [n for n in ("sftlf", "sftof", "areacella", "orog") if n in fx.columns]
+        long = fx.select("cell", *[F.col(n).cast("double").alias(n) for n in names]).unpivot("cell", names, "var", "value")
+        out["fx"] = dv.attach_attributes(long, catalog)
+    return out
 
 
 def write_outputs(outputs: Mapping[str, DataFrame], root: str, facets: Mapping[str, str]) -> None:
-    """Every route into the output tree, missing values filled, grid label by whether it was regridded."""
+    """Every route into the output tree, missing values filled, grid label by whether it was regridded.
+
+    Hybrid coefficients are no field: they go beside the tree, into ``<root>_levels``.
+    """
     for route, rows in outputs.items():
+        if route == "hybrid_levels":
+            rows.write.mode("overwrite").parquet(f"{root.rstrip('/')}_levels")
+            continue
         regridded = route not in NATIVE_ROUTES
         write_tree(with_facets(prepare_output(rows), facets, regridded), root)

@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from gridloom.plans import prepare as pp
-from gridloom.plans.bindings import NLON, coefficients, field, native, static, weights
+from gridloom.plans.bindings import NLON, coefficients, field, native, read, static, weights
 from gridloom.plans.registry import query, view
 from gridloom.plans.vertical_queries import PLEVS, with_interp
 
@@ -132,7 +132,39 @@ def prepare_zonal(spark, d):
     ["qty_on_grid", "ps_on_grid", "coeff"],
 )
 def prepare_hybrid(spark, d):
-    return prepared(spark, d, HYBRID)[0]["hybrid"].select("var", "time_idx", "lev", "cell", "value", "ps", "a", "b", "p0")
+    """The three tables that are stored, put together again."""
+    outputs = prepared(spark, d, HYBRID)[0]
+    surface = outputs["hybrid_ps"].select("time_idx", "cell", F.col("value").alias("ps"))
+    rows = outputs["hybrid"].join(surface, ["time_idx", "cell"]).join(outputs["hybrid_levels"], "lev")
+    return rows.select("var", "time_idx", "lev", "cell", "value", "ps", "a", "b", "p0")
+
+
+NAMES = list(dict.fromkeys(t.name for t in GENERAL))
+view(
+    "described_catalog",
+    f"""SELECT {NAMES}[p_partkey::INTEGER] AS var, p_brand AS units, p_name AS long_name, CASE WHEN p_partkey % 2 = 0 THEN p_type END AS standard_name
+        FROM part WHERE p_partkey <= {len(NAMES)}""",
+)
+
+
+@query(
+    "prepare_described",
+    """SELECT var, region, time_idx, lev, cell, value, units, long_name, standard_name, time_idx * 30e0 + 15e0 AS time, time_idx * 30e0 AS time_b0, time_idx * 30e0 + 30e0 AS time_b1
+       FROM general_rows LEFT JOIN described_catalog USING (var)""",
+    ["general_rows", "described_catalog"],
+)
+def prepare_described(spark, d):
+    """General outputs with attributes and time; one catalog entry per target comes from a part."""
+    k = F.col("p_partkey")
+    name = F.get(F.array(*[F.lit(n) for n in NAMES]), (k - 1).cast("int"))
+    entries = read(spark, d, "part").select(
+        name.alias("name"), F.col("p_brand").alias("units"), F.col("p_name").alias("long_name"), F.when(k % 2 == 0, F.col("p_type")).alias("standard_name")
+    )
+    start = F.col("time_idx") * 30.0
+    months = native(spark, d).select("time_idx").distinct()
+    axis = months.select("time_idx", (start + 15.0).alias("time"), start.alias("time_b0"), (start + 30.0).alias("time_b1"))
+    rows = pp.described({"general": prepared(spark, d, GENERAL)[0]["general"]}, entries.filter("name IS NOT NULL"), axis)["general"]
+    return rows.select("var", "region", "time_idx", "lev", "cell", "value", "units", "long_name", "standard_name", "time", "time_b0", "time_b1")
 
 
 @query(

@@ -9,17 +9,17 @@ from gridloom.operators import vertical as vt
 from gridloom.plans.bindings import NLON, axes, coefficients, field, read, static
 from gridloom.plans.regrid_queries import cons
 from gridloom.plans.registry import query, view, with_views
-from gridloom.sources.tables import axis_levels
+from gridloom.sources.tables import axis_levels, coordinate_file
 
 PLEVS = (100000.0, 85000.0, 70000.0, 50000.0, 30000.0, 20000.0, 10000.0)
 BINS = ((0.0, 2.0), (2.0, 6.0), (6.0, 10.0), (10.0, 20.0), (20.0, 400.0))
 
 
-def pressure_sql(source: str, keys: str) -> str:
+def pressure_sql(source: str, keys: str, p0: str = "100000e0") -> str:
     """Interpolation as a range match between neighbouring levels, then every level of every column."""
     listed = ", ".join(f"({p:.0f}e0)" for p in PLEVS)
     return f"""
-      cols AS (SELECT {keys}, lev, value, hyam * 100000e0 + hybm * ps AS p FROM {source}),
+      cols AS (SELECT {keys}, lev, value, hyam * {p0} + hybm * ps AS p FROM {source}),
       seg AS (SELECT *, lead(p) OVER w AS p1, lead(value) OVER w AS v1,
                      lead(lev, 2) OVER w IS NULL AND lead(lev) OVER w IS NOT NULL AS ends,
                      lag(lev) OVER w IS NULL AND lead(lev) OVER w IS NULL AS alone
@@ -52,9 +52,9 @@ def column_inputs(spark, d):
     return with_column_inputs(spark, d).select("var", "time_idx", "lev", "cell", "value", "hyam", "hybm", "ps")
 
 
-def with_interp(source_view: str, keys: str, body: str, uses):
+def with_interp(source_view: str, keys: str, body: str, uses, p0: str = "100000e0"):
     head = with_views(uses, "")
-    return f"{head.rstrip()}, {pressure_sql(source_view, keys).strip()} {body}"
+    return f"{head.rstrip()}, {pressure_sql(source_view, keys, p0).strip()} {body}"
 
 
 @query("pressure_interp", with_interp("on_levels", "var, time_idx, cell", "SELECT var, time_idx, cell, plev, value FROM interp", ["on_levels"]))
@@ -62,6 +62,17 @@ def pressure_interp(spark, d):
     return vt.to_pressure(with_column_inputs(spark, d), PLEVS)
 
 
+# A stored reference pressure that differs by level, and is missing on one of them.
+P0_SQL = "coalesce(CASE WHEN lev <> 4 THEN 90000e0 + lev * 1000e0 END, 98000e0)"
+
+
+@query("pressure_interp_stored_p0", with_interp("on_levels", "var, time_idx, cell", "SELECT var, time_idx, cell, plev, value FROM interp", ["on_levels"], P0_SQL))
+def pressure_interp_stored_p0(spark, d):
+    stored = coefficients(spark).withColumn("P0", F.when(F.col("lev") != 4, F.lit(90000.0) + F.col("lev") * 1000.0))
+    inputs = vt.join_column_inputs(field(spark, d, "PRICE"), static(spark, d), stored, ("cell",))
+    return vt.to_pressure(inputs, PLEVS, vt.stored_p0(inputs, 98000.0))
+
+
 view("dst_ps", "SELECT dst_cell AS cell, sum(w * ps_cents) / sum(w) / 100e0 AS ps FROM (SELECT cell, round(ps * 100) AS ps_cents FROM static) JOIN cons ON src_cell = cell GROUP BY 1", ("static", "cons"))
 view(
     "regridded_levels",
@@ -154,6 +165,20 @@ def hybrid_output(spark, d):
     return vt.hybrid_output(on_grid.filter("var != 'PS'"), ps, coefficients(spark))
 
 
+@query(
+    "hybrid_levels",
+    """SELECT lev, a, b, coalesce(p0, 98000e0) AS p0, l.ha AS a_b0, l.hb AS b_b0, r.ha AS a_b1, r.hb AS b_b1 FROM
+       (SELECT p_partkey AS lev, p_retailprice AS a, p_size / 50e0 AS b, CASE WHEN p_partkey % 3 > 0 THEN p_size * 1000e0 END AS p0 FROM part)
+       LEFT JOIN (SELECT p_partkey AS lev, p_retailprice / 2e0 AS ha, p_size / 4e0 AS hb FROM part) l USING (lev)
+       LEFT JOIN (SELECT p_partkey - 1 AS lev, p_retailprice / 2e0 AS ha, p_size / 4e0 AS hb FROM part) r USING (lev)""",
+)
+def hybrid_levels(spark, d):
+    part = read(spark, d, "part")
+    lev, price, size = F.col("p_partkey"), F.col("p_retailprice"), F.col("p_size")
+    mid = part.select(lev.alias("lev"), price.alias("hyam"), (size / 50.0).alias("hybm"), F.when(lev % 3 > 0, size * 1000.0).alias("P0"))
+    return vt.hybrid_levels(mid, part.select(lev.alias("lev"), (price / 2.0).alias("hyai"), (size / 4.0).alias("hybi")), 98000.0)
+
+
 @query("rescale_levels", "SELECT axis_id, i, s / 1000e0 AS lev, (s + i) / 1000e0 AS ilev FROM axes", ["axes"])
 def rescale_levels(spark, d):
     table = axes(spark, d).select("axis_id", "i", F.col("s").alias("lev"), (F.col("s") + F.col("i")).alias("ilev"))
@@ -206,17 +231,33 @@ def plev_to_pa(spark, d):
     return joined.select("axis_id", "i", pressure_to_pa(F.col("v"), F.col("units"), F.col("m")).alias("plev"))
 
 
+def level_texts(spark, d):
+    """One JSON text per part, with its axis; three parts share a table set, and their files have different names."""
+    size, k = F.col("p_size").cast("string"), F.col("p_partkey")
+    text = F.concat(
+        F.lit('{"axis_entry": {"plev'), "p_brand", k, F.lit('": {"requested": ["'), size, F.lit('000.", "'), size, F.lit('0."]}, "latitude": {"units": "1"}}}')
+    )
+    name = F.when(k % 3 == 0, "CMIP_coordinate").when(k % 3 == 1, "CMIP6_coordinate").when(F.col("p_size") % 2 == 0, "CMIP7_coordinate").otherwise("CMIP8_coordinate")
+    return read(spark, d, "part").select(F.floor(k / 3).alias("set"), F.concat(F.lit("tables/"), name, F.lit(".json")).alias("path"), text.alias("value"))
+
+
+view("axis_texts", "SELECT p_partkey // 3 AS set, p_partkey, p_size, 'plev' || p_brand || p_partkey AS axis, o::INTEGER AS ord, (CASE o WHEN 0 THEN p_size * 1000 ELSE p_size * 10 END)::DOUBLE AS plev FROM part, (VALUES (0), (1)) g(o)")
+
+
+@query("axis_levels", "SELECT axis, ord, plev FROM axis_texts", ["axis_texts"])
+def all_axis_levels(spark, d):
+    return axis_levels(level_texts(spark, d))
+
+
 @query(
     "requested_levels",
-    """SELECT 'plev' || p_brand || p_partkey AS axis, o::INTEGER AS ord, (CASE o WHEN 0 THEN p_size * 1000 ELSE p_size * 10 END)::DOUBLE AS plev
-       FROM part, (VALUES (0), (1)) g(o)""",
+    """SELECT set, axis, ord, plev FROM (SELECT *, CASE p_partkey % 3 WHEN 0 THEN 3 WHEN 1 THEN 2 ELSE 1 END AS r FROM axis_texts WHERE p_partkey % 3 < 2 OR p_size % 2 = 0)
+       QUALIFY r = min(r) OVER (PARTITION BY set)""",
+    ["axis_texts"],
 )
 def requested_levels(spark, d):
-    size = F.col("p_size").cast("string")
-    text = F.concat(
-        F.lit('{"axis_entry": {"plev'), "p_brand", F.col("p_partkey"), F.lit('": {"requested": ["'), size, F.lit('000.", "'), size, F.lit('0."]}, "latitude": {"units": "1"}}}')
-    )
-    return axis_levels(read(spark, d, "part").select(text.alias("value")))
+    """Of every table set the file that comes first by name decides; files of other names do not count."""
+    return axis_levels(coordinate_file(level_texts(spark, d), ["set"]), ["set"])
 
 
 @query(

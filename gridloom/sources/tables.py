@@ -113,16 +113,21 @@ def read_tables(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return flatten_tables(spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value"))
 
 
+def coordinate_file(coordinates: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """The text (``value``) of the first known coordinate file by name, of all files or per ``keys`` (a table set)."""
+    names = F.array(*[F.lit(n) for n in fixed.COORDINATE_FILES])
+    ranked = coordinates.withColumn("_rank", F.array_position(names, tx.file_name(F.col("path")))).filter("_rank > 0")
+    return ranked.groupBy(*keys).agg(F.min_by("value", "_rank").alias("value"))
+
+
 def requested_levels(coordinates: DataFrame, axis: str) -> list[float]:
     """Requested values of an axis from coordinate-table JSON texts (``path, value``).
 
     Of the known file names the first that is present is used; an axis it does not define is an error.
     """
-    names = F.array(*[F.lit(n) for n in fixed.COORDINATE_FILES])
-    ranked = coordinates.withColumn("_rank", F.array_position(names, tx.file_name(F.col("path")))).filter("_rank > 0")
-    chosen = ranked.orderBy("_rank").limit(1)
+    chosen = coordinate_file(coordinates)
     parsed = F.from_json("value", "struct<axis_entry:map<string,struct<requested:array<string>>>>")
-    row = chosen.select(F.try_element_at(parsed["axis_entry"], F.lit(axis))["requested"].alias("r")).first()
+    row = chosen.filter(F.col("value").isNotNull()).select(F.try_element_at(parsed["axis_entry"], F.lit(axis))["requested"].alias("r")).first()
     if row is None:
         raise FileNotFoundError(f"none of {list(fixed.COORDINATE_FILES)} is present")
     if row["r"] is None:
@@ -130,12 +135,12 @@ def requested_levels(coordinates: DataFrame, axis: str) -> list[float]:
     return [float(x) for x in row["r"]]
 
 
-def axis_levels(coordinates: DataFrame) -> DataFrame:
-    """(axis, ord, plev) of every axis with requested values in the given JSON texts (``value``)."""
+def axis_levels(coordinates: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, axis, ord, plev) of every axis with requested values in the given JSON texts (``value``)."""
     parsed = F.from_json("value", "struct<axis_entry:map<string,struct<requested:array<string>>>>")
-    spread = coordinates.select(F.explode(parsed["axis_entry"]).alias("axis", "entry"))
+    spread = coordinates.select(*keys, F.explode(parsed["axis_entry"]).alias("axis", "entry"))
     listed = spread.filter(F.col("entry.requested").isNotNull())
-    return listed.select("axis", F.posexplode("entry.requested").alias("ord", "_t")).select("axis", "ord", F.col("_t").try_cast("double").alias("plev"))
+    return listed.select(*keys, "axis", F.posexplode("entry.requested").alias("ord", "_t")).select(*keys, "axis", "ord", F.col("_t").try_cast("double").alias("plev"))
 
 
 def same_grid(left: DataFrame, right: DataFrame, columns: Sequence[str] = ("cell", "lat", "lon")) -> bool:

@@ -137,8 +137,22 @@ def test_pressure_targets(setup):
 
 
 def test_hybrid_targets_carry_their_levels(setup):
-    got = {(r["cell"], r["lev"]): (r["value"], r["ps"], r["a"], r["b"], r["p0"]) for r in setup[0]["hybrid"].collect()}
-    assert got == {(c, k): (200.0 + 10 * k, 100000.0, 0.0, (k + 1) / LEVELS, 100000.0) for c in (0, 1) for k in range(LEVELS)}
+    assert {(r["cell"], r["lev"]): r["value"] for r in setup[0]["hybrid"].collect()} == {(c, k): 200.0 + 10 * k for c in (0, 1) for k in range(LEVELS)}
+    # Surface pressure once per time and cell, coefficients once per level.
+    assert {(r["var"], r["cell"], r["lev"], r["value"]) for r in setup[0]["hybrid_ps"].collect()} == {("ps", c, None, 100000.0) for c in (0, 1)}
+    assert {tuple(r) for r in setup[0]["hybrid_levels"].select("lev", "a", "b", "p0").collect()} == {(k, 0.0, (k + 1) / LEVELS, 100000.0) for k in range(LEVELS)}
+
+
+def test_described_outputs_have_times_and_names(setup, spark):
+    catalog = spark.createDataFrame([("tas_x", "K", "temperature", None), ("sftlf", "%", None, "land")], "name string, units string, long_name string, standard_name string")
+    axis = spark.createDataFrame([(0, 15.0, 0.0, 30.0)], "time_idx int, time double, time_b0 double, time_b1 double")
+    fx = spark.createDataFrame([(0, 50.0), (1, None)], "cell bigint, sftlf double")
+    out = pp.described(setup[0], catalog, axis, fx)
+    assert {(r["units"], r["long_name"], r["time"], r["time_b0"], r["time_b1"]) for r in rows(out["general"], "tas_x")} == {("K", "temperature", 15.0, 0.0, 30.0)}
+    assert {(r["var"], r["cell"], r["value"], r["units"], r["standard_name"]) for r in out["fx"].collect()} == {("sftlf", 0, 50.0, "%", "land"), ("sftlf", 1, None, "%", "land")}
+    late = axis.withColumn("time_idx", F.lit(7))
+    with pytest.raises(Exception, match="no time bounds for time 0"):
+        pp.described({"general": setup[0]["general"]}, catalog, late)["general"].collect()
 
 
 def test_native_targets_stay_on_their_cells(setup):
@@ -152,5 +166,6 @@ def test_outputs_are_written(setup, spark, tmp_path):
     pp.write_outputs(setup[0], str(tmp_path / "tree"), facets)
     back = spark.read.parquet(str(tmp_path / "tree"))
     labels = {(r["variable_id"], r["grid_label"]) for r in back.select("variable_id", "grid_label").distinct().collect()}
+    assert ("ps", "gr") in labels and spark.read.parquet(str(tmp_path / "tree_levels")).count() == LEVELS
     assert ("sos", "gn") in labels and ("tas", "gr") in labels and ("siarea", "gn") in labels
     assert {r["region"] for r in back.filter("variable_id = 'siarea'").collect()} == {"nh", "sh"}
