@@ -1,9 +1,13 @@
 """Audits of logs, output paths and produced variables; means for inspection."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions import text as tx
 from gridloom.operators import audit as au
+from gridloom.plans import chains
 from gridloom.plans.bindings import field, read
 from gridloom.plans.catalog_queries import catalog, request
 from gridloom.plans.registry import query, view
@@ -176,6 +180,28 @@ def audit_counts(spark, d):
     return au.audit_counts(expected(spark, d), produced, au.log_rollup(log_lines(spark, d)), broken)
 
 
+REPORT = {
+    "expected_variables": "expected",
+    "produced_variables": "(SELECT DISTINCT name FROM inventory)",
+    "missing_variables": "(SELECT name FROM expected EXCEPT SELECT name FROM inventory)",
+    "log_records": "log_summary",
+    "log_errors": "(SELECT unnest(range(error_count)) FROM log_summary)",
+    "inspection_errors": "(SELECT * FROM inventory WHERE o_orderkey % 17 = 0)",
+}
+
+
+@query("audit_report", " UNION ALL ".join(f"SELECT '{name}' AS report, count(*) AS n FROM {sql}" for name, sql in REPORT.items()), ["expected", "inventory", "log_summary"])
+def audit_report(spark, d):
+    """Rows in every table of the assembled report."""
+    produced = inventory(spark, d)
+    chosen = read(spark, d, "supplier").select(F.concat(F.lit("v"), "s_suppkey", F.lit("_tavg-u-hxy-u")).alias("name"))
+    entries = catalog(spark, d).join(read(spark, d, "part").filter("p_size <= 40").select("p_partkey"), "p_partkey")
+    _, report = chains.audit_report(
+        entries, produced, log_lines(spark, d), request=request(spark, d), selected=chosen, inspection_errors=produced.filter("o_orderkey % 17 = 0")
+    )
+    return reduce(DataFrame.unionByName, [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("report"), "n") for name, df in report.items()])
+
+
 @query(
     "run_status",
     "SELECT DISTINCT o_custkey AS name, CASE o_orderstatus WHEN 'O' THEN 'ok' WHEN 'F' THEN 'started' ELSE 'ERROR' END AS status FROM orders",
