@@ -20,6 +20,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 from gridloom.llm.common import cut
 
 ROUNDS = 6
+#: Numbers of equal rows that are listed at once.
+RUN = 65536
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -61,8 +63,12 @@ def numbered(rows: DataFrame, keys: list[str], per_bucket: int = 50_000) -> tupl
     # One row for each bucket of some 50,000 rows.
     bases = totals.select("bucket", (F.sum("total").over(Window.orderBy("bucket")) - F.col("total")).alias("base"))
     first = F.col("base") + F.coalesce("place", F.lit(0))
-    placed = counted.join(bases, "bucket").select(*keys, F.explode(F.sequence(first, first + F.col("copies") - 1)).alias("number"))
-    return placed, n
+    placed = counted.join(bases, "bucket").select(*keys, first.alias("first"), "copies")
+    # Numbers of equal rows in runs of RUN, so no list is longer, however many copies a row has.
+    runs = placed.select(*keys, "first", "copies", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / RUN))).alias("run"))
+    start = F.col("first") + F.col("run") * RUN
+    stop = F.least(start + (RUN - 1), F.col("first") + F.col("copies") - 1)
+    return runs.select(*keys, F.explode(F.sequence(start, stop)).alias("number")), n
 
 
 def shard_plan(rows: DataFrame, keys: list[str], shards: int, seed: int = 0) -> DataFrame:
