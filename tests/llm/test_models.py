@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.llm import html_extract, language_id, lm_score, toxicity, workload
+from gridloom.llm import html_extract, jaccard_join, language_id, lm_score, toxicity, workload
 
 SF = "/root/testdata/sf0.001"
 
@@ -148,6 +148,20 @@ def test_pipeline_stages_keep_columns_and_clean_rows(spark):
     assert pieces.select("doc_id").distinct().count() == out.count()
 
 
+def test_pipeline_near_stage_links_at_five_words_and_0_8(spark, make):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(500)]
+    more = [*words, *(f"x{i}" for i in range(100))]
+    other = [f"{w}y" for w in words]
+    edited = [f"z{i}" if i % 45 == 20 else w for i, w in enumerate(other)]
+    assert sum(a != b for a, b in zip(other, edited, strict=True)) == 11
+    rows = [(1, " ".join(words)), (2, " ".join(more)), (3, " ".join(other)), (4, " ".join(edited)), (5, " ".join(f"v{i}" for i in range(50)))]
+    assert {r.doc_id for r in corpus_pipeline.near_stage(spark, make(rows, extra=True), "").collect()} == {1, 3, 5}
+    # Neither pair links by the rule of op3.
+    assert {r.component_id for r in jaccard_join.near_groups(make(rows)).collect()} == {1, 2, 3, 4, 5}
+
+
 def test_op4_query_keeps_one_row_a_group(spark):
     got = workload.op4_exact_dedup(spark, SF)
     assert got.filter("kept").count() == got.select("text_sha256").distinct().count()
