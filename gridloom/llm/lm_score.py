@@ -1,16 +1,17 @@
 """Cross-entropy difference: how much better a target model predicts a text than a background model, per token.
 
-Both are bigram models with unigram backing, over one vocabulary: the words that make up at least 1/VOCABULARY of all tokens,
-so VOCABULARY words at most, whatever the corpus; others are one unknown word. The background is every document, the target
-is every document that a condition picks; both are counted in full. With p(w|v) = (c(v,w) + A * p(w)) / (c(v) + A) and
+Both are bigram models with unigram backing, over one vocabulary: every word of the corpus, by its 64-bit hash, and one more
+for words that it lacks. The background is every document, the target is every document that a condition picks; both are
+counted in full. With p(w|v) = (c(v,w) + A * p(w)) / (c(v) + A) and
 p(w) = (c(w) + B) / (n + B * words), a text's score is the mean over its tokens of ln p_background - ln p_target: below 0
 for texts that look like the target.
 
-Counts of bigrams grow with the corpus and are never gathered: a document's bigrams are dealt out by bigram, in packed
-parts; where they meet they are counted, and each gives its share of the loss back to its document (whose own
-counts are left out of both models), packed by the part of
-the input that it came from. Bigrams that some part of the input has as often as 1/VOCABULARY are candidates; those whose counts
-in such parts reach that share of all are counted exactly first, and scored where they are.
+Counts of words and bigrams grow with the corpus and are never gathered. Only words that make up at least 1/VOCABULARY of
+all tokens are broadcast with their counts, VOCABULARY words at most. A document's bigrams are dealt out in packed parts, by their
+second word where that is a rarer one, else by bigram: so all tokens of a rarer word meet, and the word is counted there,
+for its backing and for what follows it. Where bigrams meet they are counted, and each gives its share of the loss back to
+its document (whose own counts are left out of both models), packed by the part of the input that it came from. Bigrams
+that some part of the input has as often as 1/VOCABULARY are candidates; those whose counts in such parts reach that share of all are counted exactly first, and scored where they are.
 No bigram that meets in one task has more than 2/VOCABULARY of all tokens.
 
 Cases: a null, empty or blank text has no tokens and the score 0; ids may be null or repeated, each row is scored by itself;
@@ -29,15 +30,16 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import cut, raw_text
 from gridloom.llm.jaccard_join import LOWER, mix, word_hashes
 
+#: Words and bigrams with 1/VOCABULARY of all tokens are scored where they are, others where they meet.
 VOCABULARY = 1 << 18
 A, B = 5.0, 0.5
 #: Bigrams in one bucket, about.
 PER_BUCKET = 1_000_000
-ENTRY = np.dtype([("key", "<u8"), ("doc", "<u4")])
+ENTRY = np.dtype([("word", "<u8"), ("before", "<u8"), ("doc", "<u4")])
 SHARE = np.dtype([("doc", "<u4"), ("loss", "<f8")])
 INFO = np.dtype([("id", "<i8"), ("null", "?"), ("tokens", "<i8"), ("loss", "<f8")])
-#: In an entry's document number: the target model counts it.
-MARK = np.uint32(1 << 31)
+#: In an entry's document number: the target model counts it; a word follows in the text.
+MARK, FOLLOWED = np.uint32(1 << 31), np.uint32(1 << 30)
 
 
 def hashed(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -132,7 +134,7 @@ def as_arrays(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def words_kept(words: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
-    """Numbers of words: 1 and up in the vocabulary, 0 for the unknown word."""
+    """Numbers of words: 1 and up for those broadcast, 0 for rarer ones."""
     place = np.searchsorted(vocabulary, words)
     place[place == len(vocabulary)] = 0
     return np.where(vocabulary[place] == words, place + 1, 0) if len(vocabulary) else np.zeros(len(words), np.int64)
@@ -146,24 +148,31 @@ def bigrams(numbers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class Models:
-    """Unigram counts of both models, and the loss differences that bigram counts give."""
+    """Unigram counts of both models, and the loss differences that bigram counts give. ``vocabulary``: the words that are
+    broadcast, of ``words`` in all."""
 
-    def __init__(self, vocabulary: np.ndarray, n: np.ndarray, target: np.ndarray, all_n: int, all_target: int, texts: int, target_texts: int):
-        self.vocabulary = vocabulary
+    def __init__(self, vocabulary: np.ndarray, n: np.ndarray, target: np.ndarray, words: int, all_n: int, all_target: int, texts: int, target_texts: int):
+        self.vocabulary, self.words, self.all = vocabulary, words, (all_n, all_target)
         self.count = []
-        for counts, everything, starts in ((n, all_n, texts), (target, all_target, target_texts)):
+        for counts, starts in ((n, texts), (target, target_texts)):
             own = np.zeros(VOCABULARY + 2)
             own[1 : len(counts) + 1] = counts
-            own[0] = everything - counts.sum()
-            backing = (own[: len(counts) + 1] + B) / (everything + B * (len(counts) + 1))
             own[VOCABULARY + 1] = starts
-            self.count.append((own, backing))
+            self.count.append(own)
+
+    def after(self, n: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """What a bigram's loss has from both counts of its first word."""
+        return np.log(target + A) - np.log(n + A)
+
+    def before(self, n: np.ndarray, target: np.ndarray, word_n: np.ndarray, word_target: np.ndarray) -> np.ndarray:
+        """What a bigram's loss has from its own counts and those of its second word."""
+        backing = [(word + B) / (everything + B * (self.words + 1)) for word, everything in zip((word_n, word_target), self.all, strict=True)]
+        return np.log(n + A * backing[0]) - np.log(target + A * backing[1])
 
     def difference(self, pairs: np.ndarray, n: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """ln p_background - ln p_target of the second word of each pair, given both counts of the pair."""
+        """ln p_background - ln p_target of the second word of each pair of broadcast words, given both counts of the pair."""
         v, w = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        loss = [np.log((pair + A * backing[w]) / (own[v] + A)) for pair, (own, backing) in zip((n, target), self.count, strict=True)]
-        return loss[0] - loss[1]
+        return self.before(n, target, *(own[w] for own in self.count)) + self.after(*(own[v] for own in self.count))
 
 
 def score(docs: DataFrame, target: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -175,7 +184,7 @@ def score(docs: DataFrame, target: Column, id_col: str = "doc_id", text_col: str
     all_n, all_target = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("target"), F.lit(0))).first()
     # A word with 1/VOCABULARY of all tokens: there are VOCABULARY such words at most.
     kept = as_arrays(words.filter(F.col("n") * VOCABULARY >= all_n))
-    models = Models(*kept, all_n, all_target, size[1] or 0, size[2] or 0)
+    models = Models(*kept, words.count(), all_n, all_target, size[1] or 0, size[2] or 0)
 
     heavy = as_arrays(frequent(rows, models, all_n))
     heavy_loss = models.difference(*heavy)
@@ -191,7 +200,9 @@ def frequent(rows: DataFrame, models: Models, all_n: int) -> DataFrame:
     def often(batches):
         def found():
             key, sums = totals(keys, counts)
-            often = (sums * VOCABULARY >= tokens) & (sums > 1)
+            # A bigram that is frequent has frequent words.
+            frequent_words = (key >> np.uint64(32) > 0) & (key & np.uint64(0xFFFFFFFF) > 0)
+            often = frequent_words & (sums * VOCABULARY >= tokens) & (sums > 1)
             return pa.RecordBatch.from_arrays([pa.array(key[often].view(np.int64)), pa.array(sums[often]), pa.array(sums[often])], schema=kinds)
 
         keys, counts, tokens, held = [], [], 0, 0
@@ -249,21 +260,31 @@ def dealer(models: Models, heavy: np.ndarray, heavy_loss: np.ndarray, buckets: i
                 ids, n = some.column(0), some.num_rows
                 words, sizes = hashed(some.column(1).to_pylist())
                 doc = np.repeat(np.arange(n), sizes)
-                pair = bigrams(words_kept(words, models.vocabulary), sizes)
+                numbers = words_kept(words, models.vocabulary)
+                pair = bigrams(numbers, sizes)
                 place = places(pair, heavy)
+                rare = place == len(heavy)
+                # The first word is looked up here if it is broadcast; else where its tokens meet.
+                first = (pair >> np.uint64(32)).astype(np.int64)
+                after = np.where(rare & (first > 0), models.after(*(own[first] for own in models.count)), 0.0)
                 info = np.zeros(n, INFO)
                 info["id"] = ids.fill_null(0).to_numpy(zero_copy_only=False)
                 info["null"] = ids.is_null().to_numpy(zero_copy_only=False)
                 info["tokens"] = sizes
-                info["loss"] = np.bincount(doc, known[place], n)
+                info["loss"] = np.bincount(doc, known[place] + after, n)
                 # The numbers of documents go on through the part, so the first is sent before them.
                 data, bucket = [np.int64(row).tobytes() + info.tobytes()], [np.array([-1 - part], np.int64)]
-                rare = place == len(heavy)
+                ends = np.cumsum(sizes)[sizes > 0]
+                before = np.concatenate([np.zeros(1, np.uint64), words[:-1]])[: len(words)]
+                before[(np.cumsum(sizes) - sizes)[sizes > 0]] = 0
+                followed = np.ones(len(words), bool)
+                followed[ends - 1] = False
                 entries = np.empty(np.count_nonzero(rare), ENTRY)
-                entries["key"] = pair[rare]
+                entries["word"], entries["before"] = words[rare], before[rare]
                 mark = np.array(some.column(2).to_pylist(), np.uint32) * MARK
-                entries["doc"] = (row + doc[rare]).astype(np.uint32) | mark[doc[rare]]
-                own = (mix(entries["key"]) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+                entries["doc"] = (row + doc[rare]).astype(np.uint32) | mark[doc[rare]] | followed[rare] * FOLLOWED
+                key = np.where(numbers[rare] > 0, mix(entries["word"]) ^ entries["before"], entries["word"])
+                own = (mix(key) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
                 order = np.argsort(own, kind="stable")
                 entries, own = entries[order], own[order].astype(np.int64)
                 if len(entries):
@@ -284,17 +305,25 @@ def meeting(models: Models):
     def shares(rows: list[tuple[int, bytes]]):
         parts = np.repeat(np.array([p for p, _ in rows], np.int64), [len(d) // ENTRY.itemsize for _, d in rows])
         entries = np.concatenate([np.frombuffer(d, ENTRY) for _, d in rows])
-        doc, marked = parts.astype(np.uint64) << np.uint64(32) | (entries["doc"] & ~MARK).astype(np.uint64), entries["doc"] >= MARK
-        order = np.lexsort((doc, entries["key"]))
-        key, doc, marked = entries["key"][order], doc[order], marked[order]
-        starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])]))
-        own = np.diff(np.concatenate([starts, [len(key)]]))
-        key, doc, marked = key[starts], doc[starts], marked[starts]
-        kept, which = np.unique(key, return_inverse=True)
+        doc = parts.astype(np.uint64) << np.uint64(32) | (entries["doc"] & ~(MARK | FOLLOWED)).astype(np.uint64)
+        order = np.lexsort((doc, entries["before"], entries["word"]))
+        word, before, doc, flags = entries["word"][order], entries["before"][order], doc[order], entries["doc"][order]
+        new_word = np.concatenate([[True], word[1:] != word[:-1]])
+        new_pair = new_word | np.concatenate([[True], before[1:] != before[:-1]])
+        starts = np.flatnonzero(new_pair | np.concatenate([[True], doc[1:] != doc[:-1]]))
+        own = np.diff(np.concatenate([starts, [len(word)]]))
+        followed = np.add.reduceat((flags & FOLLOWED > 0).astype(np.int64), starts)
+        word, doc, marked = word[starts], doc[starts], flags[starts] & MARK > 0
+        of_pair, of_word = np.cumsum(new_pair[starts]) - 1, np.cumsum(new_word[starts]) - 1
         # What a document has itself does not count for it, in either model.
-        n = np.bincount(which, own, len(kept))[which] - own
-        target = np.bincount(which, own * marked, len(kept))[which] - own * marked
-        loss = own * models.difference(key, n, target)
+        n = np.bincount(of_pair, own)[of_pair] - own
+        target = np.bincount(of_pair, own * marked)[of_pair] - own * marked
+        # All tokens of a word that is not broadcast are here.
+        number = words_kept(word, models.vocabulary)
+        word_n, word_target = (
+            np.where(number > 0, known[number], np.bincount(of_word, count)[of_word]) for known, count in zip(models.count, (own, own * marked), strict=True)
+        )
+        loss = own * models.before(n, target, word_n, word_target) + np.where(number > 0, 0, followed) * models.after(word_n, word_target)
         doc, which = np.unique(doc, return_inverse=True)
         sums = np.empty(len(doc), SHARE)
         sums["doc"], sums["loss"] = (doc & np.uint64(0xFFFFFFFF)).astype(np.uint32), np.bincount(which, loss, len(doc))

@@ -134,6 +134,43 @@ def test_lm_score_equals_brute_force(make):
     assert lm_score.score(docs.limit(0), F.col("good")).count() == 0
 
 
+def many_words():
+    """800,000 tokens, half of them of words that come two times about: no word with fewer than four is broadcast."""
+    rng = random.Random(8)
+    word = lambda: f"c{rng.randrange(500)}" if rng.random() < 0.5 else f"r{rng.randrange(200_000)}"
+    return [(i, " ".join(word() for _ in range(2000)), i % 3 == 0) for i in range(400)]
+
+
+def brute_scores(rows, heavy_own):
+    """Scores by id; ``heavy_own``: bigrams with 1/2^18 of all tokens, twice at least, are scored with all counts."""
+    texts = [t.lower().split() for _, t, _ in rows]
+    own = [Counter(zip([None, *t], t, strict=False)) for t in texts]
+    uni, bi = [Counter(), Counter()], [Counter(), Counter()]
+    for (_, _, good), t, o in zip(rows, texts, own, strict=True):
+        for m in (0, 1) if good else (0,):
+            uni[m].update(t)
+            bi[m].update(o)
+    starts, n, words = [len(rows), sum(r[2] for r in rows)], [sum(u.values()) for u in uni], len(uni[0])
+    want = {}
+    for (i, _, good), t, o in zip(rows, texts, own, strict=True):
+        loss = 0.0
+        for (v, w), k in o.items():
+            heavy = bi[0][v, w] > 1 and bi[0][v, w] << 18 >= n[0]
+            for m, sign in (0, 1), (1, -1):
+                c = bi[m][v, w] - (k if (m == 0 or good) and not (heavy and heavy_own) else 0)
+                backing = (uni[m][w] + lm_score.B) / (n[m] + lm_score.B * (words + 1))
+                loss += sign * k * math.log((c + lm_score.A * backing) / ((uni[m][v] if v is not None else starts[m]) + lm_score.A))
+        want[i] = loss / max(1, len(t))
+    return want
+
+
+def test_lm_score_knows_rare_words(make):
+    rows = [*many_words(), *((1000 + i, f"c1 c2 only{i} c3 only{i}", i == 0) for i in range(3)), (1003, "c4 only0 c4", False), (1004, "c4 only1 c4", False)]
+    got = {r.doc_id: r.score for r in lm_score.score(make(rows, "doc_id bigint, text string, good boolean").coalesce(1), F.col("good")).collect()}
+    assert got == pytest.approx(brute_scores(rows, heavy_own=True))
+    assert got[1003] < got[1004] - 0.01
+
+
 def test_pipeline_stages_keep_columns_and_clean_rows(spark):
     import corpus_pipeline
 
