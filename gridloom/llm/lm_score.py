@@ -11,12 +11,13 @@ all tokens are broadcast with their counts, VOCABULARY words at most. A document
 second word where that is a rarer one, else by bigram: so all tokens of a rarer word meet, and the word is counted there,
 for its backing and for what follows it. Where bigrams meet they are counted, and each gives its share of the loss back to
 its document (whose own counts are left out of both models), packed by the part of the input that it came from. Bigrams
-that some part of the input has as often as 1/VOCABULARY are candidates; those whose counts in such parts reach that share of all are counted exactly first, and scored where they are.
+that some part of the input has as often as 1/VOCABULARY are candidates; those whose counts in such parts reach that share of
+all are counted exactly first, and scored where they are.
 No bigram that meets in one task has more than 2/VOCABULARY of all tokens.
 
 Cases: a null, empty or blank text has no tokens and the score 0; ids may be null or repeated, each row is scored by itself;
-rows equal in text get equal scores; with no target row the target model is the background's backing with no counts; other
-columns are not read; an empty table gives no rows.
+rows equal in text get equal scores if the target model counts both or neither; with no target row the target model is the
+background's backing with no counts; other columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -175,8 +176,9 @@ class Models:
         return self.before(n, target, *(own[w] for own in self.count)) + self.after(*(own[v] for own in self.count))
 
 
-def score(docs: DataFrame, target: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row: doc_id, score, n_tokens. ``target`` says of a row of docs whether the target model counts it."""
+def score(docs: DataFrame, target: Column, id_col: str = "doc_id", text_col: str = "text", heavy_own: bool = True) -> DataFrame:
+    """Every row: doc_id, score, n_tokens. ``target`` says of a row of docs whether the target model counts it. With
+    ``heavy_own``, bigrams scored where they are keep a document's own counts; without it one rule holds for all bigrams."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), raw_text(text_col).alias("text"), F.coalesce(target, F.lit(False)).cast("int").alias("target"))
     size = rows.agg(F.sum(F.octet_length("text")), F.count("*"), F.sum("target"), F.sum(((F.octet_length("text") > 0)).cast("int"))).first()
     buckets = max(256, (size[0] or 0) // (6 * PER_BUCKET))
@@ -187,8 +189,7 @@ def score(docs: DataFrame, target: Column, id_col: str = "doc_id", text_col: str
     models = Models(*kept, words.count(), all_n, all_target, size[1] or 0, size[2] or 0)
 
     heavy = as_arrays(frequent(rows, models, all_n))
-    heavy_loss = models.difference(*heavy)
-    parts = rows.mapInArrow(dealer(models, heavy[0], heavy_loss, buckets), "bucket bigint, part bigint, data binary")
+    parts = rows.mapInArrow(dealer(models, heavy, heavy_own, buckets), "bucket bigint, part bigint, data binary")
     shares = parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meeting(models), "part bigint, info boolean, data binary")
     return shares.repartition("part").sortWithinPartitions("part").mapInArrow(gathering, "doc_id bigint, score double, n_tokens bigint")
 
@@ -248,10 +249,18 @@ def places(keys: np.ndarray, among: np.ndarray) -> np.ndarray:
     return np.where(among[place] == keys, place, len(among))
 
 
-def dealer(models: Models, heavy: np.ndarray, heavy_loss: np.ndarray, buckets: int):
+def dealer(models: Models, counts: tuple[np.ndarray, np.ndarray, np.ndarray], heavy_own: bool, buckets: int):
     """Bigrams to be counted go out by bucket; a part's documents, with what is known of them, to a bucket below 0."""
     names = ["bucket", "part", "data"]
-    known = np.concatenate([heavy_loss, [0.0]])
+    heavy, heavy_n, heavy_target = counts
+    known = np.concatenate([models.difference(*counts), [0.0]]) if heavy_own else None
+
+    def without_own(doc: np.ndarray, place: np.ndarray, marked: np.ndarray) -> np.ndarray:
+        """Loss of each document over its frequent bigrams, its own counts left out."""
+        pairs, own = np.unique(doc * max(1, len(heavy)) + place, return_counts=True)
+        doc, place = np.divmod(pairs, max(1, len(heavy)))
+        loss = own * models.difference(heavy[place], heavy_n[place] - own, heavy_target[place] - own * marked[doc])
+        return np.bincount(doc, loss, len(marked))
 
     def run(batches):
         part, row = TaskContext.get().partitionId(), 0
@@ -271,7 +280,11 @@ def dealer(models: Models, heavy: np.ndarray, heavy_loss: np.ndarray, buckets: i
                 info["id"] = ids.fill_null(0).to_numpy(zero_copy_only=False)
                 info["null"] = ids.is_null().to_numpy(zero_copy_only=False)
                 info["tokens"] = sizes
-                info["loss"] = np.bincount(doc, known[place] + after, n)
+                marked = np.array(some.column(2).to_pylist(), np.int64)
+                if heavy_own:
+                    info["loss"] = np.bincount(doc, known[place] + after, n)
+                else:
+                    info["loss"] = np.bincount(doc, after, n) + without_own(doc[~rare], place[~rare], marked)
                 # The numbers of documents go on through the part, so the first is sent before them.
                 data, bucket = [np.int64(row).tobytes() + info.tobytes()], [np.array([-1 - part], np.int64)]
                 ends = np.cumsum(sizes)[sizes > 0]
@@ -281,7 +294,7 @@ def dealer(models: Models, heavy: np.ndarray, heavy_loss: np.ndarray, buckets: i
                 followed[ends - 1] = False
                 entries = np.empty(np.count_nonzero(rare), ENTRY)
                 entries["word"], entries["before"] = words[rare], before[rare]
-                mark = np.array(some.column(2).to_pylist(), np.uint32) * MARK
+                mark = marked.astype(np.uint32) * MARK
                 entries["doc"] = (row + doc[rare]).astype(np.uint32) | mark[doc[rare]] | followed[rare] * FOLLOWED
                 key = np.where(numbers[rare] > 0, mix(entries["word"]) ^ entries["before"], entries["word"])
                 own = (mix(key) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)

@@ -71,7 +71,7 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = labels.filter("quality = 1").select(F.col("doc_id").alias("_good")).distinct()
     good = F.broadcast(good) if good.count() <= jaccard_join.BROADCAST_IDS else good.hint("merge")
     marked = docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("_good"), "left")
-    return lm_score.score(marked, F.col("_good").isNotNull())
+    return lm_score.score(marked, F.col("_good").isNotNull(), heavy_own=False)
 
 
 QUERIES = {

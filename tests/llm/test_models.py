@@ -171,6 +171,20 @@ def test_lm_score_knows_rare_words(make):
     assert got[1003] < got[1004] - 0.01
 
 
+def test_lm_score_leaves_out_own_counts_of_all_bigrams(spark, make, tmp_path):
+    """A text that repeats itself does not predict itself, and files laid out in another way give the same scores."""
+    rows = [*many_words()[:60], (1000, "so it goes on " * 200, True), (1001, "and on it went " * 200, False)]
+    schema = "doc_id bigint, text string, good boolean"
+    want = brute_scores(rows, heavy_own=False)
+    for parts in (1, 7):
+        folder = tmp_path / str(parts)
+        docs = make(rows, schema)
+        docs.select("doc_id", "text").repartition(parts).write.parquet(f"{folder}/documents.parquet")
+        docs.selectExpr("doc_id", "int(good) AS quality", "0 AS toxic").coalesce(1).write.parquet(f"{folder}/labels.parquet")
+        got = {r.doc_id: r.score for r in workload.op10_lm_score(spark, str(folder)).collect()}
+        assert got == pytest.approx(want), parts
+
+
 def test_pipeline_stages_keep_columns_and_clean_rows(spark):
     import corpus_pipeline
 
