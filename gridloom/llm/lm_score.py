@@ -1,6 +1,6 @@
 """Cross-entropy difference: how much better a target model predicts a text than a background model, per token.
 
-Both are bigram models with unigram backing, over one vocabulary: every word of the corpus, by its 64-bit hash, and one more
+Both are bigram models with unigram backing, over one vocabulary: every word of the corpus, by 63 bits of its hash, and one more
 for words that it lacks. The background is every document, the target is every document that a condition picks; both are
 counted in full. With p(w|v) = (c(v,w) + A * p(w)) / (c(v) + A) and
 p(w) = (c(w) + B) / (n + B * words), a text's score is the mean over its tokens of ln p_background - ln p_target: below 0
@@ -22,6 +22,8 @@ background's backing with no counts; other columns are not read; an empty table
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -36,6 +38,8 @@ VOCABULARY = 1 << 18
 A, B = 5.0, 0.5
 #: Bigrams in one bucket, about.
 PER_BUCKET = 1_000_000
+#: Words of an entry are numbers if they are broadcast, else hashes with this bit.
+RARE = np.uint64(1 << 63)
 ENTRY = np.dtype([("word", "<u8"), ("before", "<u8"), ("doc", "<u4")])
 SHARE = np.dtype([("doc", "<u4"), ("loss", "<f8")])
 INFO = np.dtype([("id", "<i8"), ("null", "?"), ("tokens", "<i8"), ("loss", "<f8")])
@@ -249,6 +253,16 @@ def places(keys: np.ndarray, among: np.ndarray) -> np.ndarray:
     return np.where(among[place] == keys, place, len(among))
 
 
+def squeezed(entries: np.ndarray) -> bytes:
+    """Compressed byte by byte of the entries: high bytes of numbers and documents hardly vary."""
+    return zlib.compress(entries.view(np.uint8).reshape(-1, ENTRY.itemsize).T.tobytes(), 1)
+
+
+def restored(data: bytes) -> np.ndarray:
+    flat = np.frombuffer(zlib.decompress(data), np.uint8).reshape(ENTRY.itemsize, -1)
+    return np.ascontiguousarray(flat.T).reshape(-1).view(ENTRY)
+
+
 def dealer(models: Models, counts: tuple[np.ndarray, np.ndarray, np.ndarray], heavy_own: bool, buckets: int):
     """Bigrams to be counted go out by bucket; a part's documents, with what is known of them, to a bucket below 0."""
     names = ["bucket", "part", "data"]
@@ -288,21 +302,21 @@ def dealer(models: Models, counts: tuple[np.ndarray, np.ndarray, np.ndarray], he
                 # The numbers of documents go on through the part, so the first is sent before them.
                 data, bucket = [np.int64(row).tobytes() + info.tobytes()], [np.array([-1 - part], np.int64)]
                 ends = np.cumsum(sizes)[sizes > 0]
-                before = np.concatenate([np.zeros(1, np.uint64), words[:-1]])[: len(words)]
-                before[(np.cumsum(sizes) - sizes)[sizes > 0]] = 0
+                code = np.where(numbers > 0, numbers.astype(np.uint64), words | RARE)
+                before = np.where(first > 0, first.astype(np.uint64), np.concatenate([np.zeros(1, np.uint64), code[:-1]])[: len(code)])
                 followed = np.ones(len(words), bool)
                 followed[ends - 1] = False
                 entries = np.empty(np.count_nonzero(rare), ENTRY)
-                entries["word"], entries["before"] = words[rare], before[rare]
+                entries["word"], entries["before"] = code[rare], before[rare]
                 mark = marked.astype(np.uint32) * MARK
                 entries["doc"] = (row + doc[rare]).astype(np.uint32) | mark[doc[rare]] | followed[rare] * FOLLOWED
-                key = np.where(numbers[rare] > 0, mix(entries["word"]) ^ entries["before"], entries["word"])
+                key = np.where(entries["word"] < RARE, mix(entries["word"]) ^ entries["before"], entries["word"])
                 own = (mix(key) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
                 order = np.argsort(own, kind="stable")
                 entries, own = entries[order], own[order].astype(np.int64)
                 if len(entries):
                     starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-                    data += [entries[a:b].tobytes() for a, b in zip(starts, [*starts[1:], len(entries)], strict=True)]
+                    data += [squeezed(entries[a:b]) for a, b in zip(starts, [*starts[1:], len(entries)], strict=True)]
                     bucket.append(own[starts])
                 bucket = np.concatenate(bucket)
                 yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(np.full(len(bucket), part, np.int64)), pa.array(data, pa.binary())], names=names)
@@ -316,8 +330,9 @@ def meeting(models: Models):
     names = ["part", "info", "data"]
 
     def shares(rows: list[tuple[int, bytes]]):
-        parts = np.repeat(np.array([p for p, _ in rows], np.int64), [len(d) // ENTRY.itemsize for _, d in rows])
-        entries = np.concatenate([np.frombuffer(d, ENTRY) for _, d in rows])
+        found = [restored(d) for _, d in rows]
+        parts = np.repeat(np.array([p for p, _ in rows], np.int64), [len(x) for x in found])
+        entries = np.concatenate(found)
         doc = parts.astype(np.uint64) << np.uint64(32) | (entries["doc"] & ~(MARK | FOLLOWED)).astype(np.uint64)
         order = np.lexsort((doc, entries["before"], entries["word"]))
         word, before, doc, flags = entries["word"][order], entries["before"][order], doc[order], entries["doc"][order]
@@ -332,7 +347,7 @@ def meeting(models: Models):
         n = np.bincount(of_pair, own)[of_pair] - own
         target = np.bincount(of_pair, own * marked)[of_pair] - own * marked
         # All tokens of a word that is not broadcast are here.
-        number = words_kept(word, models.vocabulary)
+        number = np.where(word < RARE, word, 0).astype(np.int64)
         word_n, word_target = (
             np.where(number > 0, known[number], np.bincount(of_word, count)[of_word]) for known, count in zip(models.count, (own, own * marked), strict=True)
         )
