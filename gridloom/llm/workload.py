@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import byte_bpe, cover_tree, exact_dedup, html_extract, jaccard_join, language_id, lm_score, packing, pattern_packing, sharding, toxicity
+from gridloom.llm import byte_bpe, cover_tree, exact_dedup, html_extract, jaccard_join, language_id, lm_score, packing, pattern_packing, sharding, token_alignment, toxicity
 from gridloom.llm.common import raw_text, table
 
 SHARDS = 40
@@ -74,6 +74,12 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(marked, F.col("_good").isNotNull(), heavy_own=False)
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    docs, _ = token_alignment.correspondences(table(spark, sf_dir, "documents"), *paths, digest=True)
+    return docs.withColumnRenamed("groups", "groups_sha256")
+
+
 def op13_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only what is returned of a piece goes through the shuffle by length, not its ids."""
     pieces = pattern_packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -91,6 +97,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_html_extraction": op9_html_extraction,
     "op10_lm_score": op10_lm_score,
+    "op12_token_alignment": op12_token_alignment,
     "op13_pattern_packing": op13_pattern_packing,
 }
 
