@@ -49,6 +49,54 @@ def cf_time(ts: Column, units: str = "days since 1850-01-01", calendar: str = "n
     return (days * F.lit(86400000000) + micros_of_day(ts)).cast("double") / F.lit(float(seconds * 1000000))
 
 
+def cf_date(value: Column, units: str = "days since 1850-01-01", calendar: str = "noleap") -> Column:
+    """The date of an offset in ``units``, the inverse of :func:`cf_time`: struct of year, month, day and micros since midnight.
+
+    Whole units are counted exactly; of a fraction, what a double holds, to the nearest microsecond. NULL gives NULL.
+    """
+    seconds, origin = _unit_and_origin(units)
+    year, month, day = (int(p) for p in origin.split("-"))
+    whole = F.floor(value)
+    micros = whole.cast("long") * F.lit(seconds * 1000000) + F.rint((value - whole) * F.lit(float(seconds * 1000000))).cast("long")
+    days = F.floor(micros / F.lit(86400000000)).cast("long")
+    days = days - F.when(days * F.lit(86400000000) > micros, 1).otherwise(0)  # the quotient is a double and may round up
+    rest = micros - days * F.lit(86400000000)
+    if calendar in ("noleap", "365_day"):
+        total = days + F.lit(year * 365 + DAYS_BEFORE_MONTH[month - 1] + day - 1)
+        y = F.floor(total / 365).cast("long")
+        inside = (total - y * 365).cast("int")
+        before = F.array(*[F.lit(d) for d in DAYS_BEFORE_MONTH])
+        m = F.size(F.filter(before, lambda d: d <= inside))
+        parts = y, m, inside - F.element_at(before, m) + 1
+    elif calendar == "360_day":
+        total = days + F.lit(year * 360 + (month - 1) * 30 + day - 1)
+        y = F.floor(total / 360).cast("long")
+        inside = total - y * 360
+        parts = y, F.floor(inside / 30) + 1, F.pmod(inside, F.lit(30)) + 1
+    elif calendar in ("standard", "gregorian", "proleptic_gregorian"):
+        date = F.date_add(F.lit(origin).cast("date"), days.cast("int"))
+        parts = F.year(date), F.month(date), F.day(date)
+    else:
+        raise ValueError(f"unknown calendar {calendar!r}")
+    named = [p.cast("int").alias(n) for p, n in zip(parts, ("year", "month", "day"), strict=True)]
+    return F.when(value.isNotNull(), F.struct(*named, rest.alias("micros")))
+
+
+# Steps of a frequency in a day, for series that count their steps from the start of year 0 (fixed values).
+STEPS_PER_DAY = {"day": 1, "6hr": 4, "3hr": 8, "1hr": 24}
+
+
+def step_year(index: Column, freq: str, calendar: str = "noleap") -> Column:
+    """The year of a step that is counted from the start of year 0 in steps of the frequency."""
+    if freq == "yr":
+        return index.cast("int")
+    if freq == "mon":
+        return F.floor(index / 12).cast("int")
+    if freq not in STEPS_PER_DAY:
+        raise ValueError(f"unknown frequency {freq!r}")
+    return cf_date(index.cast("double") / F.lit(float(STEPS_PER_DAY[freq])), "days since 0000-01-01", calendar)["year"]
+
+
 def encode_time(dtype: str, value: Column, units: str, calendar: str) -> Column:
     """Numbers pass through as double, timestamps are encoded, other types are an error."""
     if dtype in ("tinyint", "smallint", "int", "bigint", "float", "double") or dtype.startswith("decimal"):

@@ -63,6 +63,9 @@ HISTORY_PATTERNS = {
     },
 }
 
+#: Columns of slices that are their time axis, not variables.
+TIME_COLUMNS = ("time", "time_b0", "time_b1")
+
 # --- output tree -------------------------------------------------------------------------------------------------
 TREE_FACETS = (
     "mip_era", "activity_id", "institution_id", "source_id", "experiment_id", "variant_label", "region",

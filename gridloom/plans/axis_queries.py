@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from gridloom.functions.calendar import cf_time, encode_time, noleap_year_fraction
+from gridloom.functions.calendar import cf_date, cf_time, encode_time, noleap_year_fraction
 from gridloom.operators import axes as ax
 from gridloom.plans.bindings import axes, read
 from gridloom.plans.registry import query, view
@@ -237,6 +237,40 @@ def cf_time_360(spark, d):
     return read(spark, d, "orders").select("o_orderkey", cf_time(F.col("o_orderdate"), "days since 1990-02-01", "360_day").alias("t"))
 
 
+@query(
+    "cf_date_noleap",
+    """SELECT event_id, CASE WHEN NOT (month(ts) = 2 AND day(ts) = 29) THEN year(ts)::INTEGER END AS year, CASE WHEN NOT (month(ts) = 2 AND day(ts) = 29) THEN month(ts)::INTEGER END AS month,
+        CASE WHEN NOT (month(ts) = 2 AND day(ts) = 29) THEN day(ts)::INTEGER END AS day, CASE WHEN NOT (month(ts) = 2 AND day(ts) = 29) THEN (hour(ts) * 3600 + minute(ts) * 60 + second(ts))::BIGINT END AS second FROM events""",
+)
+def cf_date_noleap(spark, d):
+    """Dates of numbers in seconds, which a double holds exactly."""
+    units = "seconds since 1850-03-01"
+    seconds = cf_time(F.date_trunc("second", F.col("ts")).cast("timestamp_ntz"), units)
+    found = read(spark, d, "events").select("event_id", cf_date(seconds, units).alias("d"))
+    return found.select("event_id", "d.year", "d.month", "d.day", (F.col("d.micros") / 1000000).cast("long").alias("second"))
+
+
+@query(
+    "cf_date_standard",
+    """SELECT o_orderkey, year(t)::INTEGER AS year, month(t)::INTEGER AS month, day(t)::INTEGER AS day, (hour(t) * 3600000000)::BIGINT AS micros FROM (
+       SELECT o_orderkey, TIMESTAMP '1900-02-28 00:00:00' + to_hours(((o_orderkey * 6151) % 2000000)::INTEGER) AS t FROM orders)""",
+)
+def cf_date_standard(spark, d):
+    hours = ((F.col("o_orderkey") * 6151) % 2000000).cast("double")
+    found = read(spark, d, "orders").select("o_orderkey", cf_date(hours, "hours since 1900-02-28", "standard").alias("d"))
+    return found.select("o_orderkey", "d.year", "d.month", "d.day", "d.micros")
+
+
+@query(
+    "cf_date_360_day",
+    """SELECT o_orderkey, (1990 + n // 360)::INTEGER AS year, (n % 360 // 30 + 1)::INTEGER AS month, (n % 30 + 1)::INTEGER AS day FROM (
+       SELECT o_orderkey, (o_orderkey * 7919) % 300000 + 30 AS n FROM orders)""",
+)
+def cf_date_360(spark, d):
+    found = read(spark, d, "orders").select("o_orderkey", cf_date(((F.col("o_orderkey") * 7919) % 300000).cast("double"), "days since 1990-02-01", "360_day").alias("d"))
+    return found.select("o_orderkey", "d.year", "d.month", "d.day")
+
+
 @query(
     "noleap_year_fraction",
     f"SELECT o_orderkey, (year(o_orderdate) * 365 + ({CUMULATIVE})[month(o_orderdate)] + day(o_orderdate))::DOUBLE / 365e0 AS y FROM orders",

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from gridloom.functions import fixed_values as fixed
 from gridloom.functions.calendar import month_index
 from gridloom.operators import series as sr
+from gridloom.plans import chains
 from gridloom.plans.bindings import field, read, static
 from gridloom.plans.registry import query, view
 from gridloom.sources.sinks import prepare_output, with_facets
@@ -61,6 +62,40 @@ def new_blocks(spark, d):
     return sr.new_blocks(every, every.filter("(var = 'QTY' OR block = 1994) AND cell > 50"))
 
 
+STREAMS = """
+    SELECT 'QTY' AS var, 'mon' AS freq, 'h.z' AS stream, year(l_shipdate) AS y, l_quantity AS value FROM lineitem
+    UNION ALL SELECT 'QTY', 'mon', 'h.native', year(l_shipdate), l_quantity * 2 FROM lineitem
+    UNION ALL SELECT 'LINE', 'mon', 'h.native', year(l_shipdate), l_linenumber FROM lineitem
+    UNION ALL SELECT 'TOTAL', 'day', 'h.sfc', year(o_orderdate), round(o_totalprice * 100) FROM orders
+    UNION ALL SELECT 'QTY', '6hr', 'h.inst', year(DATE '1990-01-01' + (ts::DATE - DATE '2020-01-01')::INTEGER), round(value * 100) FROM events"""
+view("streams", STREAMS)
+
+
+@query(
+    "stream_series",
+    "SELECT var, freq, stream, (1993 + (y - 1993) // 2 * 2)::INTEGER AS block, count(*) AS n, sum(value)::DOUBLE AS total FROM streams WHERE y BETWEEN 1993 AND 1996 GROUP BY 1, 2, 3, 4",
+    ["streams"],
+)
+def stream_series(spark, d):
+    """Two monthly streams that share a variable, a daily one by its steps, a 6-hour one by its time: each keeps all its rows
+    of the years, none takes the place of another."""
+    lines, orders, events = (read(spark, d, t) for t in ("lineitem", "orders", "events"))
+    month, cell = month_index(F.col("l_shipdate")).alias("time_idx"), F.col("l_suppkey").alias("cell")
+    days = lambda column, start: F.datediff(F.to_date(column), F.lit(start).cast("date"))
+    made = chains.stream_series(
+        {
+            ("mon", "h.z"): lines.select(month, cell, F.col("l_quantity").alias("QTY")),
+            ("mon", "h.native"): lines.select(month, cell, (F.col("l_quantity") * 2).alias("QTY"), F.col("l_linenumber").alias("LINE")),
+            ("day", "h.sfc"): orders.select(days("o_orderdate", "0000-01-01").alias("time_idx"), F.col("o_custkey").alias("cell"), F.rint(F.col("o_totalprice") * 100).alias("TOTAL")),
+            ("6hr", "h.inst"): events.select(
+                F.lit(0).alias("time_idx"), F.col("user_id").alias("cell"), days("ts", "2020-01-01").cast("double").alias("time_b0"), F.rint(F.col("value") * 100).alias("QTY")
+            ),
+        },
+        years=(1993, 1996, 2), units="days since 1990-01-01", calendar="standard",
+    )
+    return made.groupBy("var", "freq", "stream", "block").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+
+
 HISTORY = "'/archive/run.' || CASE o_orderkey % 5 WHEN 0 THEN 'cam.h0a' WHEN 1 THEN 'cam.h1a' WHEN 2 THEN 'cice.h.' WHEN 3 THEN 'cice.h1.' ELSE 'other' END || '.' || o_orderkey || '.nc'"
 view("history", f"SELECT {HISTORY} AS path FROM orders")
 
