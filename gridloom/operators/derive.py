@@ -29,7 +29,7 @@ def require_variables(available: Sequence[str], needed: Sequence[str], context:
         raise KeyError(f"{context}: missing variables {missing}")
 
 
-def _pivot(field: DataFrame, label: Mapping[str, str], keys: Sequence[str]) -> DataFrame:
+def pivot(field: DataFrame, label: Mapping[str, str], keys: Sequence[str]) -> DataFrame:
     """One column per variable under its label, and ``_has_<label>`` where the variable has a row at the point."""
     columns = []
     for native, name in label.items():
@@ -38,11 +38,11 @@ def _pivot(field: DataFrame, label: Mapping[str, str], keys: Sequence[str]) -> D
     return field.filter(F.col("var").isin(*label)).groupBy(*keys).agg(*columns)
 
 
-def _all_present(names: Sequence[str]) -> Column:
+def all_present(names: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"_has_{n}") for n in names], F.lit(True))
 
 
-def _used(text: str, names: Sequence[str]) -> list[str]:
+def used_names(text: str, names: Sequence[str]) -> list[str]:
     return [n for n in names if re.search(rf"\b{re.escape(n)}\b", text)]
 
 
@@ -53,7 +53,7 @@ def widen(field: DataFrame, names: Sequence[str], keys: Sequence[str] = POINT, a
     point that is present with a NULL value stays.
     """
     label = {n: n for n in names} if aliases is None else {native: alias for alias, native in aliases.items()}
-    return _pivot(field, label, keys).filter(_all_present(list(label.values()))).select(*keys, *label.values())
+    return pivot(field, label, keys).filter(all_present(list(label.values()))).select(*keys, *label.values())
 
 
 def _closing(text: str, start: int) -> int:
@@ -93,7 +93,7 @@ def realize_formula(
     return wide.select(F.lit(target).alias("var"), *keys, F.expr(guard_division(formula)).cast("double").alias("value"))
 
 
-def _emit(rows: DataFrame, keys: Sequence[str], outputs: Sequence[tuple[Column, str, Column]]) -> DataFrame:
+def emit(rows: DataFrame, keys: Sequence[str], outputs: Sequence[tuple[Column, str, Column]]) -> DataFrame:
     """From one row per point, one row for each (condition, target, value) whose condition holds."""
     structs = [F.struct(here.alias("here"), F.lit(target).alias("var"), value.cast("double").alias("value")) for here, target, value in outputs]
     emitted = F.filter(F.array(*structs), lambda o: o["here"])
@@ -114,12 +114,12 @@ def realize_formulas(
     Variables in ``level_free`` have one value per column. Beside operands with levels that value holds on every
     level; formulas of such variables alone stay level-free. ``static_names`` are columns of ``static``, by cell.
     """
-    used = {target: _used(text, names) for target, text in formulas.items()}
+    used = {target: used_names(text, names) for target, text in formulas.items()}
     mixed = {t for t, own in used.items() if set(own) & set(level_free) and set(own) - set(level_free)}
     spread = sorted({n for t in mixed for n in used[t] if n in level_free})
     column = [k for k in keys if k != "lev"]
     # One exchange by column serves the pivot and the window over it.
-    wide = _pivot(field.repartition(*column) if spread else field, {n: n for n in names}, keys)
+    wide = pivot(field.repartition(*column) if spread else field, {n: n for n in names}, keys)
     over = Window.partitionBy(*column)
     wide = wide.withColumns({f"_all_{n}": F.max(n).over(over) for n in spread} | {f"_has__all_{n}": F.max(f"_has_{n}").over(over) for n in spread})
     if static_names:
@@ -130,13 +130,13 @@ def realize_formulas(
         if target in mixed:
             text = re.sub(rf"\b({'|'.join(map(re.escape, spread))})\b", r"_all_\1", text)
             own = [f"_all_{n}" if n in spread else n for n in own]
-        outputs.append((_all_present(own), target, F.expr(guard_division(text))))
-    return _emit(wide, keys, outputs)
+        outputs.append((all_present(own), target, F.expr(guard_division(text))))
+    return emit(wide, keys, outputs)
 
 
 def realize_static(static: DataFrame, formulas: Mapping[str, str]) -> DataFrame:
     """Targets made of static columns only: one value per cell, without time and level."""
-    rows = _emit(static, ["cell"], [(F.lit(True), target, F.expr(guard_division(text))) for target, text in formulas.items()])
+    rows = emit(static, ["cell"], [(F.lit(True), target, F.expr(guard_division(text))) for target, text in formulas.items()])
     none = F.lit(None).cast("int")
     return rows.select("var", none.alias("time_idx"), none.alias("lev"), "cell", "value")
 
@@ -324,18 +324,18 @@ def realize_steps(
     with any or no position in ``dim``, and enter the arithmetic by that value. A plain operand in ``levelled`` keeps
     its levels: the sums then stand beside each of them, and the result has ``dim``.
     """
-    kept = _used(lowered.sql, [n for n in names if n in levelled])
+    kept = used_names(lowered.sql, [n for n in names if n in levelled])
     if not kept:
         return realize_step_targets(field, {target: lowered}, {target: names}, dim, first, keys, static, static_names)
     over = Window.partitionBy(*keys)
-    wide = _pivot(field.repartition(*keys), {n: n for n in names}, (*keys, dim))
+    wide = pivot(field.repartition(*keys), {n: n for n in names}, (*keys, dim))
     if static_names:
         wide = with_static(wide, static, static_names)
     sums = {s.name: _reduced(s, target, dim, first, over) for s in lowered.steps}
     present = {f"_has_{n}": F.max(f"_has_{n}").over(over) for n in names if n not in kept}
-    free = {n: F.max(n).over(over) for n in _used(lowered.sql, names) if n not in kept}
+    free = {n: F.max(n).over(over) for n in used_names(lowered.sql, names) if n not in kept}
     located = wide.select(*keys, dim, *kept, *static_names, *[F.col(f"_has_{n}") for n in kept], *[c.alias(n) for n, c in (sums | present | free).items()])
-    rows = located.filter(_all_present(names))
+    rows = located.filter(all_present(names))
     return rows.select(F.lit(target).alias("var"), *keys, dim, F.expr(guard_division(lowered.sql)).cast("double").alias("value"))
 
 
@@ -351,7 +351,7 @@ def realize_step_targets(
 ) -> DataFrame:
     """All formulas with helper steps that keep no levels: one pivot and one grouping, however many they are."""
     every = sorted({n for own in names.values() for n in own})
-    wide = _pivot(field, {n: n for n in every}, (*keys, dim))
+    wide = pivot(field, {n: n for n in every}, (*keys, dim))
     if static_names:
         wide = with_static(wide, static, static_names)
     sums, outputs, plain = [], [], set()
@@ -361,11 +361,11 @@ def realize_step_targets(
             label = f"_t{number}{step.name}"
             sums.append(_reduced(step, target, dim, first).alias(label))
             sql = re.sub(rf"\b{step.name}\b", label, sql)
-        plain |= set(_used(low.sql, [*names[target], *static_names]))
-        outputs.append((_all_present(names[target]), target, F.expr(guard_division(sql))))
+        plain |= set(used_names(low.sql, [*names[target], *static_names]))
+        outputs.append((all_present(names[target]), target, F.expr(guard_division(sql))))
     carried = [F.max(n).alias(n) for n in sorted(plain)]
     present = [F.max(f"_has_{n}").alias(f"_has_{n}") for n in every]
-    return _emit(wide.groupBy(*keys).agg(*sums, *carried, *present), keys, outputs)
+    return emit(wide.groupBy(*keys).agg(*sums, *carried, *present), keys, outputs)
 
 
 def realize_regional(

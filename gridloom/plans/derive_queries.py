@@ -1,9 +1,13 @@
 """Formulas, sums over dimensions, regional sums, units, fill values, attributes, merging."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
+from gridloom.functions.calendar import month_index
 from gridloom.functions.values import fill_missing, mask_where
 from gridloom.operators import derive as dv
+from gridloom.operators import named_dims as nd
 from gridloom.plans.bindings import axes, field, native, read, static
 from gridloom.plans.registry import query, view
 
@@ -128,6 +132,56 @@ def formula_steps_reduced(spark, d):
     return dv.realize_steps(field(spark, d), "mrso", dv.lower_formula(text), ("QTY", "TAX", "DISC"), "lev", first=1)
 
 
+# One field with soil levels and plant types: QTY, TAX by level; GPP, NPP by type; ROOT by both; FRAC by neither.
+view(
+    "land",
+    """SELECT (year(l_shipdate) * 12 + month(l_shipdate) - 1)::INTEGER AS time_idx, l_suppkey AS cell, (l_linenumber - 1)::INTEGER AS soil,
+       (l_orderkey % 14)::INTEGER AS pft, l_quantity AS q, round(l_tax * 100) AS t FROM lineitem""",
+)
+LAND = {
+    "mrso": "verticalsum(QTY + TAX, capped_at=900)",
+    "grass": "(sumoverpft(GPP, pftlist=[12, 13, 14], dimname='levpft') - sumoverpft(NPP, pftlist=[12, 13, 14], dimname='levpft'))*FRAC",
+    "top": "QTY[:,0,:,:] + sumoverpft(GPP, pftlist=[1], dimname='levpft')",
+    "rootsoil": "sumoverpft(ROOT, pftlist=[1, 2, 3], dimname='levpft') * FRAC + QTY",
+    "rootpft": "verticalsum(ROOT * QTY, dim='levsoi') - GPP",
+}
+LAND_DIMS = {"QTY": ("levsoi",), "TAX": ("levsoi",), "GPP": ("levpft",), "NPP": ("levpft",), "ROOT": ("levsoi", "levpft"), "FRAC": ()}
+
+
+def land(spark, d):
+    rows = read(spark, d, "lineitem").select(
+        month_index(F.col("l_shipdate")).alias("time_idx"), F.col("l_suppkey").alias("cell"), (F.col("l_linenumber") - 1).alias("levsoi"),
+        (F.col("l_orderkey") % 14).cast("int").alias("levpft"), F.col("l_quantity").alias("q"), F.rint(F.col("l_tax") * 100).alias("t"),
+    )
+    none = F.lit(None).cast("int")
+
+    def part(name, amount):
+        kept = [F.col(k) for k in ("time_idx", "cell", *LAND_DIMS[name])]
+        summed = rows.groupBy(*kept).agg(F.sum(amount).alias("value"))
+        return summed.select(F.lit(name).alias("var"), "time_idx", "cell", *[F.col(k) if k in LAND_DIMS[name] else none.alias(k) for k in ("levsoi", "levpft")], "value")
+
+    parts = [part("QTY", "q"), part("TAX", "t"), part("GPP", "q"), part("NPP", "t"), part("ROOT", "q"), part("FRAC", "t")]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query(
+    "named_dimensions",
+    """SELECT 'mrso' AS var, time_idx, cell, NULL::INTEGER AS levsoi, NULL::INTEGER AS levpft, least(900e0, sum(q + t)) AS value FROM land GROUP BY 2, 3
+       UNION ALL SELECT 'grass', time_idx, cell, NULL, NULL, (coalesce(sum(q) FILTER (WHERE pft >= 11), 0) - coalesce(sum(t) FILTER (WHERE pft >= 11), 0)) * sum(t) FROM land GROUP BY 2, 3
+       UNION ALL SELECT 'top', time_idx, cell, NULL, NULL, sum(q) FILTER (WHERE soil = 0) + coalesce(sum(q) FILTER (WHERE pft = 0), 0) FROM land GROUP BY 2, 3
+       UNION ALL SELECT 'rootsoil', time_idx, cell, soil, NULL, coalesce(sum(q) FILTER (WHERE pft <= 2), 0) * (SELECT sum(t) FROM land m WHERE m.time_idx = l.time_idx AND m.cell = l.cell) + sum(q)
+                 FROM land l GROUP BY 2, 3, 4
+       UNION ALL SELECT 'rootpft', time_idx, cell, NULL, pft, sum(r * s) - sum(r) FROM (SELECT time_idx, cell, soil, pft, sum(q) AS r, any_value(s) AS s FROM land
+                 JOIN (SELECT time_idx, cell, soil, sum(q) AS s FROM land GROUP BY 1, 2, 3) USING (time_idx, cell, soil) GROUP BY 1, 2, 3, 4) GROUP BY 2, 3, 5""",
+    ["land"],
+)
+def named_dimensions(spark, d):
+    lowered = {t: dv.lower_formula(text) for t, text in LAND.items()}
+    names = {t: sorted(low.names()) for t, low in lowered.items()}
+    made = nd.realize_named(land(spark, d), lowered, names, LAND_DIMS)
+    return made.select("var", "time_idx", "cell", "levsoi", "levpft", "value")
+
+
 view("conc", "SELECT time_idx, cell, sum(QTY)::BIGINT % 101 AS value FROM native GROUP BY 1, 2", ("native",))
 
 

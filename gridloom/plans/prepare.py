@@ -19,6 +19,7 @@ from gridloom.functions import fixed_values as fixed
 from gridloom.functions.text import canonical_realm
 from gridloom.operators import catalog as ct
 from gridloom.operators import derive as dv
+from gridloom.operators import named_dims as nd
 from gridloom.operators import regrid as rg
 from gridloom.operators import vertical as vt
 from gridloom.sources.sinks import prepare_output, with_facets, write_tree
@@ -83,11 +84,20 @@ def realize_targets(
     static: DataFrame | None = None,
     available: Mapping[str, bool] | Sequence[str] | None = None,
     dim_first: int = 0,
+    dims: Mapping[str, Sequence[str]] | None = None,
 ) -> tuple[DataFrame | None, list[tuple[str, str]]]:
     """Field rows of all targets by their keys, and (name, status) of each; what cannot be made is reported.
 
     ``available`` tells of each variable of the field whether it has levels; otherwise this is measured, in one pass.
+    ``dims`` names the dimensions of variables that have positions in columns of their own (soil levels, plant types): a helper call
+    of a formula over such variables reduces the one it names; a dimension that is left over becomes the level.
     """
+    dims = dims or {}
+    columns = sorted({d for own in dims.values() for d in own})
+    named: dict[str, dv.Lowered] = {}
+    named_names: dict[str, list[str]] = {}
+    named_static: set[str] = set()
+    native_field, field = field, field.drop(*columns)
     shapes = available if isinstance(available, Mapping) else dv.shapes_of(field)
     static_columns = set(static.columns) - {"cell"} if static is not None else set()
     status: list[tuple[str, str]] = []
@@ -127,6 +137,17 @@ def realize_targets(
             levelled = [n for n in used if shapes[n]]
             if not used and not lowered.region and not lowered.steps:
                 from_static[target.key] = lowered.sql
+            elif lowered.steps and any(n in dims for n in used):
+                try:
+                    left = nd.result_dims(lowered, used, dims)
+                except ValueError as error:
+                    status.append((target.name, str(error)))
+                    continue
+                if len(left) > 1:
+                    status.append((target.name, f"result keeps several dimensions: {', '.join(left)}"))
+                    continue
+                named[target.key], named_names[target.key] = lowered, used
+                named_static |= set(by_cell)
             elif lowered.region:
                 pieces.append(dv.realize_regional(field, static, target.key, lowered, used))
             elif lowered.steps and set(levelled) & set(re.findall(r"\w+", lowered.sql)):
@@ -148,6 +169,10 @@ def realize_targets(
         pieces.append(dv.realize_formulas(field, formulas, sorted(inputs), level_free=free, static=static, static_names=sorted(plain_static)))
     if summed:
         pieces.append(dv.realize_step_targets(field, summed, summed_names, "lev", dim_first, static=static, static_names=sorted(summed_static)))
+    if named:
+        made = nd.realize_named(native_field, named, named_names, dims, dict.fromkeys(columns, dim_first), static=static, static_names=sorted(named_static))
+        left = sorted({d for names in named_names.values() for n in names for d in dims.get(n, ())})
+        pieces.append(made.select("var", "time_idx", F.coalesce(*left, F.lit(None).cast("int")).alias("lev"), "cell", "value"))
     if from_static:
         pieces.append(dv.realize_static(static, from_static))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pieces) if pieces else None
@@ -215,6 +240,7 @@ def prepare(
     surface_map: str | None = None,
     p0: float | None = None,
     interfaces: DataFrame | None = None,
+    dims: Mapping[str, Sequence[str]] | None = None,
 ) -> tuple[dict[str, DataFrame], list[tuple[str, str]]]:
     """Output fields by route, and the status of every target.
 
@@ -224,7 +250,8 @@ def prepare(
     ``interfaces`` are given). Zonal ones are regridded level by level with ``PS``, interpolated and averaged.
     ``surface_map`` is the map for ``PS``, by default that of the first target. The reference pressure is the ``P0``
     stored beside the coefficients, else ``p0``, else 100000 Pa.
-    A target without map, levels, coefficients or ``PS`` that it needs is reported and left out.
+    A target without map, levels, coefficients or ``PS`` that it needs is reported and left out. ``dims`` names the dimensions
+    that variables have in columns of their own.
     """
     levels = levels or {}
     in_use = sorted({t.map_id for t in targets if t.map_id} | ({surface_map} if surface_map else set()))
@@ -243,7 +270,7 @@ def prepare(
         groups.setdefault((route, level, *alike), []).append(target)
     made: dict[str, list[DataFrame]] = {}
     for (route, level, surface, map_id), chosen in sorted(groups.items()):
-        rows, report = realize_targets(spark, field, chosen, static, shapes, dim_first)
+        rows, report = realize_targets(spark, field, chosen, static, shapes, dim_first, dims)
         status += report
         if rows is None:
             continue
