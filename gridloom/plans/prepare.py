@@ -20,6 +20,7 @@ from gridloom.functions.text import canonical_realm
 from gridloom.operators import catalog as ct
 from gridloom.operators import derive as dv
 from gridloom.operators import named_dims as nd
+from gridloom.operators import packed as pk
 from gridloom.operators import regrid as rg
 from gridloom.operators import vertical as vt
 from gridloom.sources.sinks import prepare_output, with_facets, write_tree
@@ -175,6 +176,8 @@ def realize_targets(
         pieces.append(made.select("var", "time_idx", F.coalesce(*left, F.lit(None).cast("int")).alias("lev"), "cell", "value"))
     if from_static:
         pieces.append(dv.realize_static(static, from_static))
+    if not all("block" in p.columns for p in pieces):  # derived rows have no layout, and none may fall out of a join by block
+        pieces = [p.drop("block") for p in pieces]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pieces) if pieces else None
     return rows, status
 
@@ -241,6 +244,7 @@ def prepare(
     p0: float | None = None,
     interfaces: DataFrame | None = None,
     dims: Mapping[str, Sequence[str]] | None = None,
+    packed: DataFrame | None = None,
 ) -> tuple[dict[str, DataFrame], list[tuple[str, str]]]:
     """Output fields by route, and the status of every target.
 
@@ -251,7 +255,8 @@ def prepare(
     ``surface_map`` is the map for ``PS``, by default that of the first target. The reference pressure is the ``P0``
     stored beside the coefficients, else ``p0``, else 100000 Pa.
     A target without map, levels, coefficients or ``PS`` that it needs is reported and left out. ``dims`` names the dimensions
-    that variables have in columns of their own.
+    that variables have in columns of their own. ``packed`` are the weights packed by cell: general and hybrid targets are then joined with them,
+    without an exchange of the field where both are stored by block (plain ones) and the weights are too large to broadcast.
     """
     levels = levels or {}
     in_use = sorted({t.map_id for t in targets if t.map_id} | ({surface_map} if surface_map else set()))
@@ -277,7 +282,7 @@ def prepare(
         if route == "zonal_pressure":
             rows = _zonal(spark, rows, field, weights, chosen, coefficients, levels["plev39"], lon_cells, surface_map, p0)
         elif route == "hybrid":
-            rows = _by_map(spark, rows, weights, chosen)
+            rows = _by_map(spark, rows, weights, chosen, packed=packed)
             made["hybrid_ps"] = [_surface_rows(field, rg.weights_of(weights, surface_map or chosen[0].map_id))]
             made["hybrid_levels"] = [vt.hybrid_levels(coefficients, interfaces, p0)]
         elif route == "general":
@@ -286,7 +291,7 @@ def prepare(
                 rows = vt.to_pressure(inputs, levels[level], vt.stored_p0(inputs, p0))
             keys = [c for c in ("var", "time_idx", "lev", "plev") if c in rows.columns]
             if surface == "all":
-                rows = _by_map(spark, rows, weights, chosen, keys)
+                rows = _by_map(spark, rows, weights, chosen, keys, packed)
             else:
                 rows = _masked(rows, rg.weights_of(weights, map_id), static, surface, keys)
         made.setdefault(route, []).append(_named_apart(rows, chosen))
@@ -298,8 +303,10 @@ def _surface(field: DataFrame) -> DataFrame:
     return field.filter("var = 'PS'").select("time_idx", "cell", F.col("value").alias("ps"))
 
 
-def _by_map(spark: SparkSession, rows: DataFrame, weights: DataFrame, targets: Sequence[Target], keys: Sequence[str] = rg.KEYS) -> DataFrame:
+def _by_map(spark: SparkSession, rows: DataFrame, weights: DataFrame, targets: Sequence[Target], keys: Sequence[str] = rg.KEYS, packed: DataFrame | None = None) -> DataFrame:
     maps = spark.createDataFrame(sorted({(t.key, t.map_id) for t in targets}), "var string, map_id string")
+    if packed is not None:
+        return pk.regrid_packed(rows.join(F.broadcast(maps), "var"), packed, keys)  # one row per target
     return rg.regrid_by_map(rows.join(F.broadcast(maps), "var"), weights, keys)  # one row per target
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import fixed_values as fixed
 from gridloom.functions.values import wrap_longitude
+from gridloom.operators import packed as pk
 from gridloom.operators import regrid as rg
 from gridloom.plans.bindings import CELLS, field, read, static, weights
 from gridloom.plans.registry import query, view
@@ -38,6 +39,19 @@ def regrid_all_variables(spark, d):
     return rg.regrid(field(spark, d), cons(spark, d))
 
 
+@query(
+    "regrid_packed",
+    """SELECT var, time_idx, lev, dst_cell AS cell,
+       sum(w * value) / nullif(sum(CASE WHEN value IS NOT NULL THEN w END), 0) AS value
+       FROM field JOIN weights ON src_cell = cell AND map_id = CASE WHEN var IN ('PRICE', 'QTY') THEN 'cons' ELSE 'bilin' END GROUP BY 1, 2, 3, 4""",
+    ["field", "weights"],
+)
+def regrid_packed(spark, d):
+    """Weights of two maps packed by cell, each variable by its own map, without broadcasting any."""
+    rows = field(spark, d).withColumn("map_id", F.when(F.col("var").isin("PRICE", "QTY"), "cons").otherwise("bilin"))
+    return pk.regrid_packed(rows, pk.pack_weights(weights(spark, d), size=16), limit=0)
+
+
 @query(
     "regrid_dense_grid",
     f"""SELECT s.var, s.time_idx, s.lev, c.c AS cell, r.value

@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    # Tables in buckets of blocks of cells are joined by block and cell without an exchange.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Larger splits: a field file is read by few columns, so a split holds much less than its size.
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
