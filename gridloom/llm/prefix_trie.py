@@ -36,7 +36,7 @@ from gridloom.llm.common import arrow_type, cut
 #: Turns that are hashed in one go.
 BAND = 1024
 #: Most turns below the first node of a light shard: this many, or a 4,096th of all.
-LIGHT = 50_000
+LIGHT = 1_000
 #: Rows of one task, about; messages of a queue in memory; ids of a node that are joined to one text.
 PER_TASK, IN_MEMORY, IDS = 1_000_000, 500_000, 50_000
 NODE = ["hi", "lo"]
