@@ -139,7 +139,8 @@ def linked_pairs(one: tuple, two: tuple, reach: float, least: float) -> tuple[np
         rows = np.arange(a["start"][n], a["stop"][n])
         columns = np.concatenate([np.arange(b["start"][m], b["stop"][m]) for m in np.flatnonzero(allowed[n])])
         cosine = x[rows] @ y[columns].T
-        i, j = np.nonzero(cosine >= least)
+        # All within rounding of the threshold, from either side, so that the unit vectors' rounding decides nothing.
+        i, j = np.nonzero(cosine >= least - SLACK)
         edge = np.flatnonzero(np.abs(cosine[i, j] - least) < SLACK)
         i, j = rows[i], columns[j]
         # Next to the threshold, from the vectors as they are.
