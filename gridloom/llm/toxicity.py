@@ -176,17 +176,22 @@ def fit(docs: DataFrame, labels: DataFrame, training, id_col: str = "doc_id", te
     return model
 
 
+def probabilities(texts: list[str | None], model: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Scores and numbers of clauses of texts; null counts as empty."""
+    tool = grammar(model["words"], model["beginnings"])
+    x = np.stack([tool.features(t or "") for t in texts])
+    return 1 / (1 + np.exp(-(x @ model["weights"] + model["bias"]))), np.expm1(x[:, -1]).round().astype(np.int64)
+
+
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score, n_clauses."""
     kinds = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("n_clauses", pa.int64())])
 
     def run(batches):
-        tool = grammar(model["words"], model["beginnings"])
         for batch in batches:
             for some in slices(batch, "text"):
-                x = np.stack([tool.features(t) for t in some.column(1).to_pylist()])
-                p = 1 / (1 + np.exp(-(x @ model["weights"] + model["bias"])))
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(p), pa.array(np.expm1(x[:, -1]).round().astype(np.int64))], schema=kinds)
+                p, clauses = probabilities(some.column(1).to_pylist(), model)
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(p), pa.array(clauses)], schema=kinds)
 
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(run, "doc_id bigint, score double, n_clauses bigint")
 
