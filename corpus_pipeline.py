@@ -9,48 +9,50 @@ too. The near stage knows documents by id: rows that share one are one document
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import exact_dedup, jaccard_join, language_id, toxicity
-from gridloom.llm.common import cut, free_name, raw_text, ship, table
+from gridloom.llm.common import cut, free_name, ship, slices, table
 from gridloom.llm.workload import packed
 
 #: What near copies are here.
 NEAR = jaccard_join.Scheme(5, 80)
 
 
-def text_key(name: str = "text") -> Column:
-    """A number for a text: 64 bits of its SHA-256; null counts as empty."""
-    return F.conv(F.substring(F.sha2(raw_text(name), 256), 1, 16), 16, -10).cast("bigint")
+def kept(docs: DataFrame, judge: Callable[[list[str | None]], list[bool]]) -> DataFrame:
+    """The rows whose text ``judge`` keeps. Each row is judged where it is: nothing is shuffled and no id is looked at."""
+    at = docs.columns.index("text")
 
+    def run(batches):
+        for batch in batches:
+            for some in slices(batch, "text"):
+                yield some.filter(pa.array(judge(some.column(at).to_pylist()), pa.bool_()))
 
-def by_text(docs: DataFrame) -> DataFrame:
-    """doc_id and text of docs with the text's number in place of the id: what is found for it holds for every row of the text."""
-    return docs.select(text_key().alias("doc_id"), "text")
+    return docs.mapInArrow(run, docs.schema)
 
 
-def without(docs: DataFrame, dropped: DataFrame, key: Column) -> DataFrame:
-    """docs but those whose key is in ``dropped``, a table of one column."""
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """docs but those whose id is in ``dropped``, a table of one column."""
     name = free_name(docs, "_dropped")
-    return docs.join(dropped.toDF(name).distinct(), key == F.col(name), "left_anti")
+    return docs.join(dropped.toDF(name).distinct(), F.col("doc_id") == F.col(name), "left_anti")
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text scores 0.3 or more go."""
     ship(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~toxicity.held_out())
-    bad = toxicity.score(by_text(docs), model).filter("score >= 0.3").select("doc_id")
-    return without(docs, cut(bad), text_key())
+    return kept(docs, lambda texts: [p < 0.3 for p in toxicity.probabilities(texts, model)[0].tolist()])
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text has no letter or is like no learned language go."""
     ship(spark)
     model = language_id.fit(docs, ~language_id.held_out())
-    bad = language_id.predict(by_text(docs), model).filter("rejected").select("doc_id")
-    return without(docs, cut(bad), text_key())
+    return kept(docs, lambda texts: [not language_id.judge(text, model)[2] for text in texts])
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,7 +66,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     id stays. Query op3 has its own rule: four words, 0.85."""
     ship(spark)
     bad = jaccard_join.near_groups(docs, NEAR).filter("doc_id <> component_id").select(F.col("doc_id").alias("_id"))
-    return without(docs, cut(bad), F.col("doc_id"))
+    return without(docs, cut(bad))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
