@@ -122,26 +122,56 @@ def sum_dimension(variable: Column) -> Column:
 
 
 def index_numbers(text: Column) -> Column:
-    """Whole numbers of ``1:3``, ``1,2`` or ``4`` as an array."""
+    """Whole numbers of ``1:3``, ``1,2`` or ``4`` as an array; a range that falls is empty."""
     bounds = F.split(text, ":")
-    span = F.sequence(F.trim(bounds[0]).cast("int"), F.trim(F.get(bounds, F.lit(1))).cast("int"))
+    first, last = F.trim(bounds[0]).cast("int"), F.trim(F.get(bounds, F.lit(1))).cast("int")
+    span = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
     listed = F.transform(F.split(text, ","), lambda p: F.trim(p).cast("int"))
     return F.when(F.contains(text, F.lit(":")), span).otherwise(listed)
 
 
+# A name and, in brackets, a list of numbers or one range of them. Other brackets stay what they are.
+INDEX_SUM = rf"({NAME})\((\d+(?:,\d+)*|\d+:\d+)\)"
+
+
+def _is_function(name: Column) -> Column:
+    return name.isin(*fixed.EXPRESSION_WORDS)
+
+
 def index_sums(formula: Column) -> Column:
-    """All ``VAR(1:3)`` style sums of a formula as array of (var, idx, dim)."""
-    whole = rf"({NAME})\(([0-9:,]+)\)"
-    names = F.regexp_extract_all(formula, F.lit(whole), F.lit(1))
-    lists = F.regexp_extract_all(formula, F.lit(whole), F.lit(2))
+    """All ``VAR(1:3)`` style sums of a formula as array of (var, idx, dim); calls of functions are none."""
+    names = F.regexp_extract_all(formula, F.lit(INDEX_SUM), F.lit(1))
+    lists = F.regexp_extract_all(formula, F.lit(INDEX_SUM), F.lit(2))
+    found = F.filter(F.arrays_zip(names.alias("var"), lists.alias("list")), lambda s: ~_is_function(s["var"]))
     return F.transform(
-        F.arrays_zip(names.alias("var"), lists.alias("list")),
+        found,
         lambda s: F.struct(
             s["var"].alias("var"), index_numbers(s["list"]).alias("idx"), sum_dimension(s["var"]).alias("dim")
         ),
     )
 
 
+def write_index_sums(formula: Column) -> Column:
+    """Formula with each ``VAR(1:3)`` as the helper call that sums the listed positions of the dimension ``VAR`` implies.
+
+    The text is cut at the sums and put together again, so a name that ends another one is not touched.
+    """
+    part = lambda group: F.regexp_extract_all(formula, F.lit(INDEX_SUM), F.lit(group))
+    pieces = F.arrays_zip(
+        F.split(formula, INDEX_SUM, -1).alias("before"), part(0).alias("whole"), part(1).alias("var"), part(2).alias("list")
+    )
+
+    def written(s: Column) -> Column:
+        numbers = F.array_join(F.transform(index_numbers(s["list"]), lambda n: n.cast("string")), ", ")
+        call = F.concat(
+            F.lit("sumoverpft("), s["var"], F.lit(", pftlist=["), numbers, F.lit("], dimname='"), sum_dimension(s["var"]), F.lit("')")
+        )
+        sum_text = F.when(s["var"].isNull(), F.lit("")).when(_is_function(s["var"]), s["whole"]).otherwise(call)
+        return F.concat(s["before"], sum_text)
+
+    return F.when(formula.isNotNull(), F.array_join(F.transform(pieces, written), ""))
+
+
 def positional_split(text: Column, count: Column) -> Column:
     """Comma list cut or padded with empty text to exactly ``count`` parts."""
     parts = F.transform(F.split(F.coalesce(text, F.lit("")), ","), lambda p: F.trim(p))

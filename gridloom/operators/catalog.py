@@ -196,17 +196,18 @@ def route(dims: Column, realm: Column, model: str, level_name: Column) -> Column
     )
 
 
-def level_kind(dims: Column, level_name: Column, realm: Column) -> Column:
-    """Vertical axis family of a target; hybrid levels outside the atmosphere realms are an error."""
+HYBRID_MISPLACED = "hybrid sigma coordinates are only supported for atmosphere tables"
+
+
+def level_kind(dims: Column, level_name: Column, realm: Column, misplaced: Column | None = None) -> Column:
+    """Vertical axis family of a target; hybrid levels outside the atmosphere realms are an error, or ``misplaced``."""
     name = F.lower(F.coalesce(level_name, F.lit("")))
     hybrid = name.isin(*fixed.SIGMA_LEVELS) | F.array_contains(dims, "lev")
     allowed = F.lower(realm).isin(*[r.lower() for r in fixed.HYBRID_REALMS])
-    chain = F.when(
-        hybrid,
-        F.when(allowed, F.lit("hybrid")).otherwise(
-            F.raise_error(F.lit("hybrid sigma coordinates are only supported for atmosphere tables")).cast("string")
-        ),
-    ).when(F.array_contains(dims, "plev"), F.when(F.startswith(name, F.lit("plev")), name).otherwise(F.lit("plev")))
+    wrong = F.raise_error(F.lit(HYBRID_MISPLACED)).cast("string") if misplaced is None else misplaced
+    chain = F.when(hybrid, F.when(allowed, F.lit("hybrid")).otherwise(wrong)).when(
+        F.array_contains(dims, "plev"), F.when(F.startswith(name, F.lit("plev")), name).otherwise(F.lit("plev"))
+    )
     chain = chain.when(F.array_contains(dims, "sdepth"), F.lit("sdepth")).when(F.array_contains(dims, "z_l"), F.lit("z_l"))
     chain = chain.when(F.array_contains(dims, "zl") | F.array_contains(dims, "olevel"), F.lit("olevel"))
     return (
@@ -223,7 +224,7 @@ def sheet_to_catalog(sheet: DataFrame, *, rename_dimensions: bool = False) -> Da
     """Catalog rows from cleaned sheet columns.
 
     Reads ``name, table, source_expr, formula, dims, units, freq, alias`` and the four level columns; a given formula
-    column decides, else an expression in ``source_expr`` is the formula.
+    column decides, else an expression in ``source_expr`` is the formula, its index sums written as helper calls.
     """
     text = F.trim("source_expr")
     listed = tx.identifier_list(text)
@@ -240,7 +241,7 @@ def sheet_to_catalog(sheet: DataFrame, *, rename_dimensions: bool = False) -> Da
     sources = F.transform(
         zipped, lambda s: F.struct(s["m"].alias("model_var"), blank(s["a"]).alias("alias"), blank(s["f"]).alias("freq"))
     )
-    from_source = F.when(~plain & tx.is_expression(text), fates_fraction(text))
+    from_source = F.when(~plain & tx.is_expression(text), fates_fraction(tx.write_index_sums(text)))
     dims = tx.parse_dimensions(F.col("dims"), rename_dimensions=rename_dimensions)
     nested = F.from_json("dims", "array<array<string>>")
     is_nested = F.regexp_like(F.col("dims"), F.lit(r"^\s*\[\s*\["))

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import text as tx
 from gridloom.operators import catalog as ct
+from gridloom.plans import prepare as pp
 from gridloom.plans.bindings import read
 from gridloom.plans.registry import query, view
 from gridloom.sources.tables import flatten_tables
@@ -188,6 +189,32 @@ def restrict_to_names(spark, d):
     return ct.restrict_to_names(request(spark, d), names).select("name", "ord", "parameter")
 
 
+view("monthly", "SELECT name, count(*) AS n, min(model_var) AS single FROM source WHERE freq IS NULL OR freq = 'mon' GROUP BY 1", ("source",))
+view("asked", "SELECT name, arg_min(parameter, ord) AS parameter FROM request GROUP BY 1", ("request",))
+view(
+    "out_grid",
+    """SELECT name, replace("table", 'CMIP7_', '') AS realm, level,
+       unnest(CASE p_partkey % 7 WHEN 0 THEN ['native', 'latlon'] WHEN 1 THEN ['point'] ELSE ['latlon'] END) AS g FROM entry""",
+    ("entry",),
+)
+
+
+@query(
+    "plan_requested",
+    """SELECT DISTINCT name, v.region, v.formula, CASE WHEN n = 1 AND coalesce(v.formula, '') = '' THEN single END AS source,
+         CASE WHEN realm = 'ocean' AND g = 'native' THEN 'ocean_native' WHEN realm = 'seaIce' AND g = 'point' THEN 'seaice_native'
+              WHEN level = 'plev39' THEN 'zonal_pressure' ELSE 'general' END AS route,
+         CASE WHEN level <> 'standard_hybrid_sigma' OR level IS NULL THEN 'none' WHEN realm IN ('atmos', 'aerosol') THEN 'hybrid' ELSE 'misplaced' END AS kind,
+         coalesce(parameter, name) AS parameter, parameter IS NULL AS synthetic
+       FROM variant v JOIN monthly USING (name) JOIN out_grid USING (name) LEFT JOIN asked USING (name)""",
+    ["variant", "monthly", "asked", "out_grid"],
+)
+def plan_requested(spark, d):
+    """Every monthly target of the catalog by its way, with the request's parameter or as a synthetic one."""
+    rows = pp.target_rows(catalog(spark, d), "cesm", "mon", request=request(spark, d))
+    return rows.select("name", "region", "formula", "source", "route", "kind", "parameter", "synthetic")
+
+
 @query(
     "assemble_targets",
     """SELECT e.name, e.ord, coalesce(r.parameter, e.name) AS parameter, r.name IS NULL AS is_synthetic FROM entry e
@@ -392,6 +419,22 @@ def index_sum_rewrite(spark, d):
     return spread.select("p_partkey", "s.var", F.array_join(F.transform("s.idx", lambda x: x.cast("string")), ",").alias("idx"), "s.dim")
 
 
+@query(
+    "sheet_formulas",
+    """SELECT p_partkey, CASE p_partkey % 6 WHEN 2 THEN NULL WHEN 3 THEN NULL WHEN 4 THEN
+         '(sumoverpft(FATES_GPP_PF, pftlist=[' || array_to_string(range(1, p_size % 4 + 2), ', ') || '], dimname=''fates_levpft'') - sumoverpft(PCT_LANDUNIT, pftlist=['
+         || p_size || '], dimname=''ltype'') + sumoverpft(NPP, pftlist=[1, 2], dimname=''lev''))*FATES_FRAC' ELSE text END AS formula,
+       CASE p_partkey % 6 WHEN 4 THEN 'FATES_GPP_PF,PCT_LANDUNIT,NPP,FATES_FRAC' WHEN 3 THEN 'A,B' || p_size END AS several FROM expr""",
+    ["expr"],
+)
+def sheet_formulas(spark, d):
+    """Formulas of a sheet as the catalog stores them: index sums written as helper calls, FATES amounts with their fraction."""
+    blank = {c: F.lit("") for c in ("formula", "dims", "units", "freq", "alias", "levels_name", "levels_units", "levels_axis", "levels_bounds")}
+    out = ct.sheet_to_catalog(expressions(spark, d).withColumnRenamed("text", "source_expr").withColumns(blank))
+    several = F.when((F.col("p_partkey") % 6).isin(3, 4), F.array_join(F.transform("sources", lambda s: s["model_var"]), ","))
+    return out.select("p_partkey", "formula", several.alias("several"))
+
+
 @query(
     "positional_split",
     "SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN '' WHEN 1 THEN split_part(p_name, ' ', 1) WHEN 2 THEN replace(p_name, ' ', '|') ELSE replace(p_name, ' ', '|') || '|' END AS parts FROM part",

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions import fixed_values as fixed
+from gridloom.functions.calendar import encode_time
+from gridloom.functions.sizing import small
 from gridloom.functions.text import canonical_realm
 from gridloom.operators import catalog as ct
 from gridloom.operators import derive as dv
@@ -41,6 +43,9 @@ class Target:
     level: str | None
     map_id: str | None
     surface: str = "all"  # land and ocean fields are weighted by the fraction of their surface
+    kind: str | None = None  # vertical axis family
+    parameter: str | None = None  # what the request calls it
+    synthetic: bool = False  # in the catalog, not in the request
 
     @property
     def key(self) -> str:
@@ -48,29 +53,61 @@ class Target:
         return self.name if self.region is None else f"{self.name}@{self.region}"
 
 
-def plan_targets(
-    catalog: DataFrame, model: str, freq: str | None = None, maps: DataFrame | None = None, resolution: str | None = None
-) -> list[Target]:
-    """Targets of a catalog, one per variant and output grid. A catalog has some thousand entries, so the list is short.
-
-    Output grids that go the same way (they differ in the names of dimensions only) are one target.
-    """
-    usable = catalog.filter(ct.supports_freq(F.col("sources"), freq))
+TARGET_COLUMNS = ("name", "route", "source", "aliases", "formula", "region", "level", "map_id", "surface", "kind", "parameter", "synthetic")
+
+
+def target_rows(
+    catalog: DataFrame,
+    model: str,
+    freq: str | None = None,
+    maps: DataFrame | None = None,
+    resolution: str | None = None,
+    request: DataFrame | None = None,
+    requested_only: bool = False,
+) -> DataFrame:
+    """Targets of a catalog as rows, one per variant and way: :func:`plan_targets` tells what they mean."""
+    numbered = catalog if "ord" in catalog.columns else catalog.withColumn("ord", F.monotonically_increasing_id())
+    if request is None:
+        usable = numbered.filter(ct.supports_freq(F.col("sources"), freq))
+        usable = usable.withColumns({"parameter": F.lit(None).cast("string"), "is_synthetic": F.lit(False)})
+    else:
+        usable = ct.assemble_targets(numbered, request, freq)
+        usable = usable.filter(~F.col("is_synthetic")) if requested_only else usable
     spread = ct.split_targets(ct.normalize_catalog(ct.expand_variants(usable), freq))
     routed = spread.withColumn("route", ct.route(F.col("dims"), F.col("table"), model, F.col("levels.name")))
     mapped = routed.withColumn("map_id", F.lit(None).cast("string")) if maps is None else rg.pick_map(routed, maps, model, resolution)
     realm = canonical_realm(F.col("table"))
     surface = F.when(realm.isin("land", "landIce"), "land").when(realm.isin("ocean", "seaIce"), "ocean").otherwise("all")
-    rows = mapped.select(
-        "name", "route", "source", "source_aliases", "formula", "region", F.col("levels.name").alias("level"), "map_id", surface.alias("surface")
-    ).collect()
-    found = [
-        Target(
-            r["name"], r["route"], r["source"], r["source_aliases"] or {}, r["formula"] or None, r["region"], r["level"], r["map_id"], r["surface"]
-        )
-        for r in rows
-    ]
-    return [t for i, t in enumerate(found) if t not in found[:i]]
+    told = {
+        "aliases": F.array_sort(F.map_entries("source_aliases")),
+        "formula": F.nullif(F.col("formula"), F.lit("")),
+        "level": F.col("levels.name"),
+        "surface": surface,
+        "kind": ct.level_kind(F.col("dims"), F.col("levels.name"), F.col("table"), misplaced=F.lit("misplaced")),
+        "synthetic": F.col("is_synthetic"),
+    }
+    return mapped.withColumns(told).groupBy(*TARGET_COLUMNS).agg(F.min("ord").alias("ord"), F.min("variant").alias("variant"))
+
+
+def plan_targets(
+    catalog: DataFrame,
+    model: str,
+    freq: str | None = None,
+    maps: DataFrame | None = None,
+    resolution: str | None = None,
+    request: DataFrame | None = None,
+    requested_only: bool = False,
+) -> list[Target]:
+    """Targets of a catalog, one per variant and output grid. A catalog has some thousand entries, so the list is short.
+
+    Output grids that go the same way (they differ in the names of dimensions only) are one target. They stand in catalog
+    order (``ord`` if it has one). With a ``request`` (``name, ord, parameter``) each has the parameter of the first request
+    row of its name; entries without one are synthetic, named by themselves, and left out if ``requested_only``.
+    """
+    rows = target_rows(catalog, model, freq, maps, resolution, request, requested_only)
+    listed = sorted(rows.collect(), key=lambda r: (r["ord"], r["variant"], r["route"]))
+    own = [c for c in TARGET_COLUMNS if c != "aliases"]
+    return [Target(aliases={e["key"]: e["value"] for e in r["aliases"] or ()}, **{c: r[c] for c in own}) for r in listed]
 
 
 def plain_sql(formula: str, aliases: Mapping[str, str]) -> str:
@@ -200,6 +237,8 @@ def _has_levels(target: Target, shapes: Mapping[str, bool]) -> bool:
 
 def _problem(target: Target, shapes: Mapping[str, bool], coefficients: DataFrame | None, levels: Mapping[str, Sequence[float]]) -> str | None:
     """What the way of a target lacks, beside its own inputs."""
+    if target.kind == "misplaced":
+        return ct.HYBRID_MISPLACED
     if target.route in NATIVE_ROUTES:
         return None
     if target.map_id is None:
@@ -343,18 +382,35 @@ def _zonal(spark, rows, field, weights, targets, coefficients, levels, lon_cells
     return vt.zonal_mean(vt.to_pressure(inputs, levels, vt.stored_p0(inputs, p0)), lon_cells)
 
 
-def described(outputs: Mapping[str, DataFrame], catalog: DataFrame, time_axis: DataFrame, fx: DataFrame | None = None) -> dict[str, DataFrame]:
+def described(
+    outputs: Mapping[str, DataFrame],
+    catalog: DataFrame,
+    time_axis: DataFrame,
+    fx: DataFrame | None = None,
+    *,
+    ice_grid: DataFrame | None = None,
+    levels: Mapping[str, DataFrame] | None = None,
+    units: str = "days since 1850-01-01",
+    calendar: str = "noleap",
+) -> dict[str, DataFrame]:
     """Outputs as they are stored, with what their numbers mean.
 
     Every field row has units and names from the catalog (``name, units, long_name, standard_name``), and its time with
-    bounds from ``time_axis`` (``time_idx, time, time_b0, time_b1``); a time without an entry fails, rows without a time
-    have none. Level dimensions get their archive names. Fixed fields (``fx``, one row per cell) become an output of their
-    own, once per cell instead of beside every row.
+    bounds from ``time_axis`` (``time_idx, time, time_b0, time_b1``, as numbers or as dates, which are counted in ``units``
+    of ``calendar``); a time without an entry fails, rows without a time have none. Rows of a native ice grid have its centres and
+    vertices from ``ice_grid`` (``cell`` and those of ``TLAT, TLON, latt_bounds, lont_bounds`` it has); hemisphere sums have no cell
+    and none. ``levels`` gives the coordinate tables of vertical axis families (``sdepth``, ``olevel``, as :func:`level_kind`
+    reads them off the catalog's ``dims``, ``levels`` and ``table``): see :func:`with_levels`. Fixed fields (``fx``, one row per
+    cell) become an output of their own, once per cell instead of beside every row.
     """
+    dated = {c: encode_time(dict(time_axis.dtypes)[c], F.col(c), units, calendar) for c in ("time", "time_b0", "time_b1")}
+    time_axis = time_axis.withColumns(dated)
     out = {}
     for route, rows in outputs.items():
         if route != "hybrid_levels":
             rows = rg.attach_time_bounds(dv.attach_attributes(rows, catalog), time_axis, ("time", "time_b0", "time_b1"))
+            rows = with_levels(rows, catalog, levels) if levels and "lev" in rows.columns else rows
+            rows = rg.attach_missing(rows, ice_grid, fixed.ICE_GRID_CARRIED) if ice_grid is not None and route == "seaice_native" else rows
             rows = dv.rename_dimensions(rows)
         out[route] = rows
     if fx is not None:
@@ -364,6 +420,26 @@ def described(outputs: Mapping[str, DataFrame], catalog: DataFrame, time_axis: D
     return out
 
 
+def with_levels(rows: DataFrame, catalog: DataFrame, levels: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows with the family of their vertical axis (``level_kind``) and coordinates from that family's table in ``levels``.
+
+    A table has ``lev, level`` and, where there are bounds, ``level_b0, level_b1``. Families without a table, and rows without a
+    level, have no coordinate; a level that the table of its family lacks fails when it is read. An entry with several output grids
+    has the family of all its dimensions.
+    """
+    part = catalog.select("name", F.flatten("dims").alias("_dims"), F.col("levels.name").alias("_level"), "table")
+    kind = ct.level_kind(F.col("_dims"), F.col("_level"), F.col("table"), misplaced=F.lit("misplaced"))
+    kinds = part.groupBy(F.col("name").alias("var")).agg(F.coalesce(F.max(F.when(kind != "none", kind)), F.lit("none")).alias("level_kind"))
+    coordinates = ("level", "level_b0", "level_b1")
+    tables = [t.select(F.lit(k).alias("level_kind"), "lev", *[c for c in coordinates if c in t.columns], F.lit(True).alias("_known")) for k, t in levels.items()]
+    table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    joined = rows.join(small(kinds), "var", "left").join(small(table), ["level_kind", "lev"], "left")
+    open_level = F.col("level_kind").isin(*levels) & F.col("lev").isNotNull() & F.col("_known").isNull()
+    wrong = F.raise_error(F.concat(F.lit("no coordinate for level "), F.col("lev").cast("string"), F.lit(" of "), F.col("var")))
+    checked = joined.withColumn("level", F.when(open_level, wrong.cast("double")).otherwise(F.col("level")))
+    return checked.select(*rows.columns, "level_kind", *[c for c in coordinates if c in table.columns])
+
+
 def write_outputs(outputs: Mapping[str, DataFrame], root: str, facets: Mapping[str, str]) -> None:
     """Every route into the output tree, missing values filled, grid label by whether it was regridded.
 

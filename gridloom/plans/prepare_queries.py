@@ -180,6 +180,56 @@ def prepare_native(spark, d):
     return both.select("var", "region", "time_idx", "lev", "cell", "value")
 
 
+KEPT = (*NATIVE, target("siconc_x", "seaice_native", "S", map_id=None, surface="ocean"))
+KEPT_ENTRIES = """CASE p_partkey WHEN 1 THEN 'sos_x' WHEN 2 THEN 'siconc_x' ELSE 'siarea_x' END"""
+view("depth", "SELECT p_partkey::INTEGER AS lev, p_size::DOUBLE AS level, p_size - 0.5e0 AS level_b0, p_size + 0.5e0 AS level_b1 FROM part WHERE p_partkey <= 7")
+view(
+    "kept_rows",
+    """SELECT 'sos_x' AS var, NULL::VARCHAR AS region, time_idx, lev, cell, QTY AS value FROM native
+       UNION ALL SELECT 'siconc_x', NULL, time_idx, NULL, cell, S FROM col_s
+       UNION ALL SELECT 'siarea_x', r, time_idx, NULL, NULL, coalesce(sum(CASE WHEN (r = 'nh' AND tlat > 0) OR (r = 'sh' AND tlat < 0) THEN S * tarea / 100e0 END), 0e0)
+       FROM col_s JOIN static USING (cell), (VALUES ('nh'), ('sh')) g(r) GROUP BY 2, 3""",
+    ("native", "col_s", "static"),
+)
+NOLEAP = "(({y}) - 1850) * 365e0 + [0, 31, 59, 90, 120, 151, 181, 212, 243, 273, 304, 334][({m}) + 1]"
+THIS = NOLEAP.format(y="time_idx // 12", m="time_idx % 12")
+NEXT = NOLEAP.format(y="(time_idx + 1) // 12", m="(time_idx + 1) % 12")
+
+
+@query(
+    "prepare_native_described",
+    f"""SELECT var, region, time_idx, lev, k.cell, value, p_brand AS units, CASE var WHEN 'sos_x' THEN 'olevel' ELSE 'none' END AS level_kind, level, level_b0, level_b1,
+        CASE var WHEN 'siconc_x' THEN tlat END AS "TLAT", CASE var WHEN 'siconc_x' THEN lon END AS "TLON", CASE var WHEN 'siconc_x' THEN lon - 1e0 END AS lont_west,
+        {THIS} + 14e0 AS time, {THIS} AS time_b0, {NEXT} AS time_b1
+        FROM kept_rows k JOIN (SELECT {KEPT_ENTRIES} AS var, p_brand FROM part WHERE p_partkey <= 3) USING (var) LEFT JOIN depth USING (lev) LEFT JOIN static s ON s.cell = k.cell""",
+    ["kept_rows", "depth", "static"],
+)
+def prepare_native_described(spark, d):
+    """Outputs on native grids as they are stored: ice rows with centres and vertices, ocean levels with depths, dates as noleap days."""
+    parts = read(spark, d, "part")
+    k = F.col("p_partkey")
+    null = F.lit(None).cast("string")
+    names = lambda *n: F.array(F.array(*[F.lit(x) for x in n]))
+    entries = parts.filter(k <= 3).select(
+        F.expr(KEPT_ENTRIES).alias("name"), F.col("p_brand").alias("units"), null.alias("long_name"), null.alias("standard_name"),
+        F.when(k == 1, "ocean").otherwise("seaIce").alias("table"), F.struct(null.alias("name")).alias("levels"),
+        F.when(k == 1, names("time", "olevel", "latitude", "longitude")).when(k == 2, names("time", "latitude", "longitude")).otherwise(names("time")).alias("dims"),
+    )
+    size = F.col("p_size").cast("double")
+    depths = parts.filter(k <= 7).select(k.cast("int").alias("lev"), size.alias("level"), (size - 0.5).alias("level_b0"), (size + 0.5).alias("level_b1"))
+    ice = static(spark, d).select(
+        "cell", F.col("tlat").alias("TLAT"), F.col("lon").alias("TLON"), F.array(F.col("lon") - 1.0, F.col("lon") + 1.0).alias("lont_bounds")
+    )
+    first = lambda n: F.make_date(F.floor(n / 12).cast("int"), (n % 12 + 1).cast("int"), F.lit(1))
+    month = F.col("time_idx")
+    axis = native(spark, d).select("time_idx").distinct()
+    axis = axis.select("time_idx", F.date_add(first(month), 14).alias("time"), first(month).alias("time_b0"), first(month + 1).alias("time_b1"))
+    outputs = pp.described(prepared(spark, d, KEPT)[0], entries, axis, ice_grid=ice, levels={"olevel": depths})
+    both = outputs["ocean_native"].unionByName(outputs["seaice_native"], allowMissingColumns=True)
+    kept = [c for c in both.columns if c not in ("long_name", "standard_name", "lont_bounds")]
+    return both.select(*kept, F.col("lont_bounds")[0].alias("lont_west"))
+
+
 REPORTED = (
     ("unbound_x", "formula names what no source gives: q"),
     ("absent_x", "missing inputs: NOPE"),

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from gridloom.operators import catalog as ct
 from gridloom.operators.catalog import CATALOG_SCHEMA
 from gridloom.plans import prepare as pp
 
@@ -169,3 +170,62 @@ def test_outputs_are_written(setup, spark, tmp_path):
     assert ("ps", "gr") in labels and spark.read.parquet(str(tmp_path / "tree_levels")).count() == LEVELS
     assert ("sos", "gn") in labels and ("tas", "gr") in labels and ("siarea", "gn") in labels
     assert {r["region"] for r in back.filter("variable_id = 'siarea'").collect()} == {"nh", "sh"}
+
+
+def test_targets_follow_the_request(spark):
+    rows = [(3, *entry("c_x", "atmos", ["C"], ["time"])), (1, *entry("a_x", "atmos", ["A"], ["time"])), (2, *entry("b_x", "atmos", ["B"], ["time"])),
+            (4, *entry("h_x", "land", ["H"], ["time", "lev"])), (5, *entry("d_x", "atmos", [("D", None, "day")], ["time"]))]
+    catalog = spark.createDataFrame(rows, "ord int, " + CATALOG_SCHEMA)
+    request = spark.createDataFrame([("c_x", 1, "later"), ("c_x", 0, "first"), ("d_x", 2, "d"), ("z_x", 3, "z")], "name string, ord int, parameter string")
+    planned = pp.plan_targets(catalog, "cesm", "mon", request=request)
+    assert [(t.name, t.parameter, t.synthetic) for t in planned] == [("a_x", "a_x", True), ("b_x", "b_x", True), ("c_x", "first", False), ("h_x", "h_x", True)]
+    assert [t.name for t in pp.plan_targets(catalog, "cesm", "mon", request=request, requested_only=True)] == ["c_x"]
+    assert [(t.name, t.parameter) for t in pp.plan_targets(catalog, "cesm", "mon")] == [("a_x", None), ("b_x", None), ("c_x", None), ("h_x", None)]
+    field = spark.createDataFrame([(n, 0, k, 0, 1.0) for n in "ABCH" for k in (0, 1)], "var string, time_idx int, lev int, cell bigint, value double")
+    weights = spark.createDataFrame([], "map_id string, src_cell bigint, dst_cell bigint, w double")
+    _, status = pp.prepare(spark, field, planned, weights=weights, static=field.select("cell").distinct())
+    assert dict(status)["h_x"] == "hybrid sigma coordinates are only supported for atmosphere tables" and dict(status)["a_x"] == "no weight map"
+
+
+def described_native(spark, levels, when="1851-03-01"):
+    latlon = ["time", "latitude", "longitude"]
+    rows = [entry("sos_x", "ocean", ["SO"], ["time", "olevel", *latlon[1:]]), entry("siconc_x", "seaIce", ["I"], latlon), entry("siarea_x", "seaIce", ["I"], ["time"])]
+    catalog = spark.createDataFrame(rows, CATALOG_SCHEMA)
+    schema = "var string, time_idx int, lev int, cell bigint, value double"
+    ocean = spark.createDataFrame([("sos_x", 0, k, c, 1.0) for k in (0, 1) for c in (0, 1)] + [("other_x", 0, 7, 0, 1.0)], schema)
+    ice = spark.createDataFrame([("siconc_x", 0, None, 0, 1.0), ("siconc_x", 0, None, 5, 1.0), ("siarea_x", 0, None, None, 2.0)], schema)
+    grid = spark.createDataFrame([(0, 80.0, 10.0, [79.0, 81.0])], "cell bigint, TLAT double, TLON double, latt_bounds array<double>")
+    axis = spark.createDataFrame([(0, when)], "time_idx int, d string").select("time_idx", *[F.to_date("d").alias(c) for c in ("time", "time_b0", "time_b1")])
+    return pp.described({"ocean_native": ocean, "seaice_native": ice}, catalog, axis, ice_grid=grid, levels=levels)
+
+
+def test_native_rows_have_grid_depth_and_dates(spark):
+    depths = spark.createDataFrame([(0, 5.0, 0.0, 10.0), (1, 20.0, 10.0, 30.0)], "lev int, level double, level_b0 double, level_b1 double")
+    out = described_native(spark, {"olevel": depths, "sdepth": depths.limit(0)})
+    sea = {(r["var"], r["lev"], r["cell"]): (r["level_kind"], r["level"], r["level_b1"], r["time"]) for r in out["ocean_native"].collect()}
+    year = 365.0 + 59  # no leap day before March
+    assert sea == {("sos_x", k, c): ("olevel", v, b, year) for k, v, b in ((0, 5.0, 10.0), (1, 20.0, 30.0)) for c in (0, 1)} | {("other_x", 7, 0): (None, None, None, year)}
+    ice = {(r["var"], r["cell"]): (r["TLAT"], r["TLON"], r["latt_bounds"], r["level"]) for r in out["seaice_native"].collect()}
+    assert ice == {("siconc_x", 0): (80.0, 10.0, [79.0, 81.0], None), ("siconc_x", 5): (None, None, None, None), ("siarea_x", None): (None, None, None, None)}
+    assert "TLAT" not in out["ocean_native"].columns
+    with pytest.raises(Exception, match="no coordinate for level 1 of sos_x"):
+        described_native(spark, {"olevel": depths.filter("lev = 0")})["ocean_native"].collect()
+
+
+def test_sheet_to_outputs_with_index_sums(spark):
+    """A sheet's index sums reduce the dimension their variable implies, all the way to field rows."""
+    blank = {c: F.lit("") for c in ("formula", "units", "freq", "alias", "levels_name", "levels_units", "levels_axis", "levels_bounds")}
+    sheet = spark.createDataFrame([("x_x", "seaIce", "FATES_A_PF(1:2) - PCT_LANDUNIT(3)", "time")], "name string, table string, source_expr string, dims string").withColumns(blank)
+    catalog = ct.sheet_to_catalog(sheet)
+    for column in ("positive", "cell_methods", "regrid_method", "long_name", "standard_name", "region"):
+        catalog = catalog.withColumn(column, F.lit(None).cast("string"))
+    catalog = catalog.withColumn("variants", F.lit(None).cast("array<struct<long_name:string,formula:string,region:string>>"))
+    rows = [("FATES_A_PF", 0, None, p, None, c, 10.0 ** p) for p in range(3) for c in (0, 1)] + [("PCT_LANDUNIT", 0, None, None, t, c, float(t)) for t in range(4) for c in (0, 1)]
+    rows += [("FATES_FRAC", 0, None, None, None, c, 0.5) for c in (0, 1)]
+    field = spark.createDataFrame(rows, "var string, time_idx int, lev int, fates_levpft int, ltype int, cell bigint, value double")
+    weights = spark.createDataFrame([], "map_id string, src_cell bigint, dst_cell bigint, w double")
+    targets = pp.plan_targets(catalog, "cesm", "mon")
+    dims = {"FATES_A_PF": ["fates_levpft"], "PCT_LANDUNIT": ["ltype"]}
+    out, status = pp.prepare(spark, field, targets, weights=weights, static=field.select("cell").distinct(), dims=dims)
+    assert status == [("x_x", "ok")]
+    assert {(r["cell"], r["value"]) for r in out["seaice_native"].collect()} == {(c, (1.0 + 10.0 - 2.0) * 0.5) for c in (0, 1)}

@@ -155,3 +155,13 @@ def test_only_small_tables_are_broadcast(spark):
     plan = lambda d: spark.range(10).join(d, "id")._jdf.queryExecution().toString()
     assert "broadcast" in plan(small(df)).lower().split("== physical plan ==")[0]
     assert "broadcast" not in plan(small(df, limit=1000)).lower().split("== physical plan ==")[0]
+
+
+def test_index_sums_are_written_as_calls(spark):
+    write = lambda t: one(spark, tx.write_index_sums(F.lit(t)))
+    assert write("A(1:3)") == "sumoverpft(A, pftlist=[1, 2, 3], dimname='lev')"
+    assert write("NPP(1) + FATES_NPP(1)") == "sumoverpft(NPP, pftlist=[1], dimname='lev') + sumoverpft(FATES_NPP, pftlist=[1], dimname='lev')"
+    assert write("2 * PCT_LANDUNIT(4,6) / B") == "2 * sumoverpft(PCT_LANDUNIT, pftlist=[4, 6], dimname='ltype') / B"
+    assert write("sqrt(4) * A + verticalsum(B, capped_at=5)") == "sqrt(4) * A + verticalsum(B, capped_at=5)"
+    assert write("A(3:1)") == "sumoverpft(A, pftlist=[], dimname='lev')" and write("A(1:)") == "A(1:)" and write("") == "" and write(None) is None
+    assert one(spark, tx.index_sums(F.lit("max(3) + A(2)"))) == [("A", [2], "lev")]
