@@ -249,19 +249,58 @@ def supergrid_split(supergrid: DataFrame) -> DataFrame:
     return supergrid.withColumn("kind", kind).filter(F.col("kind").isNotNull()).withColumns(half | {"lon": F.pmod(F.col("lon"), F.lit(360.0))})
 
 
-def index_axis(axis: DataFrame, order: str, keys: Sequence[str] = AXIS, bucket: Column | None = None) -> DataFrame:
-    """0-based consecutive position ``i`` of the distinct coordinate values of each axis.
+BUCKET = 1_000_000  # points that one window numbers
+MOST_BUCKETS = 1024  # beyond as many, buckets grow
+PER_BUCKET = 16  # points sampled for each bound
 
-    ``bucket`` is an expression that never falls as ``order`` rises (a year of a date, a value range). With it, each
-    bucket is numbered on its own and starts after the counted size of the buckets before it, which splits long axes.
+
+def value_bounds(points: DataFrame, order: str, size: int = BUCKET) -> list:
+    """Values that cut the points into buckets of about ``size`` by ``order``: at most 1,023, read off a sample.
+
+    The sample goes by the hash of the whole point, so a point is in it or not whenever and wherever it is looked at. Some 16
+    points a bucket come to the driver, however many points there are. Equal values are never cut apart.
+    """
+    total = points.count()
+    buckets = min(-(-total // size), MOST_BUCKETS)
+    if buckets < 2:
+        return []
+    drawn = points.filter(F.pmod(F.xxhash64(*points.columns), F.lit(1 << 30)) < F.lit(min(1 << 30, (buckets * PER_BUCKET << 30) // total + 1)))
+    values = [r[0] for r in drawn.filter(F.col(order).isNotNull()).select(order).orderBy(order).collect()]
+    cuts = [values[len(values) * k // buckets] for k in range(1, buckets)] if values else []
+    return list(dict.fromkeys(cuts))
+
+
+def bucket_of(value: Column, bounds: Sequence) -> Column:
+    """How many of the sorted ``bounds`` are not above the value, found by halving; 0 for NULL."""
+    table = F.array(*[F.lit(b) for b in bounds])
+    width = 1 << (len(bounds).bit_length() - 1)
+    steps = F.array(*[F.lit(width >> k) for k in range(width.bit_length())])
+    reached = lambda at: (at <= len(bounds)) & F.coalesce(F.get(table, at - 1) <= value, F.lit(False))
+    return F.aggregate(steps, F.lit(0), lambda done, step: F.when(reached(done + step), done + step).otherwise(done))
+
+
+def index_axis(axis: DataFrame, order: str, keys: Sequence[str] = AXIS, bucket: Column | None = None, size: int = BUCKET) -> DataFrame:
+    """0-based consecutive position ``i`` of the distinct coordinate values of each axis; NULL comes first.
+
+    Points are cut into buckets by value. Each bucket is numbered on its own and starts after the counted size of the buckets
+    before it, so no window holds a long axis, and an axis that holds most points gets most buckets. Bounds are sampled
+    (:func:`value_bounds`), or ``bucket`` is an expression that never falls as ``order`` rises (a year of a date, a value range).
     """
     points = axis.select(*keys, order).distinct()
     if bucket is None:
-        return points.withColumn("i", (F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1).cast("long"))
+        bounds = value_bounds(points, order, size)
+        if not bounds:
+            return points.withColumn("i", (F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1).cast("long"))
+        bucket = bucket_of(F.col(order), bounds)
     points = points.withColumn("_b", bucket)
     sizes = points.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    starts = sizes.select(
+        *[F.col(k).alias(f"_{n}") for n, k in enumerate(keys)], F.col("_b").alias("_bucket"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
+    )
     local = F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(order)) - 1
-    numbered = points.withColumn("_local", local).join(starts, [*keys, "_b"])
+    same = F.col("_b").eqNullSafe(F.col("_bucket"))
+    for n, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_{n}"))
+    numbered = points.withColumn("_local", local).join(starts, same)
     return numbered.select(*keys, order, (F.col("_local") + F.col("_start")).cast("long").alias("i"))

@@ -205,6 +205,13 @@ def index_axis_long(spark, d):
     return ax.index_axis(points, "ts", bucket=F.substring(F.col("ts").cast("string"), 1, 16))  # by the minute
 
 
+@query("index_axis_sampled", INDEX_SQL)
+def index_axis_sampled(spark, d):
+    """The same numbers with bounds that are sampled: a bucket has about 1,000 points."""
+    points = read(spark, d, "events").select(F.col("event_type").alias("axis_id"), "ts")
+    return ax.index_axis(points, "ts", size=1_000)
+
+
 SECONDS = "(hour(ts) * 3600 + minute(ts) * 60)::BIGINT * 1000000 + microsecond(ts)"
 CUMULATIVE = "[0, 31, 59, 90, 120, 151, 181, 212, 243, 273, 304, 334]"
 

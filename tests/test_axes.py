@@ -151,3 +151,26 @@ def test_index_axis_in_buckets(spark):
     plain = sorted(map(tuple, ax.index_axis(points, "v").collect()))
     assert plain == sorted(map(tuple, ax.index_axis(points, "v", bucket=F.floor(F.col("v") / 10)).collect()))
     assert [i for _, _, i in plain] == [0, 1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("cast", ["double", "string", "date"])
+def test_index_axis_by_sampled_bounds(spark, cast):
+    """Two thirds of the points on one axis, repeats, NULL values and a NULL axis: the same numbers as one window gives."""
+    n = F.col("id")
+    values = {"double": (n * 37 % 1009) / 8.0, "string": (n * 37 % 1009).cast("string"), "date": F.date_add(F.lit("2000-01-01").cast("date"), (n * 37 % 1009).cast("int"))}
+    points = spark.range(3000).select(F.when(n % 3 != 0, 0).when(n % 2 == 0, n % 5).alias("axis_id"), F.when(n % 97 != 0, values[cast]).alias("v"))
+    order = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    plain = order(ax.index_axis(points, "v"))
+    distinct = points.distinct()
+    bounds = ax.value_bounds(distinct, "v", 100)
+    assert len(bounds) > 5 and bounds == sorted(set(bounds)) and bounds == ax.value_bounds(distinct.repartition(3), "v", 100)
+    assert order(ax.index_axis(points, "v", size=100)) == plain
+    buckets = {r["b"]: r["count"] for r in distinct.withColumn("b", ax.bucket_of(F.col("v"), bounds)).groupBy("b").count().collect()}
+    assert set(buckets) == set(range(len(bounds) + 1)) and max(buckets.values()) < 6 * 100
+
+
+def test_buckets_are_found_by_halving(spark):
+    for count in (1, 2, 3, 7, 8, 9):
+        bounds = [10 * k for k in range(1, count + 1)]
+        rows = spark.createDataFrame([(v,) for v in [None, *range(0, 10 * count + 15, 5)]], "v int").select("v", ax.bucket_of(F.col("v"), bounds).alias("b")).collect()
+        assert all(r["b"] == (0 if r["v"] is None else sum(b <= r["v"] for b in bounds)) for r in rows)
