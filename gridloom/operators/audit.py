@@ -72,6 +72,11 @@ def dimension_inventory(inventory: DataFrame, samples: int | None = None) -> Dat
     return sets.join(sizes.select("variable", F.transform("_s", lambda s: s["sizes"]).alias("sample_sizes")), "variable")
 
 
+def dimension_sizes(inventory: DataFrame) -> DataFrame:
+    """The sizes of every opened path as rows, however many a variable has: variable, path, dims, sizes."""
+    return inventory.select("variable", "path", "dims", "sizes")
+
+
 def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], n: int) -> DataFrame:
     """First ``n`` rows of each group. Every task keeps at most n rows per group before the shuffle."""
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))

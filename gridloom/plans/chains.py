@@ -108,11 +108,13 @@ def audit_report(
     selected: DataFrame | None = None,
     inspected: DataFrame | None = None,
     inspection_errors: DataFrame | None = None,
+    samples: int = 3,
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Summary row and tables of an audit, ready for :func:`gridloom.sources.sinks.write_report`.
 
     ``produced`` is an inventory of output paths, ``lines`` the log lines, ``inspected`` the inventory with what opening
-    the files showed, ``inspection_errors`` the files that could not be opened (``name``).
+    the files showed, ``inspection_errors`` the files that could not be opened (``name``). A variable's row in the dimension
+    inventory lists the sizes of ``samples`` paths; those of all paths are rows of their own table.
     """
     expected = au.expected_variables(catalog, request, selected)
     logs = au.log_rollup(lines)
@@ -126,7 +128,8 @@ def audit_report(
         "inspection_errors": errors,
     }
     if inspected is not None:
-        report["dimension_inventory"] = au.dimension_inventory(inspected)
+        report["dimension_inventory"] = au.dimension_inventory(inspected, samples)
+        report["dimension_sizes"] = au.dimension_sizes(inspected)
     return au.audit_counts(expected, produced, logs, errors), report
 
 

@@ -9,7 +9,7 @@ from gridloom.plans import chains
 from gridloom.plans.bindings import field, read, static
 from gridloom.plans.registry import query, view
 from gridloom.sources.sinks import prepare_output, with_facets
-from gridloom.sources.tables import facet_path, same_grid, split_series
+from gridloom.sources.tables import facet_path, fx_on_grid, marked, split_series
 
 MONTH = "(year(l_shipdate) * 12 + month(l_shipdate) - 1)::INTEGER"
 DIMS = ("time_idx", "lev", "cell", "l_orderkey")
@@ -178,8 +178,12 @@ def output_tree(spark, d):
     ["static"],
 )
 def existing_fx(spark, d):
-    """A stored field is reused only on the same grid: the moved one, with other values, is refused."""
-    stored = static(spark, d)
-    moved = stored.withColumns({"lat": F.col("lat") + 1.0, "landfrac": F.lit(-1.0)})
-    usable = [s for s in (moved, stored) if same_grid(s, static(spark, d))]
-    return usable[0].select("cell", F.col("landfrac").alias("value"))
+    """A stored field is reused only on the same grid: the moved one, with other values, is refused, marked or not."""
+    grid = static(spark, d)
+    stored = grid.select(F.lit("sftlf").alias("var"), "cell", "lat", "lon", F.col("landfrac").alias("value"))
+    moved = stored.withColumns({"lat": F.col("lat") + 1.0, "value": F.lit(-1.0)})
+    found = [fx_on_grid(s, "sftlf", grid) for s in (moved, marked(moved, moved), marked(stored, stored.orderBy(F.desc("cell"))), stored)]
+    usable = [f for f in found if f is not None]
+    if len(usable) != 2:
+        raise ValueError(f"{len(usable)} of 4 stored fields were taken for this grid, not 2")
+    return usable[0].select("cell", "value")

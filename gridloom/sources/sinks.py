@@ -11,6 +11,7 @@ from gridloom.functions import fixed_values as fixed
 from gridloom.functions.values import fill_missing
 from gridloom.operators.regrid import fx_missing, fx_table
 from gridloom.operators.series import new_blocks
+from gridloom.sources.tables import marked
 
 
 def gathered(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -71,6 +72,11 @@ def write_tree(df: DataFrame, root: str, facets: Sequence[str] = fixed.TREE_FACE
     gathered(df, facets).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*facets).parquet(root)
 
 
+def write_fx(fields: DataFrame, grid: DataFrame, path: str) -> None:
+    """Fixed fields (``var, cell, value`` and what else they have) by variable, each replaced as a whole, with their grid's fingerprint."""
+    marked(fields, grid).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("var").parquet(path)
+
+
 def ensure_fx(spark: SparkSession, path: str, static: DataFrame, weights: DataFrame, source_id: str) -> DataFrame:
     """Stored fixed fields of all maps for one source; only maps that are not stored yet are computed and added.
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions import fixed_values as fixed
 from gridloom.functions import text as tx
+from gridloom.functions.sizing import small
 from gridloom.functions.values import null_if_nan
 from gridloom.operators.catalog import CATALOG_SCHEMA
 
@@ -44,9 +45,19 @@ def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(file, line_no, line) of text files, one file per row group as the file order must be known."""
-    whole = spark.read.text(paths, wholetext=True).withColumn("file", tx.file_name(F.col("_metadata.file_path")))
-    return whole.select("file", F.posexplode(F.split("value", "\n")).alias("line_no", "line"))
+    """(file, line_no, line) of text files of any size, numbered from 0 in each file; a newline at the end starts no line.
+
+    The reader splits files by bytes. A line's number is its place in its split after the counted lines of the splits before
+    it: one pass counts, one reads, and only the table of splits is joined, so no task holds a file and no line is moved.
+    Ids rise by one inside a split, and both passes cut the files alike as they are one relation.
+    """
+    split = {"_path": F.col("_metadata.file_path"), "_at": F.col("_metadata.file_block_start")}
+    found = spark.read.option("lineSep", "\n").text(paths)
+    lines = found.select(*[c.alias(n) for n, c in split.items()], F.monotonically_increasing_id().alias("_id"), F.col("value").alias("line"))
+    counted = lines.groupBy(*split).agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    before = Window.partitionBy("_path").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    splits = counted.select(*split, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return lines.join(small(splits), list(split)).select(tx.file_name(F.col("_path")).alias("file"), (F.col("_id") + F.col("_shift")).alias("line_no"), "line")
 
 
 def _catalog_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -151,10 +162,37 @@ def same_grid(left: DataFrame, right: DataFrame, columns: Sequence[str] = ("cell
     return sides.groupBy(*columns).agg(F.sum("_s").alias("_t")).filter(F.col("_t") != 3).isEmpty()
 
 
+GRID_MARK = ("grid_cells", "grid_hash", "grid_hash2")
+
+
+def grid_fingerprint(grid: DataFrame, columns: Sequence[str] = ("cell", "lat", "lon")) -> tuple:
+    """Number of distinct cells of a grid and two sums of hashes over them: alike for the same cells in any order."""
+    cells = grid.select(*[(F.col(c) + F.lit(0)).alias(c) for c in columns]).distinct()  # adding 0 makes -0.0 a 0.0
+    total = lambda seed: F.coalesce(F.sum(F.xxhash64(F.lit(seed), *columns).cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)")
+    return tuple(cells.agg(F.count(F.lit(1)), total(1), total(2)).first())
+
+
+def marked(fields: DataFrame, grid: DataFrame) -> DataFrame:
+    """Fixed fields with the fingerprint of their grid in every row: constants, which cost nothing in a column file."""
+    values = dict(zip(GRID_MARK, grid_fingerprint(grid), strict=True))
+    return fields.withColumns({n: F.lit(v).cast("bigint" if n == "grid_cells" else "decimal(38,0)") for n, v in values.items()})
+
+
+def fx_on_grid(stored: DataFrame, name: str, grid: DataFrame) -> DataFrame | None:
+    """The stored fixed field of a name if there is one and it lies on the current grid; else None.
+
+    Marked fields (:func:`marked`) are known by comparing three numbers; of others all coordinates are compared.
+    """
+    field = stored.filter(F.col("var") == name)
+    if set(GRID_MARK) <= set(field.columns):
+        marks = field.select(*GRID_MARK).distinct().limit(2).collect()
+        return field.drop(*GRID_MARK) if len(marks) == 1 and tuple(marks[0]) == grid_fingerprint(grid) else None
+    return field if not field.isEmpty() and same_grid(field, grid) else None
+
+
 def load_existing_fx(spark: SparkSession, path: str, name: str, grid: DataFrame) -> DataFrame | None:
     """A stored fixed field, if there is one and it lies on the current grid; else None."""
-    stored = spark.read.parquet(path).filter(F.col("var") == name)
-    return stored if not stored.isEmpty() and same_grid(stored, grid) else None
+    return fx_on_grid(spark.read.parquet(path), name, grid)
 
 
 def facet_path(facets: Sequence[str] = fixed.TREE_FACETS) -> Column:

@@ -80,6 +80,43 @@ def test_stored_fixed_fields_need_the_same_grid(spark, tmp_path):
     assert tables.load_existing_fx(spark, path, "orog", grid.limit(1)) is None
 
 
+def test_marked_fixed_fields_are_known_by_their_fingerprint(spark, tmp_path):
+    grid = spark.createDataFrame([(0, -0.0, 2.0), (1, 3.0, 4.0), (2, 3.0, None)], "cell bigint, lat double, lon double")
+    path = str(tmp_path / "fx")
+    fields = spark.createDataFrame([("orog", c, 5.0) for c in range(3)] + [("area", 0, 1.0)], "var string, cell bigint, value double")
+    sinks.write_fx(fields, grid, path)
+    same = grid.unionByName(grid).orderBy(F.desc("cell")).withColumn("lat", F.abs("lat"))
+    kept = tables.load_existing_fx(spark, path, "orog", same)
+    assert sorted(kept.columns) == ["cell", "value", "var"] and kept.count() == 3
+    for other in (grid.withColumn("lat", F.col("lat") + 1), grid.limit(1), grid.limit(0), grid.withColumn("cell", F.col("cell") + 1)):
+        assert tables.load_existing_fx(spark, path, "orog", other) is None
+    assert tables.load_existing_fx(spark, path, "basin", grid) is None
+    sinks.write_fx(fields.filter("var = 'orog'").withColumn("value", F.lit(6.0)), grid.limit(1), path)  # replaces one, keeps the other
+    assert tables.load_existing_fx(spark, path, "orog", grid) is None and tables.load_existing_fx(spark, path, "area", grid).count() == 1
+    assert {r["value"] for r in tables.load_existing_fx(spark, path, "orog", grid.limit(1)).collect()} == {6.0}
+
+
+def test_lines_of_a_file_in_many_splits(spark, tmp_path):
+    long = [f"{i} " + "é" * (i * 7 % 50) for i in range(400)]
+    long[17] = ""
+    (tmp_path / "a.log").write_text("\n".join(long) + "\n")
+    (tmp_path / "b.log").write_text("one\r\n\ntwo")
+    (tmp_path / "c.log").write_text("")
+    read = lambda: tables.read_lines(spark, str(tmp_path / "*.log"))
+    whole = sorted(map(tuple, read().collect()))
+    assert whole == [("a.log", i, t) for i, t in enumerate(long)] + [("b.log", 0, "one\r"), ("b.log", 1, ""), ("b.log", 2, "two")]
+    for name, value in (("maxPartitionBytes", "300"), ("openCostInBytes", "1")):
+        spark.conf.set(f"spark.sql.files.{name}", value)
+    try:
+        lines = read()
+        assert lines.select(F.spark_partition_id().alias("p")).distinct().count() > 20
+        assert sorted(map(tuple, lines.collect())) == whole
+        assert lines.filter("line_no = 399").first()["line"] == long[399]
+    finally:
+        for name in ("maxPartitionBytes", "openCostInBytes"):
+            spark.conf.unset(f"spark.sql.files.{name}")
+
+
 def test_fixed_fields_are_computed_once_per_map_and_source(spark, tmp_path):
     path = str(tmp_path / "fx")
     static = spark.createDataFrame([(0, 0.5)], "cell bigint, landfrac double")
