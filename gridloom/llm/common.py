@@ -19,12 +19,22 @@ from pyspark.sql import functions as F
 SPACES = b" \t\n\x0b\x0c\r"
 
 
+def checkpoint_folder(master: str, configured: str | None) -> str:
+    """The session's ``spark.checkpoint.dir``. One of this machine is made only where all tasks run on it (``local[...]``)."""
+    if configured:
+        return configured
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return tempfile.mkdtemp(prefix="spark-")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and go on from there: no recomputation, no lineage, and rows that stay as
-    they are when an executor is lost. Spark removes the files when nothing refers to them any more."""
+    they are when an executor is lost. Spark removes the files once nothing refers to them, if the session sets
+    ``spark.cleaner.referenceTracking.cleanCheckpoints``; else whoever owns the folder does."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        context.setCheckpointDir(checkpoint_folder(context.master, df.sparkSession.conf.get("spark.checkpoint.dir", None)))
     return df.checkpoint()
 
 

@@ -1,11 +1,12 @@
 """Pairs exactly on a threshold, and pipeline stages on null and repeated ids."""
 
 import itertools
+from pathlib import Path
 
 import numpy as np
 import pytest
 
-from gridloom.llm import cover_tree
+from gridloom.llm import common, cover_tree
 
 SF = "/root/testdata/sf0.001"
 
@@ -74,3 +75,11 @@ def test_run_packs_what_the_stages_leave(spark):
     assert set(got.doc_id) == left and got.groupby("doc_id").length.sum().sum() == got.drop_duplicates("doc_id").doc_tokens.sum()
     by = got.sort_values(["sequence_id", "offset"])
     assert (by.groupby("sequence_id").length.sum().iloc[:-1] == 2048).all()
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    assert common.checkpoint_folder("yarn", "hdfs:///kept") == "hdfs:///kept" and common.checkpoint_folder("local[8]", "/kept") == "/kept"
+    assert Path(common.checkpoint_folder("local[8]", None)).is_dir()
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            common.checkpoint_folder(master, None)
