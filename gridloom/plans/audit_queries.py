@@ -69,6 +69,12 @@ def dimension_inventory(spark, d):
     )
 
 
+@query("dimension_sizes", "SELECT variable, path, 'time, lat' AS dims, 'n' || o_orderkey AS sizes FROM inventory", ["inventory"])
+def dimension_sizes(spark, d):
+    opened = inventory(spark, d).withColumns({"dims": F.lit("time, lat"), "sizes": F.concat(F.lit("n"), "o_orderkey")})
+    return au.dimension_sizes(opened)
+
+
 # One log file per document source, so a few files hold nearly all lines.
 LOG_FILE = "CASE WHEN lang = 'de' THEN 'notes.txt' ELSE 'cmor_20240101T000000Z_' || source || '.log' END"
 LOG_LINE = "CASE WHEN (doc_id + n) % 4 = 0 THEN 'ERROR: ' || line WHEN (doc_id + n) % 50 = 1 THEN line || ' completed' ELSE line END"

@@ -50,6 +50,16 @@ def test_report_is_written(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "expected_variables")).count() == 2
 
 
+def test_report_has_sizes_of_all_paths(spark):
+    names = spark.createDataFrame([("tas_x",)], "name string")
+    lines = spark.createDataFrame([], "file string, line_no int, line string")
+    rows = [("tas_x", "tas", f"/p/{i}", "time, lat", "x", "gr", "tas", i) for i in (4, 1, 3, 0, 2)]
+    opened = spark.createDataFrame(rows, "name string, variable string, path string, dims string, branding string, grid string, data_var string, sizes int")
+    _, report = chains.audit_report(names, opened.select("name", "variable", "path"), lines, inspected=opened)
+    assert report["dimension_inventory"].first()["sample_sizes"] == [0, 1, 2]
+    assert sorted((r["variable"], r["path"], r["sizes"]) for r in report["dimension_sizes"].collect()) == [("tas", f"/p/{i}", i) for i in range(5)]
+
+
 def test_sheet_has_entries_and_stubs(spark):
     entry = ("a", "atmos", "K", None, None, None, None, None, None, None, [["time", "lat", "lon"]], [("T", None, None)], None, None)
     catalog = spark.createDataFrame([entry], CATALOG_SCHEMA)
