@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import cut, raw_text, slices
+from gridloom.llm.common import Recent, cut, raw_text, slices
 from gridloom.llm.components import components
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -42,7 +42,8 @@ LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 LONG = 1 << 21
 BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
-BYTE = np.random.default_rng(20).integers(1, 1 << 63, 256, np.uint64)
+#: Hashes of words that a worker has met.
+KNOWN = Recent(200_000)
 #: Keys in one bucket of the index, about.
 PER_BUCKET = 1_000_000
 #: Up to so many ids are broadcast (8 bytes each).
@@ -149,19 +150,10 @@ def elements(raw: bytes, n: int) -> set[tuple[bytes, ...]]:
     return {tuple(words)} if 0 < len(words) < n else set(zip(*(words[i:] for i in range(n)), strict=False))
 
 
-@cache
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number modulo 2**64, and of its inverse."""
-    odd = 0x9E3779B97F4A7C15
-    with np.errstate(over="ignore"):
-        return tuple(np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, x, np.uint64)]), dtype=np.uint64) for x in (odd, pow(odd, -1, 1 << 64)))
-
-
 def word_hashes(text: bytes) -> np.ndarray:
-    """64-bit hashes of the words of a text: sums of a random number for each byte times a power of its place."""
-    codes = np.frombuffer(text, np.uint8)
+    """64-bit keyed BLAKE2 hashes of the words of a text. A long text goes in parts that end between words."""
     if len(text) > LONG:
-        # A long text in parts that end between words; only a longer word makes a longer part.
+        codes = np.frombuffer(text, np.uint8)
         blank = np.flatnonzero(BLANK[codes])
         cuts = np.unique(blank[np.unique(np.searchsorted(blank, np.arange(LONG // 2, len(text), LONG // 2), "right")) - 1]) if len(blank) else blank
         if len(cuts):
@@ -169,13 +161,15 @@ def word_hashes(text: bytes) -> np.ndarray:
             parts = [text[a:b] for a, b in zip(ends, ends[1:], strict=False)]
             if max(map(len, parts)) < len(text):
                 return np.concatenate([word_hashes(part) for part in parts])
-    inner = np.concatenate([[False], ~BLANK[codes], [False]])
-    edges = np.flatnonzero(inner[1:] != inner[:-1])
-    starts, ends = edges[::2], edges[1::2]
-    up, down = powers(1 << max(20, len(text).bit_length()))
-    with np.errstate(over="ignore"):
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE[codes] * up[: len(codes)])])
-        return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    words = text.split()
+    unknown = KNOWN.lacking(set(words))
+    for word in unknown:
+        KNOWN.young[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=b"word").digest(), "little")
+    found = np.fromiter(map(KNOWN.young.__getitem__, words), np.uint64, len(words))
+    for word in unknown:
+        if len(word) > 64:  # not worth its memory
+            del KNOWN.young[word]
+    return found
 
 
 def element_sets(raws: list[bytes], n: int) -> list[np.ndarray]:

@@ -140,6 +140,26 @@ def test_long_texts_hash_as_one():
     assert (parts[:5] == jaccard_join.word_hashes(text[:40])[:5]).all()
 
 
+def test_words_that_power_sums_confuse_stay_apart(spark):
+    """A Thue-Morse word and its complement have the same power sum modulo 2**64 of any two letters."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate({97: 98, 98: 97})
+    other = word.translate({97: 98, 98: 97})
+    assert jaccard_join.word_hashes(word.encode()) != jaccard_join.word_hashes(other.encode())
+    docs = spark.createDataFrame([(1, f"{word} x y z"), (2, f"{other} x y z"), (3, f"{word.upper()} x y z")], "doc_id bigint, text string")
+    got = jaccard_join.near_groups(docs).toPandas().set_index("doc_id")
+    assert got.component_id.to_dict() == {1: 1, 2: 2, 3: 1}
+
+
+def test_word_hashes_do_not_depend_on_what_was_met(monkeypatch):
+    text = b"one two " + b"long" * 100 + b" one"
+    before = jaccard_join.word_hashes(text)
+    monkeypatch.setattr(jaccard_join, "KNOWN", jaccard_join.Recent(0))
+    assert (before == jaccard_join.word_hashes(text)).all() and (before == jaccard_join.word_hashes(text)).all()
+    assert before[0] == before[3] and not any(len(w) > 64 for w in jaccard_join.KNOWN.young)
+
+
 @pytest.mark.parametrize("block", [40, 2000])
 def test_cover_tree_equals_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(cover_tree, "BLOCK", block)
