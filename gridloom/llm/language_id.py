@@ -2,17 +2,19 @@
 
 N-grams of one to three lower-case letters and blanks are hashed into DIMENSIONS cells; document frequencies are counted
 over all documents. The classifier is fitted on at most PER_LANGUAGE labelled training rows of each language, by spherical
-k-means in each. A text whose cosine with every centroid is far below what its cluster's training rows have is rejected.
+k-means in each. These rows also give the least cosine a language has by length of text; a text that stays below MARGIN of
+it is rejected. Short texts have low cosines, so limits never rise as texts get shorter, and a text shorter (in powers of
+two) than all training rows of its language is not rejected.
 
 Cases: a null text and one without a letter are ``und``, score 0 and rejected; any other text gets a learned value; equal
-texts get equal results; with no labelled row to learn from, every text is ``und`` and none is rejected; other columns are not read.
+texts get equal results; very long texts are counted whole, one at a time; with no labelled row to learn from, every text is ``und`` and none is rejected; other columns are not read.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import crc_of, slices
@@ -20,6 +22,8 @@ from gridloom.llm.common import crc_of, slices
 DIMENSIONS = 4096
 #: Training rows of a language at most, and centroids of it.
 PER_LANGUAGE, CENTROIDS = 800, 4
+#: Part of the least cosine of training rows that a text of their length needs.
+MARGIN = 0.6
 
 
 def counts(text: str) -> np.ndarray:
@@ -56,9 +60,10 @@ def inverse_frequencies(docs: DataFrame, text_col: str) -> np.ndarray:
     def run(batches):
         seen = np.zeros(DIMENSIONS + 1, np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen[:-1] += counts(text) > 0
-                seen[-1] += 1
+            for some in slices(batch, "text"):
+                for text in some.column(0).to_pylist():
+                    seen[:-1] += counts(text) > 0
+                    seen[-1] += 1
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(DIMENSIONS + 1, dtype=np.int32)), pa.array(seen)], schema=kinds)
 
     rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(run, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect()
@@ -81,20 +86,41 @@ def clusters(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centres
 
 
+def length_bin(total: int) -> int:
+    """The power of two of a number of n-grams."""
+    return int(total).bit_length()
+
+
+def limits(cosines: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """The least cosine to be kept for each length_bin: MARGIN of the least that training rows as long or longer have."""
+    out = np.zeros(65)
+    low = np.inf
+    for size in range(64, -1, -1):
+        here = cosines[[length_bin(n) == size for n in totals]]
+        low = min(low, *here, np.inf)
+        out[size] = MARGIN * low
+    longest, shortest = (f(length_bin(n) for n in totals) for f in (max, min))
+    out[longest:], out[:shortest] = out[longest], 0.0
+    return np.maximum(out, 0.0)
+
+
 def fit(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict:
     """idf, centres, their languages and the least cosine of each. ``training``: a condition on rows that may be learned from."""
     idf = inverse_frequencies(docs, text_col)
-    labelled = docs.filter(training).filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(id_col), F.lit(1_000_000)).alias("draw"))
+    draw = F.xxhash64(F.col(id_col), F.col(text_col))
+    labelled = docs.filter(training).filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), draw.alias("draw"))
     sizes = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     share = F.lit(0.0)
     for lang, n in sizes.items():
         share = F.when(F.col("lang") == lang, F.lit(1e6 * min(1.0, 0.9 * PER_LANGUAGE / n))).otherwise(share)
-    drawn = labelled.filter(F.col("draw") < share).select("lang", "text")
+    # The share takes about as many as are wanted; rows that draw alike may be more, so the first ones are counted off.
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    drawn = labelled.filter(F.pmod("draw", F.lit(1_000_000)) < share).withColumn("place", place).filter(F.col("place") <= PER_LANGUAGE).select("lang", "text")
     kinds = pa.schema([("lang", pa.string()), ("x", pa.binary())])
 
     def run(batches):
-        for batch in batches:
-            keep = [(lang, counts(text).astype("<u4").tobytes()) for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if has_letter(text)]
+        for part in (some for batch in batches for some in slices(batch, "text")):
+            keep = [(lang, counts(text).astype("<u4").tobytes()) for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) if has_letter(text)]
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keep], pa.string()), pa.array([k[1] for k in keep], pa.binary())], schema=kinds)
 
     by: dict[str, list] = {}
@@ -104,11 +130,10 @@ def fit(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "text
     for lang in sorted(by):
         x = weighed(np.stack(sorted(by[lang], key=bytes)).astype(np.float32), idf)
         own = clusters(x, CENTROIDS)
-        best = (x @ own.T).max(1)
         centres.append(own)
         langs += [lang] * len(own)
-        least += [0.1 * float(np.quantile(best, 0.01))] * len(own)
-    return {"idf": idf, "centres": np.concatenate(centres) if centres else np.zeros((0, DIMENSIONS)), "langs": langs, "least": np.array(least)}
+        least += [limits((x @ own.T).max(1), np.array([k.sum() for k in sorted(by[lang], key=bytes)]))] * len(own)
+    return {"idf": idf, "centres": np.concatenate(centres) if centres else np.zeros((0, DIMENSIONS)), "langs": langs, "least": np.array(least).reshape(-1, 65)}
 
 
 def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -129,9 +154,10 @@ def judge(text: str | None, model: dict) -> tuple[str, float, bool]:
         return "und", 0.0, True
     if not model["langs"]:
         return "und", 0.0, False
-    cosine = model["centres"] @ weighed(counts(text), model["idf"])
+    found = counts(text)
+    cosine = model["centres"] @ weighed(found, model["idf"])
     best = int(cosine.argmax())
-    return model["langs"][best], float(min(1.0, max(0.0, cosine[best]))), bool(cosine[best] < model["least"][best])
+    return model["langs"][best], float(min(1.0, max(0.0, cosine[best]))), bool(cosine[best] < model["least"][best, length_bin(found.sum())])
 
 
 def held_out(id_col: str = "doc_id"):

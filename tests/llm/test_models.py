@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +63,34 @@ def test_language(make):
     assert language_id.predict(docs, none).filter("lang_pred <> 'und'").count() == 0
 
 
+def test_unlearned_languages_and_letter_noise_are_rejected(make):
+    rng = random.Random(5)
+    rows = [(i, prose(rng, lang, n), lang) for i, (lang, n) in enumerate([(lang, n) for n in (30, 120, 400) for lang in ("aa", "bb")] * 60)]
+    model = language_id.fit(make(rows, "doc_id bigint, text string, lang string"), ~language_id.held_out())
+    fresh = [(i, prose(rng, lang, n), lang) for i, (lang, n) in enumerate([(lang, n) for n in (30, 120, 400) for lang in ("aa", "bb")] * 20)]
+    noise = "".join(rng.choice("qwxzjkvQWXZJKV") for _ in range(300))
+    strange = [(1000, "Все люди рождаются свободными и равными в своем достоинстве. " * 9, None), (1001, noise, None), (1002, " ".join(noise[i : i + 5] for i in range(0, 300, 5)), None)]
+    got = language_id.predict(make(fresh + strange, "doc_id bigint, text string, lang string"), model).toPandas().set_index("doc_id")
+    assert not any(got.rejected[i] for i in range(120)) and all(got.rejected[i] for i in (1000, 1001, 1002))
+    assert language_id.judge("ab", model)[2] is False, "shorter than all that was learned from"
+
+
+def test_limits_rise_with_length():
+    low = language_id.limits(np.array([0.2, 0.5, 0.4]), np.array([10, 100, 5000]))
+    assert (np.diff(low) >= 0).all() and low[language_id.length_bin(10) - 1] == 0
+    assert [round(float(low[language_id.length_bin(n)]), 6) for n in (10, 100, 5000, 10**9)] == [0.12, 0.24, 0.24, 0.24]
+
+
+def test_rows_of_one_id_do_not_exceed_the_sample(make, monkeypatch):
+    monkeypatch.setattr(language_id, "PER_LANGUAGE", 10)
+    taken = []
+    monkeypatch.setattr(language_id, "clusters", lambda x, k: taken.append(len(x)) or x[:1])
+    rng = random.Random(6)
+    rows = [(None, "the same text", "aa")] * 300 + [(None, prose(rng, "aa", 5), "aa") for _ in range(50)] + [(7, prose(rng, "bb", 5), "bb") for _ in range(50)]
+    language_id.fit(make(rows, "doc_id bigint, text string, lang string"), F.lit(True))
+    assert len(taken) <= 2 and all(n <= 10 for n in taken)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p>";</script></head><body>
 <nav><ul><li><a href=/x>Menu</a></ul></nav><div class="ad">Buy &amp; save</div>
 <article><h1>Head&nbsp;line</h1><p>One <b>bold</b>
