@@ -138,6 +138,54 @@ def remap_depth(
     return summed.select(*keys, "olevel", mean.alias("value"))
 
 
+def remap_depth_by_column(
+    layers: DataFrame,
+    bins: DataFrame,
+    bin_keys: Sequence[str] = ("cell",),
+    keys: Sequence[str] = COLUMN_KEYS,
+    weighting: str = "native",
+) -> DataFrame:
+    """As ``remap_depth``, for bins held in a table (``bin_keys, olevel, b0, b1``) that differ from column to column.
+
+    A merge sweep: where layers and bins of a column begin is put in one order of depth; a window knows at each of these
+    places which layer and which bin it lies in and how far it is to the next one, which is their overlap. A column costs
+    its layers plus its bins, not their product, in one exchange by column. Bins reach the columns by their first layer
+    (``k`` 0), so only one row a column is joined. Layers of a column must not overlap each other, nor its bins: both are
+    errors. Layers without thickness or with a missing bound weigh nothing, such bins are NULL; a column without bins has
+    no rows.
+    """
+    if weighting not in ("native", "overlap"):
+        raise ValueError("weighting must be 'native' or 'overlap'")
+    layer, bin_ = F.struct("z0", "z1", F.col("value").cast("double").alias("value")), F.struct("olevel", "b0", "b1")
+    kind = lambda made: F.lit(None).cast(made)
+    begun = layers.filter("z1 > z0").select(*keys, F.col("z0").cast("double").alias("_z"), layer.alias("_layer"))
+    heads = layers.filter("k = 0").select(*keys).join(small(bins.select(*bin_keys, "olevel", F.col("b0").cast("double").alias("b0"), F.col("b1").cast("double").alias("b1"))), list(bin_keys))
+    # A bin without extent stands before all others and is never the one in force.
+    real = F.col("b1") > F.col("b0")
+    listed = heads.select(*keys, F.when(real, F.col("b0")).alias("_z"), F.when(real, bin_).alias("_bin"), F.col("olevel").alias("_own"))
+    fields = {f.name: f.dataType for f in [*begun.schema, *listed.schema]}
+    events = begun.withColumns({c: kind(fields[c]) for c in ("_bin", "_own")}).unionByName(listed.withColumn("_layer", kind(fields["_layer"])))
+    order = Window.partitionBy(*keys).orderBy("_z")
+    until = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    placed = events.select(
+        *keys, "_z", "_own", F.lead("_z").over(order).alias("_next"), F.last("_layer", True).over(until).alias("_l"), F.last("_bin", True).over(until).alias("_b"),
+        (F.col("_bin").isNotNull() & (F.last("_bin", True).over(before)["b1"] > F.col("_z"))).alias("_bins_meet"),
+        (F.col("_layer").isNotNull() & (F.last("_layer", True).over(before)["z1"] > F.col("_z"))).alias("_layers_meet"),
+    )
+    wrong = F.when(F.col("_bins_meet"), F.raise_error(F.lit("depth bins of a column overlap")).cast("double")).when(
+        F.col("_layers_meet"), F.raise_error(F.lit("layers of a column overlap")).cast("double")
+    )
+    reach = F.when(F.col("_l").isNotNull() & F.col("_b").isNotNull(), F.least("_next", "_l.z1", "_b.b1") - F.col("_z"))
+    overlap = F.coalesce(wrong, F.greatest(reach, F.lit(0.0)), F.lit(0.0))
+    weighed = placed.select(
+        *keys, F.coalesce("_b.olevel", "_own").alias("olevel"), F.col("_l.value").alias("_v"),
+        (overlap if weighting == "overlap" else F.coalesce(F.try_divide(overlap, F.col("_l.z1") - F.col("_l.z0")), overlap)).alias("_w"),
+    ).filter("olevel IS NOT NULL")
+    own = weighed.groupBy(*keys, "olevel").agg(F.sum(F.when(F.col("_w") > 0, F.col("_w") * F.col("_v"))).alias("_num"), F.sum("_w").alias("_den"))
+    return own.select(*keys, "olevel", F.when(F.col("_den") > 0, F.coalesce("_num", F.lit(0.0)) / F.col("_den")).alias("value"))
+
+
 def zonal_mean(field: DataFrame, lon_cells: int, keys: Sequence[str] = ("var", "time_idx", "plev")) -> DataFrame:
     """Mean over longitude, missing skipped, on a regular grid numbered ``cell = ilat * lon_cells + ilon``."""
     row = F.floor(F.col("cell") / F.lit(lon_cells)).cast("int").alias("ilat")

@@ -147,6 +147,33 @@ def depth_overlap_remap(spark, d):
     return vt.remap_depth(layers(spark, d), BINS)
 
 
+# Bins that stretch with the column: twice or four times as thick in two thirds of the cells.
+view(
+    "column_bins",
+    f"""SELECT s_suppkey AS cell, olevel::INTEGER AS olevel, b0 * (1 << (s_suppkey % 3)) AS b0, b1 * (1 << (s_suppkey % 3)) AS b1
+        FROM supplier, (VALUES {", ".join(f"({i}, {a}::DOUBLE, {b}::DOUBLE)" for i, (a, b) in enumerate(BINS))}) b(olevel, b0, b1)""",
+)
+
+
+@query(
+    "depth_remap_by_column",
+    """SELECT var, time_idx, cell, olevel, CASE WHEN den > 0 THEN coalesce(num, 0e0) / den END AS value FROM (
+        SELECT c.var, c.time_idx, c.cell, b.olevel, sum(l.w * l.value) AS num, sum(l.w) AS den
+        FROM (SELECT DISTINCT var, time_idx, cell FROM layers) c JOIN column_bins b ON b.cell = c.cell
+        LEFT JOIN LATERAL (SELECT (least(z1, b.b1) - greatest(z0, b.b0)) / (z1 - z0) AS w, value FROM layers x
+              WHERE x.var = c.var AND x.time_idx = c.time_idx AND x.cell = c.cell AND z0 < b.b1 AND z1 > b.b0) l ON true
+        GROUP BY 1, 2, 3, 4)""",
+    ["layers", "column_bins"],
+)
+def depth_remap_by_column(spark, d):
+    """Depth bins held in a table, another set for each cell."""
+    edge = F.explode(F.array(*[F.struct(F.lit(i).alias("olevel"), F.lit(a).alias("a"), F.lit(b).alias("b")) for i, (a, b) in enumerate(BINS)])).alias("_e")
+    stretch = F.pow(F.lit(2.0), F.col("cell") % 3)
+    cells = read(spark, d, "supplier").select(F.col("s_suppkey").alias("cell"), edge)
+    bins = cells.select("cell", "_e.olevel", (F.col("_e.a") * stretch).alias("b0"), (F.col("_e.b") * stretch).alias("b1"))
+    return vt.remap_depth_by_column(layers(spark, d), bins)
+
+
 @query(
     "hybrid_output",
     """SELECT o.var, o.time_idx, o.lev, o.cell, o.value, p.value AS ps, hyam AS a, hybm AS b, 100000e0 AS p0 FROM

@@ -174,3 +174,30 @@ def test_streamed_slices_equal_the_batch(spark, tmp_path):
     rows = lambda df: sorted(map(tuple, df.select("var", "block", "time_idx", "cell", "value").collect()))
     batch = sr.year_blocks(series_rows(spark, years=(2000, 2001, 2002)), 2000, 2002, 2, year())
     assert rows(spark.read.parquet(out)) == rows(batch)
+
+
+def test_monthly_means_wait_for_late_slices_and_are_amended(spark, tmp_path):
+    src, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    schema = "time_idx int, cell bigint, TS double"
+    month = F.floor(F.col("time_idx") / 30)
+
+    def arrive(*rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        stream = live.stream_slices(spark, src, ["time_idx", "cell"], ["TS"], schema)
+        live.append_means(live.monthly_means(stream, month, 1), out, check).awaitTermination()
+
+    got = lambda: {(r.month, r.cell): (r.value, r.n) for r in spark.read.schema("cell bigint, month int, value double, n bigint, var string").parquet(out).collect()}
+    arrive((0, 1, 1.0), (29, 1, 3.0), (30, 1, 10.0))
+    assert got() == {}, "month 0 may still get slices"
+    arrive((5, 1, 8.0), (6, 2, None), (65, 1, 20.0))  # late, but in time
+    arrive((95, 1, 30.0), (None, 1, 5.0))
+    arrive((125, 1, 40.0))
+    assert got()[(0, 1)] == (4.0, 3) and got()[(0, 2)] == (None, 1) and got()[(1, 1)] == (10.0, 1)
+    arrive((31, 1, 20.0), (33, 3, 7.0), (190, 1, 0.0))  # too late for month 1
+    means = spark.read.parquet(out)
+    stored = sr.slices_to_series(spark.read.parquet(src), ["time_idx", "cell"], ["TS"])
+    mended = {(r.month, r.cell): (r.value, r.n, r.late) for r in live.amended_means(means, stored, month).collect()}
+    assert mended[(1, 1)] == (15.0, 2, 1) and mended[(1, 3)] == (7.0, 1, 1) and mended[(0, 1)] == (4.0, 3, 0)
+    batch = stored.filter("time_idx IS NOT NULL").groupBy(month.cast("int").alias("m"), "cell").agg(F.avg("value").alias("v"), F.count("*").alias("n"))
+    want = {(r.m, r.cell): (r.v, r.n) for r in batch.collect()}
+    assert {k: v[:2] for k, v in mended.items()} == {k: v for k, v in want.items() if k[0] in {m for m, _ in mended}}

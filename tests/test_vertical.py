@@ -1,4 +1,6 @@
 import numpy as np
+import random
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -84,6 +86,36 @@ def test_depth_bins_by_overlap_and_missing_layers(spark):
     assert missing == 1.0  # the missing layer keeps its weight
 
 
+def depth_rows(spark, bins, weighting="native", column=([0.0, 10.0, 20.0, 20.0, 40.0], [1.0, 3.0, 99.0, 5.0])):
+    table = spark.createDataFrame([(0, i, *b) for i, b in enumerate(bins)] + [(77, 0, 0.0, 1.0)], "cell bigint, olevel int, b0 double, b1 double")
+    data = layers(spark, *column)
+    assert {r["cell"] for r in data.select("cell").distinct().collect()} == {0}
+    return {r["olevel"]: r["value"] for r in vt.remap_depth_by_column(data, table, weighting=weighting).collect()}
+
+
+def test_bins_of_a_column(spark):
+    bins = [(-5.0, 0.0), (0.0, 10.0), (10.0, 10.0), (12.0, 30.0), (50.0, 60.0), (None, 3.0)]
+    assert depth_rows(spark, bins) == {0: None, 1: 1.0, 2: None, 3: pytest.approx((0.8 * 3 + 0.5 * 5) / 1.3), 4: None, 5: None}
+    assert depth_rows(spark, bins, "overlap")[3] == pytest.approx((8 * 3 + 10 * 5) / 18)
+    assert depth_rows(spark, [(0.0, 20.0)], column=([0.0, 10.0, 20.0], [2.0, None])) == {0: 1.0}
+
+
+def test_bins_of_a_column_equal_fixed_bins(spark):
+    rng = random.Random(2)
+    for _ in range(3):
+        edges = sorted({rng.randrange(0, 400) / 4 for _ in range(12)})
+        bins = list(zip(edges, edges[1:], strict=False))[:: rng.choice((1, 2))]
+        faces = sorted({rng.randrange(0, 400) / 4 for _ in range(9)})
+        column = (faces, [rng.choice((None, 1.0, 2.5, 8.0)) for _ in faces[1:]])
+        want = {r["olevel"]: r["value"] for r in vt.remap_depth(layers(spark, *column), bins).collect()}
+        assert depth_rows(spark, bins, column=column) == {k: v if v is None else pytest.approx(v) for k, v in want.items()}
+
+
+def test_bins_that_meet_are_an_error(spark):
+    with pytest.raises(Exception, match="bins of a column overlap"):
+        depth_rows(spark, [(0.0, 10.0), (5.0, 15.0)])
+
+
 def test_interfaces_to_layers(spark):
     faces = spark.createDataFrame([(0, 0, k, z) for k, z in enumerate([0.0, 5.0, 15.0])], "time_idx int, cell bigint, k int, z double")
     assert sorted((r["k"], r["z0"], r["z1"]) for r in vt.layers_from_interfaces(faces).collect()) == [(0, 0.0, 5.0), (1, 5.0, 15.0)]
