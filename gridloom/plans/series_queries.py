@@ -102,7 +102,7 @@ def stream_series(spark, d):
     """WITH r AS (SELECT l_suppkey AS cell, (year(l_shipdate) * 12 + month(l_shipdate) - 1)::INTEGER AS month, l_quantity AS v,
                    l_orderkey % 5 = 0 AS late FROM lineitem),
        gone AS (SELECT DISTINCT month FROM r WHERE NOT late)
-       SELECT 'QTY' AS var, cell, month, round(avg(v), 6) AS value, count(*) AS n, count_if(late) AS late FROM r WHERE month IN (FROM gone) GROUP BY 2, 3""",
+       SELECT 'QTY' AS var, cell, month, round(avg(v), 6) AS value, count(*) AS n, count(*) FILTER (late) AS late FROM r WHERE month IN (FROM gone) GROUP BY 2, 3""",
     [],
 )
 def amended_means(spark, d):
