@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import Recent, cut, raw_text, slices
+from gridloom.llm.common import cut, raw_text, slices
 from gridloom.llm.components import components
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -42,8 +42,6 @@ LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 LONG = 1 << 21
 BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
-#: Hashes of words that a worker has met.
-KNOWN = Recent(200_000)
 #: Keys in one bucket of the index, about.
 PER_BUCKET = 1_000_000
 #: Up to so many ids are broadcast (8 bytes each).
@@ -140,6 +138,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+KEY, SCRAMBLE = np.random.default_rng(20).integers(1, 1 << 63, 2, np.uint64) | np.uint64(1)
+#: What a byte counts at each of the first 64 places of a word.
+PLACED = mix(np.arange(64 << 8, dtype=np.uint64) * SCRAMBLE + KEY)
+
+
 def words_of(raw: bytes) -> list[bytes]:
     """split() of bytes parts at exactly U+0020 and U+0009 to U+000D."""
     return raw.translate(LOWER).split()
@@ -151,9 +154,11 @@ def elements(raw: bytes, n: int) -> set[tuple[bytes, ...]]:
 
 
 def word_hashes(text: bytes) -> np.ndarray:
-    """64-bit keyed BLAKE2 hashes of the words of a text. A long text goes in parts that end between words."""
+    """64-bit hashes of the words of a text: sums of a scrambled number for each pair of a byte and its place in the word
+    (tabulation hashing, with ``mix`` of a keyed number as the table), scrambled with the length."""
+    codes = np.frombuffer(text, np.uint8)
     if len(text) > LONG:
-        codes = np.frombuffer(text, np.uint8)
+        # A long text in parts that end between words; only a longer word makes a longer part.
         blank = np.flatnonzero(BLANK[codes])
         cuts = np.unique(blank[np.unique(np.searchsorted(blank, np.arange(LONG // 2, len(text), LONG // 2), "right")) - 1]) if len(blank) else blank
         if len(cuts):
@@ -161,15 +166,17 @@ def word_hashes(text: bytes) -> np.ndarray:
             parts = [text[a:b] for a, b in zip(ends, ends[1:], strict=False)]
             if max(map(len, parts)) < len(text):
                 return np.concatenate([word_hashes(part) for part in parts])
-    words = text.split()
-    unknown = KNOWN.lacking(set(words))
-    for word in unknown:
-        KNOWN.young[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=b"word").digest(), "little")
-    found = np.fromiter(map(KNOWN.young.__getitem__, words), np.uint64, len(words))
-    for word in unknown:
-        if len(word) > 64:  # not worth its memory
-            del KNOWN.young[word]
-    return found
+    inner = np.concatenate([[False], ~BLANK[codes], [False]])
+    edges = np.flatnonzero(inner[1:] != inner[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    sizes = ends - starts
+    place = np.arange(sizes.sum(), dtype=np.int64) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    mine = (place.astype(np.uint64) << np.uint64(8)) | codes[inner[1:-1]]
+    with np.errstate(over="ignore"):
+        values = PLACED[mine] if len(PLACED) > mine.max() else mix(mine * SCRAMBLE + KEY)
+        return mix(np.add.reduceat(values, np.cumsum(sizes) - sizes) + sizes.astype(np.uint64))
 
 
 def element_sets(raws: list[bytes], n: int) -> list[np.ndarray]:
