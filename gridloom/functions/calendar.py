@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -49,6 +50,11 @@ def cf_time(ts: Column, units: str = "days since 1850-01-01", calendar: str = "n
     return (days * F.lit(86400000000) + micros_of_day(ts)).cast("double") / F.lit(float(seconds * 1000000))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once a row, however often ``body`` names it: a Column that is named again is copied."""
+    return F.transform(F.array(value), body)[0]
+
+
 def cf_date(value: Column, units: str = "days since 1850-01-01", calendar: str = "noleap") -> Column:
     """The date of an offset in ``units``, the inverse of :func:`cf_time`: struct of year, month, day and micros since midnight.
 
@@ -56,30 +62,41 @@ def cf_date(value: Column, units: str = "days since 1850-01-01", calendar: str =
     """
     seconds, origin = _unit_and_origin(units)
     year, month, day = (int(p) for p in origin.split("-"))
-    whole = F.floor(value)
-    micros = whole.cast("long") * F.lit(seconds * 1000000) + F.rint((value - whole) * F.lit(float(seconds * 1000000))).cast("long")
-    days = F.floor(micros / F.lit(86400000000)).cast("long")
-    days = days - F.when(days * F.lit(86400000000) > micros, 1).otherwise(0)  # the quotient is a double and may round up
-    rest = micros - days * F.lit(86400000000)
-    if calendar in ("noleap", "365_day"):
-        total = days + F.lit(year * 365 + DAYS_BEFORE_MONTH[month - 1] + day - 1)
-        y = F.floor(total / 365).cast("long")
-        inside = (total - y * 365).cast("int")
-        before = F.array(*[F.lit(d) for d in DAYS_BEFORE_MONTH])
-        m = F.size(F.filter(before, lambda d: d <= inside))
-        parts = y, m, inside - F.element_at(before, m) + 1
-    elif calendar == "360_day":
-        total = days + F.lit(year * 360 + (month - 1) * 30 + day - 1)
-        y = F.floor(total / 360).cast("long")
-        inside = total - y * 360
-        parts = y, F.floor(inside / 30) + 1, F.pmod(inside, F.lit(30)) + 1
-    elif calendar in ("standard", "gregorian", "proleptic_gregorian"):
-        date = F.date_add(F.lit(origin).cast("date"), days.cast("int"))
-        parts = F.year(date), F.month(date), F.day(date)
-    else:
+    per_day = F.lit(86400000000)
+
+    def parts(days: Column, rest: Column) -> Column:
+        def named(*fields: Column) -> Column:
+            return F.struct(*[p.cast("int").alias(n) for p, n in zip(fields, ("year", "month", "day"), strict=True)], rest.alias("micros"))
+
+        if calendar in ("noleap", "365_day"):
+            before = F.array(*[F.lit(d) for d in DAYS_BEFORE_MONTH])
+
+            def by_month(y: Column, inside: Column) -> Column:
+                number = F.size(F.filter(before, lambda d: d <= inside))
+                return _let(number, lambda m: named(y, m, inside - F.element_at(before, m) + 1))
+
+            def by_year(total: Column) -> Column:
+                return _let(F.floor(total / 365).cast("long"), lambda y: _let((total - y * 365).cast("int"), lambda inside: by_month(y, inside)))
+
+            return _let(days + F.lit(year * 365 + DAYS_BEFORE_MONTH[month - 1] + day - 1), by_year)
+        if calendar == "360_day":
+            total = days + F.lit(year * 360 + (month - 1) * 30 + day - 1)
+            inside = F.pmod(total, F.lit(360))
+            return named(F.floor(total / 360), F.floor(inside / 30) + 1, F.pmod(inside, F.lit(30)) + 1)
+        if calendar in ("standard", "gregorian", "proleptic_gregorian"):
+            return _let(F.date_add(F.lit(origin).cast("date"), days.cast("int")), lambda date: named(F.year(date), F.month(date), F.day(date)))
         raise ValueError(f"unknown calendar {calendar!r}")
-    named = [p.cast("int").alias(n) for p, n in zip(parts, ("year", "month", "day"), strict=True)]
-    return F.when(value.isNotNull(), F.struct(*named, rest.alias("micros")))
+
+    def of_micros(micros: Column) -> Column:
+        # The rest is exact, so the quotient is a whole number that only the division of doubles rounds.
+        return _let(F.pmod(micros, per_day), lambda rest: _let(F.rint((micros - rest) / per_day).cast("long"), lambda days: parts(days, rest)))
+
+    def of_value(v: Column) -> Column:
+        whole = F.floor(v)
+        micros = whole.cast("long") * F.lit(seconds * 1000000) + F.rint((v - whole) * F.lit(float(seconds * 1000000))).cast("long")
+        return F.when(v.isNotNull(), _let(micros, of_micros))
+
+    return _let(value, of_value)
 
 
 # Steps of a frequency in a day, for series that count their steps from the start of year 0 (fixed values).

@@ -165,3 +165,21 @@ def test_index_sums_are_written_as_calls(spark):
     assert write("sqrt(4) * A + verticalsum(B, capped_at=5)") == "sqrt(4) * A + verticalsum(B, capped_at=5)"
     assert write("A(3:1)") == "sumoverpft(A, pftlist=[], dimname='lev')" and write("A(1:)") == "A(1:)" and write("") == "" and write(None) is None
     assert one(spark, tx.index_sums(F.lit("max(3) + A(2)"))) == [("A", [2], "lev")]
+
+
+@pytest.mark.parametrize("calendar", ["noleap", "360_day", "standard"])
+def test_date_of_a_number_names_its_input_once(spark, calendar):
+    """A Column that is named again is copied with all below it: copies nested in each other made a row of events cost milliseconds."""
+    plan = spark.range(3).select((F.col("id") * 0.25).alias("v")).select(cal.cf_date(F.col("v"), "hours since 1850-03-01", calendar).alias("d"))
+    assert str(plan._jdf.queryExecution().analyzed().expressions().head()).count("v#") == 1
+
+
+def test_dates_at_the_ends_of_days_and_years(spark):
+    got = column(spark, [-1e-6, 0.0, 58.999999, 59.0, 364.0, 365.0, -365.0, None], lambda v: cal.cf_date(v, "days since 2001-01-01"))
+    day = 86400000000
+    assert [tuple(r) if r else r for r in got] == [
+        (2000, 12, 31, day - 86400), (2001, 1, 1, 0), (2001, 2, 28, day - 86400), (2001, 3, 1, 0), (2001, 12, 31, 0), (2002, 1, 1, 0), (2000, 1, 1, 0), None,
+    ]
+    # Far from the origin, where whole microseconds are more than a double holds.
+    got = column(spark, [float(86400 * 365 * 9000 - 1), float(86400 * 365 * 9000)], lambda v: cal.cf_date(v, "seconds since 0001-01-01"))
+    assert [tuple(r) for r in got] == [(9000, 12, 31, day - 1000000), (9001, 1, 1, 0)]
