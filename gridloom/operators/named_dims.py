@@ -59,18 +59,19 @@ def realize_named(
     static: DataFrame | None = None,
     static_names: Sequence[str] = (),
 ) -> DataFrame:
-    """Rows (var, keys, named dimensions, value) of all targets: one pivot, and one grouping by every set of dimensions that is kept.
+    """Rows (var, keys, named dimensions, value) of all targets: one exchange by ``keys``, which serves the pivot, the grouping by every
+    set of dimensions that is kept, and all windows.
 
     ``names`` are each target's native variables, ``shapes`` the named dimensions of every variable, ``firsts`` the
     number of a dimension's first position (0 if it is not given). Targets that keep nothing need a plain grouping by ``keys``; the others
-    get grouping sets, whose rows are as few as results, and windows over them.
+    get a row for every set and position in it, as few as results, and windows over them.
     """
     firsts = firsts or {}
     shapes = {n: tuple(sorted(s)) for n, s in shapes.items()}
     every = sorted({n for own in names.values() for n in own})
     dims = _union([shapes.get(n, ()) for n in every])
     has = lambda shape: reduce(lambda a, b: a & b, [F.col(d).isNotNull() if d in shape else F.col(d).isNull() for d in dims], F.lit(True))
-    wide = pivot(field, {n: n for n in every}, (*keys, *dims))
+    wide = pivot(field.repartition(*keys), {n: n for n in every}, (*keys, *dims))
     if static_names:
         wide = with_static(wide, static, static_names)
 
@@ -96,22 +97,32 @@ def realize_named(
         texts[target] = text
     if along:
         wide = wide.withColumns(along)
-    for n in every:
+    wanted = {t: result_dims(low, names[t], shapes) for t, low in lowered.items()}
+    operands = {t: [*used_names(low.sql, names[t]), *[f"_t{i}{s.name}" for s in low.steps]] for i, (t, low) in enumerate(lowered.items())}
+    for n in sorted({n for own in operands.values() for n in own} & set(every)):
         sums[n] = (F.max(F.when(has(shapes.get(n, ())), F.col(n))), shapes.get(n, ()))
     aggregates = [c.alias(n) for n, (c, _) in sums.items()] + [F.max(n).alias(n) for n in static_names] + [F.max(f"_has_{n}").alias(f"_has_{n}") for n in every]
-    aggregates += [c.alias(f"_has_{n}") for n, c in there.items()]
-    wanted = {t: result_dims(low, names[t], shapes) for t, low in lowered.items()}
+    aggregates += [c.alias(f"_has_{n}") for n, c in there.items() if sums[n][1]]
     kept_sets = sorted({*wanted.values(), *[s for n, (_, s) in sums.items() if n.startswith("_t")], *[shapes.get(n, ()) for t, low in lowered.items() if wanted[t] for n in used_names(low.sql, names[t])]})
     none = [F.lit(None).cast("int").alias(d) for d in dims]
     if kept_sets == [()]:
         rows = emit(wide.groupBy(*keys).agg(*aggregates), keys, [(all_present(names[t]), t, F.expr(guard_division(text))) for t, text in texts.items()])
         return rows.select("var", *keys, *none, "value")
-    # A point exists for a target if each of its variables has rows at its time and cell.
-    grouped = wide.groupingSets([[*keys, *s] for s in ((), *[s for s in kept_sets if s])], *keys, *dims).agg(F.grouping_id().alias("_set"), *aggregates)
+    # Grouping sets as an explode, which unlike Spark's own keeps the rows where they are.
     number_of = lambda s: sum(1 << i for i, d in enumerate(reversed(dims)) if d not in s)
+    member = lambda s: F.struct(F.lit(number_of(s)).alias("_set"), *[(F.col(d) if d in s else F.lit(None).cast("int")).alias(f"_in_{d}") for d in dims])
+    # A row counts in a set if it has a position in each of the set's dimensions.
+    inside = lambda s: reduce(lambda a, b: a & b, [F.col(d).isNotNull() for d in s], F.lit(True))
+    sets = F.array(*[F.when(inside(s), member(s)) for s in ((), *[s for s in kept_sets if s])])
+    exploded = wide.select("*", F.explode(sets).alias("_g")).filter("_g IS NOT NULL")
+    grouped = exploded.groupBy(*keys, F.col("_g._set").alias("_set"), *[F.col(f"_g._in_{d}").alias(f"_in_{d}") for d in dims]).agg(*aggregates)
+    grouped = grouped.withColumnsRenamed({f"_in_{d}": d for d in dims})
+    # A point exists for a target if each of its variables has rows at its time and cell.
     present = {f"_has_{n}": F.max(F.when(F.col("_set") == number_of(()), F.col(f"_has_{n}"))).over(Window.partitionBy(*keys)) for n in every}
-    spread = {n: F.max(F.when(F.col("_set") == number_of(s), F.col(n))).over(Window.partitionBy(*keys, *s)) for n, (_, s) in sums.items() if s in kept_sets or not s}
-    located = grouped.withColumns(present).withColumns(spread)
+    # An operand with the dimensions of the result stands in the result's row; only others are brought there.
+    away = {n for t, own in operands.items() for n in own if sums[n][1] != wanted[t]}
+    spread = {n: F.max(F.when(F.col("_set") == number_of(sums[n][1]), F.col(n))).over(Window.partitionBy(*keys, *sums[n][1])) for n in sorted(away)}
+    located = grouped.withColumns(present | spread)
     outputs = []
     for i, (target, text) in enumerate(texts.items()):
         here = (F.col("_set") == number_of(wanted[target])) & reduce(lambda a, b: a & b, [F.col(d).isNotNull() for d in wanted[target]], F.lit(True))

@@ -155,12 +155,14 @@ def land(spark, d):
     )
     none = F.lit(None).cast("int")
 
-    def part(name, amount):
-        kept = [F.col(k) for k in ("time_idx", "cell", *LAND_DIMS[name])]
-        summed = rows.groupBy(*kept).agg(F.sum(amount).alias("value"))
-        return summed.select(F.lit(name).alias("var"), "time_idx", "cell", *[F.col(k) if k in LAND_DIMS[name] else none.alias(k) for k in ("levsoi", "levpft")], "value")
-
-    parts = [part("QTY", "q"), part("TAX", "t"), part("GPP", "q"), part("NPP", "t"), part("ROOT", "q"), part("FRAC", "t")]
+    def part(**amounts):
+        """Variables of the same dimensions, from one sum."""
+        own = LAND_DIMS[next(iter(amounts))]
+        summed = rows.groupBy("time_idx", "cell", *own).agg(*[F.sum(amount).alias(name) for name, amount in amounts.items()])
+        long = summed.unpivot(["time_idx", "cell", *own], list(amounts), "var", "value")
+        return long.select("var", "time_idx", "cell", *[F.col(k) if k in own else none.alias(k) for k in ("levsoi", "levpft")], "value")
+
+    parts = [part(QTY="q", TAX="t"), part(GPP="q", NPP="t"), part(ROOT="q"), part(FRAC="t")]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

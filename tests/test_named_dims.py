@@ -107,3 +107,20 @@ def test_a_catalog_with_named_dimensions_is_prepared(spark, arrays):
         assert got["mrso", t, None, c] == arrays["S"][t, c].sum()
         assert got["grass", t, None, c] == arrays["P"][t, c, :2].sum() * arrays["F"][t, c]
         assert [got["deep", t, k, c] for k in range(3)] == np.nan_to_num(arrays["X"])[t, c, :, 0].tolist()
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_one_exchange_serves_pivot_sets_and_windows(spark):
+    """Sets of several dimensions, operands along those they lack and presence at a point: all within a time and cell."""
+    rows = [("A", 0, 1, 0, None, 2.0), ("A", 0, 1, 1, None, 3.0), ("B", 0, 1, None, 0, 5.0), ("R", 0, 1, 0, 0, 7.0), ("R", 0, 1, 1, 0, 11.0), ("F", 0, 1, None, None, 0.5), ("A", 0, 2, 0, None, 1.0)]
+    field = spark.createDataFrame(rows, "var string, time_idx int, cell long, levsoi int, levpft int, value double")
+    texts = {"s": "sumoverpft(R, pftlist=[1], dimname='levpft') * F + A", "p": "verticalsum(R * A, dim='levsoi') - B", "z": "verticalsum(A, dim='levsoi') * F"}
+    lowered = {t: dv.lower_formula(x) for t, x in texts.items()}
+    shapes = {"A": ("levsoi",), "B": ("levpft",), "R": ("levsoi", "levpft"), "F": ()}
+    made = nd.realize_named(field, lowered, {t: sorted(low.names()) for t, low in lowered.items()}, shapes)
+    assert exchanges(made) == 1
+    got = {(r["var"], r["cell"], r["levsoi"], r["levpft"], r["value"]) for r in made.collect()}
+    assert got == {("s", 1, 0, None, 5.5), ("s", 1, 1, None, 8.5), ("p", 1, None, 0, 42.0), ("z", 1, None, None, 2.5)}
