@@ -163,11 +163,17 @@ def missing_as_zero(total: Column) -> Column:
     return F.coalesce(total, F.lit(0.0))
 
 
+def _grouped_once(field: DataFrame, dim: str, keys: Sequence[str]) -> DataFrame:
+    """``field`` by ``keys`` before a sum over ``dim``, where nothing but that is summed: a group is then as small as the dimension, and
+    partial sums ahead of the exchange would hold nearly every row and save none of them."""
+    return field.repartition(*keys) if set(field.columns) <= {*keys, dim, "value"} else field
+
+
 def vertical_sum(field: DataFrame, cap: float | None = None, keys: Sequence[str] = ("var", "time_idx", "cell")) -> DataFrame:
     """Sum over the level dimension, missing skipped; totals above ``cap`` become ``cap``."""
     total = missing_as_zero(F.sum("value"))
     limited = total if cap is None else F.least(F.lit(float(cap)), total)
-    return field.groupBy(*keys).agg(limited.alias("value"))
+    return _grouped_once(field, "lev", keys).groupBy(*keys).agg(limited.alias("value"))
 
 
 def sum_over_index(
@@ -191,7 +197,7 @@ def sums_over_indices(
         missing_as_zero(F.sum(F.when(F.col(dim).isin([i - 1 + first for i in indices]), F.col("value")))).alias(name)
         for name, indices in lists.items()
     ]
-    return field.filter(F.col(dim).isin(wanted)).groupBy(*keys).agg(*sums)
+    return _grouped_once(field.filter(F.col(dim).isin(wanted)), dim, keys).groupBy(*keys).agg(*sums)
 
 
 def index_select(field: DataFrame, index: int, dim: str = "lev", first: int = 0) -> DataFrame:

@@ -126,3 +126,20 @@ def test_attributes(spark):
 def test_dimension_names(spark):
     df = spark.createDataFrame([(0, 1, 2)], "levsoi int, xh int, yh int")
     assert dv.rename_dimensions(df).columns == ["sdepth", "longitude", "latitude"]
+
+
+def test_sums_over_levels_hold_no_partial_sums_ahead_of_the_exchange(spark):
+    """Rows of a column lie in as many places as it has levels, so partial sums there are as many as the rows."""
+    rows = [("T", 0, lev, cell, float(lev * 10 + cell)) for lev in range(1, 5) for cell in range(3)] + [("T", 0, 1, 9, None)]
+    field = spark.createDataFrame(rows, "var string, time_idx int, lev int, cell long, value double")
+    first_is = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    sums = dv.sums_over_indices(field, {"low": [1, 2], "high": [4]}, "lev", first=1)
+    total = dv.vertical_sum(field, cap=101)
+    for df in (sums, total):
+        assert first_is(df).index("partial_sum") < first_is(df).index("Exchange")  # the partial sum is above the exchange
+    assert {(r["cell"], r["low"], r["high"]) for r in sums.collect()} == {(0, 30.0, 40.0), (1, 32.0, 41.0), (2, 34.0, 42.0), (9, 0.0, 0.0)}
+    assert {(r["cell"], r["value"]) for r in total.collect()} == {(0, 100.0), (1, 101.0), (2, 101.0), (9, 0.0)}
+    # Sums over more than the dimension may meet one hot key, and keep their partial sums.
+    wide = dv.vertical_sum(field, keys=("var", "time_idx"))
+    assert first_is(wide).rindex("partial_sum") > first_is(wide).index("Exchange")
+    assert wide.first()["value"] == 312.0
