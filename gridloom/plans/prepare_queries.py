@@ -4,6 +4,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from gridloom.functions.calendar import month_index
 from gridloom.plans import prepare as pp
 from gridloom.plans.bindings import NLON, coefficients, field, native, read, static, weights
 from gridloom.plans.registry import query, view
@@ -32,6 +33,11 @@ def whole_field(spark, d):
     return reduce(lambda a, b: a.unionByName(b), [field(spark, d, "QTY", "DISC", "TAX"), flat(columns, "S"), flat(pressure, "PS")])
 
 
+def months(spark, d):
+    """The field's time axis: every month that has a line, without the sums by level and cell."""
+    return read(spark, d, "lineitem").select(month_index(F.col("l_shipdate")).alias("time_idx")).distinct()
+
+
 SHAPES = {"QTY": True, "DISC": True, "TAX": True, "S": False, "PS": False}
 
 
@@ -161,8 +167,7 @@ def prepare_described(spark, d):
         name.alias("name"), F.col("p_brand").alias("units"), F.col("p_name").alias("long_name"), F.when(k % 2 == 0, F.col("p_type")).alias("standard_name")
     )
     start = F.col("time_idx") * 30.0
-    months = native(spark, d).select("time_idx").distinct()
-    axis = months.select("time_idx", (start + 15.0).alias("time"), start.alias("time_b0"), (start + 30.0).alias("time_b1"))
+    axis = months(spark, d).select("time_idx", (start + 15.0).alias("time"), start.alias("time_b0"), (start + 30.0).alias("time_b1"))
     rows = pp.described({"general": prepared(spark, d, GENERAL)[0]["general"]}, entries.filter("name IS NOT NULL"), axis)["general"]
     return rows.select("var", "region", "time_idx", "lev", "cell", "value", "units", "long_name", "standard_name", "time", "time_b0", "time_b1")
 
@@ -222,8 +227,7 @@ def prepare_native_described(spark, d):
     )
     first = lambda n: F.make_date(F.floor(n / 12).cast("int"), (n % 12 + 1).cast("int"), F.lit(1))
     month = F.col("time_idx")
-    axis = native(spark, d).select("time_idx").distinct()
-    axis = axis.select("time_idx", F.date_add(first(month), 14).alias("time"), first(month).alias("time_b0"), first(month + 1).alias("time_b1"))
+    axis = months(spark, d).select("time_idx", F.date_add(first(month), 14).alias("time"), first(month).alias("time_b0"), first(month + 1).alias("time_b1"))
     outputs = pp.described(prepared(spark, d, KEPT)[0], entries, axis, ice_grid=ice, levels={"olevel": depths})
     both = outputs["ocean_native"].unionByName(outputs["seaice_native"], allowMissingColumns=True)
     kept = [c for c in both.columns if c not in ("long_name", "standard_name", "lont_bounds")]

@@ -1,10 +1,13 @@
 """The whole way from native fields and a catalog to output rows."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from gridloom.operators import catalog as ct
 from gridloom.operators.catalog import CATALOG_SCHEMA
+from gridloom.plans import bindings, prepare_queries
 from gridloom.plans import prepare as pp
 
 CELLS, LEVELS = 4, 3
@@ -229,3 +232,13 @@ def test_sheet_to_outputs_with_index_sums(spark):
     out, status = pp.prepare(spark, field, targets, weights=weights, static=field.select("cell").distinct(), dims=dims)
     assert status == [("x_x", "ok")]
     assert {(r["cell"], r["value"]) for r in out["seaice_native"].collect()} == {(c, (1.0 + 10.0 - 2.0) * 0.5) for c in (0, 1)}
+
+
+def test_time_axis_is_read_without_the_field(spark):
+    data = "/root/testdata/sf0.001"
+    if not Path(data).is_dir():
+        pytest.skip("test tables are not here")
+    found = prepare_queries.months(spark, data)
+    assert "l_suppkey" not in found._jdf.queryExecution().executedPlan().toString()
+    want = bindings.native(spark, data).select("time_idx").distinct()
+    assert sorted(r[0] for r in found.collect()) == sorted(r[0] for r in want.collect())
