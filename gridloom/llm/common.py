@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: ASCII white space: space and U+0009 to U+000D.
 SPACES = b" \t\n\x0b\x0c\r"
+#: Spark's setting (4.1 on) that a query's shuffle files go when the query ends.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def checkpoint_folder(master: str, configured: str | None) -> str:
@@ -31,11 +33,24 @@ def checkpoint_folder(master: str, configured: str | None) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and go on from there: no recomputation, no lineage, and rows that stay as
     they are when an executor is lost. Spark removes the files once nothing refers to them, if the session sets
-    ``spark.cleaner.referenceTracking.cleanCheckpoints``; else whoever owns the folder does."""
+    ``spark.cleaner.referenceTracking.cleanCheckpoints``; else whoever owns the folder does.
+
+    Nothing reads the shuffles behind a checkpoint again, so their files go at once; else executors would keep those of all
+    earlier steps until the driver happens to collect its garbage. The session's setting is as before afterwards."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(checkpoint_folder(context.master, df.sparkSession.conf.get("spark.checkpoint.dir", None)))
-    return df.checkpoint()
+    conf = df.sparkSession.conf
+    before = conf.get(RELEASE, None)
+    conf.set(RELEASE, "true")
+    try:
+        # The setting holds for frames made under it; df itself may be used again by others.
+        return df.select("*").checkpoint()
+    finally:
+        if before is None:
+            conf.unset(RELEASE)
+        else:
+            conf.set(RELEASE, before)
 
 
 def ship(spark: SparkSession) -> None:

@@ -7,8 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.llm import cover_tree, exact_dedup, jaccard_join, sharding
-from gridloom.llm.components import components
+from gridloom.llm import common, cover_tree, exact_dedup, jaccard_join, sharding
+from gridloom.llm.components import are_stars, components
 
 
 def roots(links, nodes):
@@ -76,6 +76,17 @@ def test_components(spark):
     assert got == {n: r for n, r in want.items() if any(n in link and link[0] != link[1] for link in links)}
 
 
+def test_links_that_are_stars_need_no_round(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr("gridloom.llm.components.cut", lambda df: made.append(0) or common.cut(df))
+    frame = lambda links: spark.createDataFrame(links, "u bigint, v bigint")
+    assert all(are_stars(frame(x)) for x in ([], [(2, 1)], [(2, 1), (3, 1), (5, 4)]))
+    assert not any(are_stars(frame(x)) for x in ([(2, 1), (3, 2)], [(3, 1), (3, 2)], [(2, 1), (5, 4), (5, 3)]))
+    got = components(frame([(1, i) for i in range(2, 40)] + [(50, 60)]), "u", "v")
+    assert {r.node: r.component for r in got.collect()} == {i: 1 for i in range(1, 40)} | {50: 50, 60: 50}
+    assert len(made) == 1
+
+
 def near_texts():
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))

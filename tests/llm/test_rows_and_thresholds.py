@@ -1,10 +1,12 @@
 """Pairs exactly on a threshold, and pipeline stages on null and repeated ids."""
 
 import itertools
+import time
 from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gridloom.llm import common, cover_tree
 
@@ -77,6 +79,27 @@ def test_run_packs_what_the_stages_leave(spark):
     assert (by.groupby("sequence_id").length.sum().iloc[:-1] == 2048).all()
 
 
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+    return {f for f in files if "/shuffle_" in f}
+
+
+def test_shuffle_files_behind_a_checkpoint_go(spark):
+    counted = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
+    for before in (None, "false"):
+        if before is not None:
+            spark.conf.set(common.RELEASE, before)
+        there = shuffle_files(spark)
+        made = common.cut(counted)
+        until = time.time() + 20
+        while shuffle_files(spark) - there and time.time() < until:
+            time.sleep(0.1)
+        assert not shuffle_files(spark) - there
+        assert spark.conf.get(common.RELEASE, None) == before
+        assert sorted(map(tuple, made.collect())) == sorted(map(tuple, counted.collect())) == [(k, 100) for k in range(10)]
+    spark.conf.unset(common.RELEASE)
+
+
 def test_a_cluster_needs_a_shared_checkpoint_folder():
     assert common.checkpoint_folder("yarn", "hdfs:///kept") == "hdfs:///kept" and common.checkpoint_folder("local[8]", "/kept") == "/kept"
     assert Path(common.checkpoint_folder("local[8]", None)).is_dir()
