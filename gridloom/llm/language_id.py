@@ -104,9 +104,8 @@ def limits(cosines: np.ndarray, totals: np.ndarray) -> np.ndarray:
     return np.maximum(out, 0.0)
 
 
-def fit(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict:
-    """idf, centres, their languages and the least cosine of each. ``training``: a condition on rows that may be learned from."""
-    idf = inverse_frequencies(docs, text_col)
+def sampled(docs: DataFrame, training, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """lang, text of the labelled rows to learn from, PER_LANGUAGE of each language at most."""
     draw = F.xxhash64(F.col(id_col), F.col(text_col))
     labelled = docs.filter(training).filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), draw.alias("draw"))
     sizes = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -115,7 +114,23 @@ def fit(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "text
         share = F.when(F.col("lang") == lang, F.lit(1e6 * min(1.0, 0.9 * PER_LANGUAGE / n))).otherwise(share)
     # The share takes about as many as are wanted; rows that draw alike may be more, so the first ones are counted off.
     place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
-    drawn = labelled.filter(F.pmod("draw", F.lit(1_000_000)) < share).withColumn("place", place).filter(F.col("place") <= PER_LANGUAGE).select("lang", "text")
+    return labelled.filter(F.pmod("draw", F.lit(1_000_000)) < share).withColumn("place", place).filter(F.col("place") <= PER_LANGUAGE).select("lang", "text")
+
+
+def trained(found: list[bytes], idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Centres and limits from the counts of one language's rows, in whatever order they come."""
+    rows = [np.frombuffer(row, "<u4") for row in sorted(found)]
+    x = np.empty((len(rows), DIMENSIONS))
+    for i, row in enumerate(rows):
+        x[i] = weighed(row.astype(np.float32), idf)
+    centres = clusters(x, k)
+    return centres, limits((x @ centres.T).max(1), np.array([row.sum() for row in rows]))
+
+
+def fit(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict:
+    """idf, centres, their languages and the least cosine of each. ``training``: a condition on rows that may be learned from.
+    A task fits a language on its sample; only centres and limits come to the driver."""
+    idf, k = inverse_frequencies(docs, text_col), CENTROIDS
     kinds = pa.schema([("lang", pa.string()), ("x", pa.binary())])
 
     def run(batches):
@@ -123,16 +138,18 @@ def fit(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "text
             keep = [(lang, counts(text).astype("<u4").tobytes()) for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) if has_letter(text)]
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keep], pa.string()), pa.array([k[1] for k in keep], pa.binary())], schema=kinds)
 
-    by: dict[str, list] = {}
-    for row in drawn.mapInArrow(run, "lang string, x binary").collect():
-        by.setdefault(row.lang, []).append(np.frombuffer(row.x, "<u4"))
+    def one(rows: pa.Table) -> pa.Table:
+        centres, least = trained(rows.column("x").to_pylist(), idf, k)
+        made = [rows.column("lang")[0].as_py()], [centres.tobytes()], [least.tobytes()]
+        return pa.table([pa.array(v, t) for v, t in zip(made, (pa.string(), pa.binary(), pa.binary()), strict=True)], names=["lang", "centres", "least"])
+
+    vectors = sampled(docs, training, id_col, text_col, lang_col).mapInArrow(run, "lang string, x binary")
     centres, langs, least = [], [], []
-    for lang in sorted(by):
-        x = weighed(np.stack(sorted(by[lang], key=bytes)).astype(np.float32), idf)
-        own = clusters(x, CENTROIDS)
+    for row in sorted(vectors.groupBy("lang").applyInArrow(one, "lang string, centres binary, least binary").collect(), key=lambda r: r.lang):
+        own = np.frombuffer(row.centres).reshape(-1, DIMENSIONS)
         centres.append(own)
-        langs += [lang] * len(own)
-        least += [limits((x @ own.T).max(1), np.array([k.sum() for k in sorted(by[lang], key=bytes)]))] * len(own)
+        langs += [row.lang] * len(own)
+        least += [np.frombuffer(row.least)] * len(own)
     return {"idf": idf, "centres": np.concatenate(centres) if centres else np.zeros((0, DIMENSIONS)), "langs": langs, "least": np.array(least).reshape(-1, 65)}
 
 

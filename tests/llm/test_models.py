@@ -91,6 +91,33 @@ def test_rows_of_one_id_do_not_exceed_the_sample(make, monkeypatch):
     assert len(taken) <= 2 and all(n <= 10 for n in taken)
 
 
+def test_the_sample_of_a_language_is_bounded(make, monkeypatch):
+    monkeypatch.setattr(language_id, "PER_LANGUAGE", 10)
+    rng = random.Random(6)
+    rows = [(None, "the same text", "aa")] * 300 + [(None, prose(rng, "aa", 5), "aa") for _ in range(50)] + [(7, prose(rng, "bb", 5), "bb") for _ in range(50)]
+    drawn = language_id.sampled(make(rows, "doc_id bigint, text string, lang string"), F.lit(True), "doc_id", "text", "lang")
+    assert all(0 < n <= 10 for n in Counter(r.lang for r in drawn.collect()).values())
+
+
+def test_only_centres_and_limits_of_a_language_come_to_the_driver(make, monkeypatch):
+    rng = random.Random(7)
+    docs = make([(i, prose(rng, lang, 40), lang) for i, lang in enumerate(["aa", "bb"] * 60)], "doc_id bigint, text string, lang string")
+    sent, collect = [], type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda self: sent.append(got := collect(self)) or got)
+    model = language_id.fit(docs, F.lit(True))
+    moved = sum(len(v) for rows in sent for row in rows for v in row if isinstance(v, (bytes, bytearray)))
+    assert moved == model["centres"].nbytes + 2 * 65 * 8, "the rows' own counts stay on the executors"
+    assert model["langs"] == ["aa"] * 4 + ["bb"] * 4
+
+
+def test_a_language_is_learned_the_same_in_any_order_of_rows():
+    rng = random.Random(8)
+    found = [language_id.counts(prose(rng, "aa", 30)).astype("<u4").tobytes() for _ in range(20)]
+    idf = np.linspace(0.1, 3, language_id.DIMENSIONS)
+    (a, low), (b, same) = language_id.trained(found, idf, 4), language_id.trained(found[::-1], idf, 4)
+    assert np.array_equal(a, b) and np.array_equal(low, same) and a.shape == (4, language_id.DIMENSIONS)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p>";</script></head><body>
 <nav><ul><li><a href=/x>Menu</a></ul></nav><div class="ad">Buy &amp; save</div>
 <article><h1>Head&nbsp;line</h1><p>One <b>bold</b>
