@@ -265,20 +265,30 @@ def described(docs: DataFrame, scheme: Scheme, id_col: str, text_col: str) -> Da
     return rows.mapInArrow(run, "doc_id bigint, n_shingles bigint, digest binary")
 
 
+def by_bucket(nodes: list[int], keys: list[np.ndarray], buckets: int) -> list[pa.Array]:
+    """bucket, data: the pairs of a key and a node, 16 bytes each, in the order of buckets. They are written once, sorted, and
+    the values of data are slices of that."""
+    every = np.concatenate(keys)
+    bucket = ((every >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable").astype(np.int32)
+    flat = np.empty(len(every), np.dtype([("key", "<u8"), ("node", "<i8")]))
+    flat["key"] = every[order]
+    del every
+    flat["node"] = np.repeat(np.array(nodes, np.int64), [len(k) for k in keys])[order]
+    bucket = bucket[order]
+    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+    ends = np.r_[starts, len(flat)] * flat.itemsize
+    if ends[-1] >= 1 << 31:
+        return [pa.array(bucket[starts]), pa.array([flat[a:b].tobytes() for a, b in zip(starts, [*starts[1:], len(flat)], strict=True)], pa.binary())]
+    return [pa.array(bucket[starts]), pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(flat)])]
+
+
 def indexed(texts: DataFrame, scheme: Scheme, buckets: int) -> DataFrame:
     """bucket, keys, nodes: the keys of each text, packed by bucket for each part of a batch."""
     kinds = pa.schema([("bucket", pa.int32()), ("data", pa.binary())])
 
     def packed(found: dict[bytes, tuple[int, np.ndarray]]):
-        nodes, keys = zip(*found.values(), strict=True)
-        flat = np.empty(sum(map(len, keys)), np.dtype([("key", "<u8"), ("node", "<i8")]))
-        flat["key"], flat["node"] = np.concatenate(keys), np.repeat(np.array(nodes, np.int64), [len(k) for k in keys])
-        bucket = (flat["key"] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-        order = np.argsort(bucket, kind="stable")
-        flat, bucket = flat[order], bucket[order]
-        starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-        data = [flat[a:b].tobytes() for a, b in zip(starts, [*starts[1:], len(flat)], strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(bucket[starts].astype(np.int32)), pa.array(data, pa.binary())], schema=kinds)
+        return pa.RecordBatch.from_arrays(by_bucket([x[0] for x in found.values()], [x[1] for x in found.values()], buckets), schema=kinds)
 
     def run(batches):
         found: dict[bytes, tuple[int, np.ndarray]] = {}

@@ -190,3 +190,18 @@ def test_cover_tree_equals_brute_force(spark, monkeypatch, block):
     assert [by.n_links[i] for i in range(900, 907)] == [0, 0, 0, 0, 0, 1, 1] and by.component_id[906] == 905
     assert len(got) == len(rows) + len(odd)
     assert cover_tree.near_vectors(table.limit(0)).count() == 0
+
+
+def test_keys_of_the_index_are_dealt_by_bucket_without_copies():
+    import tracemalloc
+
+    rng = np.random.default_rng(9)
+    keys = [rng.integers(0, 1 << 63, 1000, np.uint64) * np.uint64(2) for _ in range(200)]
+    tracemalloc.start()
+    bucket, data = jaccard_join.by_bucket(list(range(200)), keys, 16)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    data.validate(full=True)
+    got = {(b, int(k), int(n)) for b, x in zip(bucket.to_pylist(), data.to_pylist(), strict=True) for k, n in np.frombuffer(x, np.dtype([("key", "<u8"), ("node", "<i8")]))}
+    assert got == {(int(k) >> 60, int(k), n) for n, some in enumerate(keys) for k in some}
+    assert peak < 3 * 16 * 200_000, "the pairs are held once, beside what sorts them"
